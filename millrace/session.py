@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+import millrace
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # Runtime settings every job relies on. Sizes are left at Spark's own defaults: the
@@ -22,6 +25,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Functions that run in Python workers travel with their tasks, so that executors need no
+# copy of this package.
+cloudpickle.register_pickle_by_value(millrace)
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session and return it."""
@@ -41,6 +48,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "mil
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )

@@ -31,7 +31,7 @@ def _hold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Ite
         state.remove()
     else:
         rows = pd.concat(list(batches))
-        if message_id is None:
+        if pd.isna(message_id):
             return
         newest = rows.sort_values("retry_count").iloc[-1]
         body, count, error, due = newest["body"], int(newest["retry_count"]), newest["last_error"], int(newest["due_us"])
