@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.skew import ROWS_PER_PIECE, Timeline, carried, hot_keys, micros
-from millrace.session import shared_dir
+from millrace.session import stored
 
 
 def fenced_values(writes: DataFrame, key: str = "key") -> DataFrame:
@@ -21,9 +21,8 @@ def fenced_values(writes: DataFrame, key: str = "key") -> DataFrame:
 
 def rejected_writes(writes: DataFrame, rows_per_piece: int = ROWS_PER_PIECE, key: str = "key") -> DataFrame:
     """Writes that arrive after one with a higher fence was stored, in order of (ts, seq)."""
-    shared_dir(writes.sparkSession)
     timed = writes.withColumn("time_us", micros(F.col("ts")))
-    hot = hot_keys(timed, key, rows_per_piece).checkpoint()
+    hot = stored(hot_keys(timed, key, rows_per_piece), "hot-keys")
     if hot.isEmpty():
         before = Window.partitionBy(key).orderBy("time_us", "seq").rowsBetween(Window.unboundedPreceding, -1)
         judged = timed.withColumn("highest", F.max("fence").over(before))

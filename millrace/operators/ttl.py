@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.skew import ROWS_PER_PIECE, Timeline, carried, hot_keys, micros
-from millrace.session import shared_dir
+from millrace.session import stored
 
 NEVER = np.iinfo(np.int64).max
 
@@ -188,20 +188,21 @@ def _chain(reads: DataFrame, following: DataFrame) -> DataFrame:
 
     Each round doubles the length of every jump and so the known part of every chain.
     """
-    members = reads.groupBy("key").agg(F.min("at").alias("at")).checkpoint()
-    jumps = following.filter("found IS NOT NULL").select("key", "id", "found").checkpoint()
+    members = stored(reads.groupBy("key").agg(F.min("at").alias("at")), "misses")
+    jumps = stored(following.filter("found IS NOT NULL").select("key", "id", "found"), "jumps")
     while True:
-        step = members.alias("m").join(
-            jumps.alias("j"), (F.col("m.key") == F.col("j.key")) & (F.col("m.at") == F.col("j.id"))
-        )
-        reached = step.select("m.key", F.col("j.found").alias("at")).checkpoint()
+        reached = stored(_jump(members.select("key", "at"), jumps, "at"), "reached")
         if reached.isEmpty():
             return members
-        members = members.unionByName(reached).checkpoint()
-        twice = jumps.alias("a").join(
-            jumps.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.found") == F.col("b.id"))
-        )
-        jumps = twice.select("a.key", "a.id", F.col("b.found").alias("found")).checkpoint()
+        members = stored(members.unionByName(reached.withColumnRenamed("found", "at").select("key", "at")), "misses")
+        twice = _jump(jumps.select("key", "id", F.col("found").alias("at")), jumps, "at")
+        jumps = stored(twice, "jumps")
+
+
+def _jump(rows: DataFrame, jumps: DataFrame, at: str) -> DataFrame:
+    """``rows`` whose position leads on, with the position it leads to as ``found`` in place of ``at``."""
+    to = jumps.select("key", F.col("id").alias(at), "found")
+    return rows.join(to, ["key", at]).drop(at)
 
 
 def _fold_hot(requests: DataFrame, policy: CachePolicy, timeline: Timeline) -> DataFrame:
@@ -265,9 +266,8 @@ def ttl_status(
 
     ``seq`` (bigint) orders rows of a key with equal times and must be unique among them.
     """
-    shared_dir(requests.sparkSession)
     timed = requests.withColumn("time_us", micros(F.col("ts")))
-    hot = hot_keys(timed, "key", rows_per_piece).checkpoint()
+    hot = stored(hot_keys(timed, "key", rows_per_piece), "hot-keys")
     if hot.isEmpty():
         folded = _fold_cold(timed, policy)
     else:

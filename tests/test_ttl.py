@@ -1,0 +1,134 @@
+"""Cache status: the linear pass and the hot-key way against a row-by-row model."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import fence
+from millrace.operators.ttl import CachePolicy, status_counts, ttl_status
+
+START = datetime(2024, 1, 1)
+SCHEMA = "key string, ts timestamp_ntz, seq bigint, is_read boolean"
+
+
+def model(rows, policy):
+    """Statuses by seq, one row at a time, straight from the definition."""
+    result, load = {}, {}
+    hold = policy.load + policy.ttl if policy.cached else policy.lease
+    for key, ts, seq, is_read in sorted(rows, key=lambda row: (row[0], row[1], row[2])):
+        since = load.get(key)
+        if not is_read:
+            if since is not None and policy.cached and ts >= since + policy.load:
+                load.pop(key)
+            continue
+        if since is None or ts >= since + hold:
+            load[key] = ts
+            result[seq] = "miss"
+        elif not policy.cached:
+            result[seq] = "bypass"
+        elif ts < since + policy.load:
+            left = since + policy.load - ts
+            result[seq] = "coalesced" if left <= policy.wait else "bypass"
+        else:
+            result[seq] = "hit"
+    return result
+
+
+def random_rows(seed, count=400, keys="abc", span=200, drop_share=0.1):
+    """Half of all rows belong to the first key; times repeat often."""
+    pick = random.Random(seed)
+    rows = []
+    for seq in range(count):
+        key = keys[0] if pick.random() < 0.5 else pick.choice(keys)
+        rows.append((key, START + timedelta(seconds=pick.randrange(span)), seq, pick.random() >= drop_share))
+    return rows
+
+
+POLICIES = {
+    "instant load": CachePolicy(ttl=timedelta(seconds=7)),
+    "long ttl": CachePolicy(ttl=timedelta(seconds=500)),
+    "slow load": CachePolicy(ttl=timedelta(seconds=6), load=timedelta(seconds=3)),
+    "short wait": CachePolicy(ttl=timedelta(seconds=6), load=timedelta(seconds=4), wait=timedelta(seconds=2)),
+    "load outlives lease": CachePolicy(ttl=timedelta(seconds=30), load=timedelta(seconds=9)),
+}
+
+
+@pytest.mark.parametrize("policy", POLICIES.values(), ids=POLICIES.keys())
+@pytest.mark.parametrize("rows_per_piece", [10_000, 40], ids=["linear", "pieces"])
+def test_status_equals_the_model(spark, policy, rows_per_piece):
+    rows = random_rows(seed=3)
+    served = ttl_status(spark.createDataFrame(rows, SCHEMA), policy, rows_per_piece)
+    assert {row["seq"]: row["status"] for row in served.collect()} == model(rows, policy)
+
+
+def test_one_key_holding_everything_is_cut_and_stays_exact(spark):
+    policy = CachePolicy(ttl=timedelta(seconds=2))
+    rows = random_rows(seed=9, count=600, keys="a", span=900, drop_share=0.02)
+    served = ttl_status(spark.createDataFrame(rows, SCHEMA), policy, rows_per_piece=50)
+    assert {row["seq"]: row["status"] for row in served.collect()} == model(rows, policy)
+
+
+def test_batches_of_a_key_are_folded_on(spark):
+    """A key larger than one Arrow batch carries its load over."""
+    policy = CachePolicy(ttl=timedelta(seconds=7))
+    rows = random_rows(seed=5)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        served = ttl_status(spark.createDataFrame(rows, SCHEMA), policy).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert {row["seq"]: row["status"] for row in served} == model(rows, policy)
+
+
+def test_counting_from_the_last_read_would_differ(spark):
+    """Negative control: a sliding expiry calls the third read a hit."""
+    rows = [("a", START + timedelta(seconds=at), at, True) for at in (0, 6, 12)]
+    policy = CachePolicy(ttl=timedelta(seconds=10))
+    served = {row["seq"]: row["status"] for row in ttl_status(spark.createDataFrame(rows, SCHEMA), policy).collect()}
+    assert served == {0: "miss", 6: "hit", 12: "miss"}
+    gaps = [later[1] - earlier[1] for earlier, later in zip(rows, rows[1:])]
+    assert all(gap < policy.ttl for gap in gaps)
+
+
+def test_fifty_requests_for_a_cold_key_load_once(spark):
+    rows = [("a", START + timedelta(milliseconds=5 * seq), seq, True) for seq in range(50)]
+    policy = CachePolicy(load=timedelta(milliseconds=300))
+    counts = status_counts(ttl_status(spark.createDataFrame(rows, SCHEMA), policy))
+    assert {row["status"]: row["requests"] for row in counts.collect()} == {"miss": 1, "coalesced": 49}
+
+
+def test_invalidation_forces_a_reload(spark):
+    rows = [("a", START + timedelta(seconds=seq), seq, seq != 2) for seq in range(4)]
+    served = ttl_status(spark.createDataFrame(rows, SCHEMA)).orderBy("seq").collect()
+    assert [row["status"] for row in served] == ["miss", "hit", "miss"]
+
+
+WRITES = "key string, ts timestamp_ntz, seq bigint, fence bigint, value string"
+
+
+def test_late_writer_does_not_replace_the_newer_value(spark):
+    rows = [("a", START, 1, 2, "fresh"), ("a", START + timedelta(seconds=1), 2, 1, "stale")]
+    writes = spark.createDataFrame(rows, WRITES)
+    assert fence.fenced_values(writes).first()["value"] == "fresh"
+    assert [row["value"] for row in fence.rejected_writes(writes).collect()] == ["stale"]
+    # Negative control: taking the last write by time keeps the stale value.
+    assert writes.groupBy("key").agg(F.max_by("value", "ts").alias("value")).first()["value"] == "stale"
+
+
+@pytest.mark.parametrize("rows_per_piece", [10_000, 25], ids=["whole", "pieces"])
+def test_rejected_writes_equal_a_running_maximum(spark, rows_per_piece):
+    pick = random.Random(11)
+    rows = []
+    for seq in range(300):
+        key = "a" if pick.random() < 0.6 else pick.choice("abc")
+        rows.append((key, START + timedelta(seconds=pick.randrange(100)), seq, pick.randrange(60), str(seq)))
+    highest, wanted = {}, set()
+    for key, _, seq, level, _ in sorted(rows, key=lambda row: (row[0], row[1], row[2])):
+        if key in highest and level < highest[key]:
+            wanted.add(seq)
+        highest[key] = max(level, highest.get(key, level))
+    found = fence.rejected_writes(spark.createDataFrame(rows, WRITES), rows_per_piece)
+    assert {row["seq"] for row in found.collect()} == wanted
