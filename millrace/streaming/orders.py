@@ -57,6 +57,8 @@ def run(
     spark: SparkSession, messages: DataFrame, tables: str, checkpoints: str, timeout: int | None = None, **options
 ) -> None:
     """Run both queries until either one stops, then stop the other; a failure is raised."""
+    # Queries that ended earlier in this session must not end this job.
+    spark.streams.resetTerminated()
     queries = [
         start_revenue(messages, f"{tables}/revenue", f"{checkpoints}/revenue", **options),
         start_dead_letters(messages, f"{tables}/dead_letters", f"{checkpoints}/dead_letters"),
@@ -66,4 +68,3 @@ def run(
     finally:
         for query in queries:
             query.stop()
-        spark.streams.resetTerminated()
