@@ -13,7 +13,7 @@ from millrace.operators import decode, fence, logs, lookup, merge, replay, reven
 from millrace.plans import inputs
 from millrace.plans.replayed import replay as replay_slices
 from millrace.plans.replayed import time_slices
-from millrace.session import scratch, tune
+from millrace.session import scratch, stored, tune
 from millrace.sources import container_logs, keyed, messages, tables
 from millrace.streaming import lookup as lookup_stream
 from millrace.streaming import orders as orders_job
@@ -506,7 +506,7 @@ def shipped_logs(spark, sf_dir):
 
 @query
 def phrase_counts(spark, sf_dir):
-    documents = inputs.table(spark, sf_dir, "documents").select("text")
+    documents = inputs.spread_table(spark, sf_dir, "documents").select("text")
     return logs.phrase_counts(documents, inputs.benchmark_phrases(spark, sf_dir), 2)
 
 
@@ -556,12 +556,14 @@ def stream_retry(spark, sf_dir):
         "message_id", "body", "retry_count", "last_error", F.col("delivered_at").cast("timestamp").alias("failed_at")
     )
     schema = "message_id bigint, body string, retry_count bigint, last_error string, failed_at timestamp"
+    rows = stored(rows, "failed")
     # One last row without a message moves the clock past every due time.
     clock = spark.createDataFrame([(None, None, None, None, inputs.STREAM_END)], schema)
 
     def start():
         stream = messages.file_stream(spark, f"{base}/in", schema=schema)
-        writer = retry_stream.delayed_retries(stream).writeStream.queryName("retry").outputMode("append")
+        due = retry_stream.delayed_retries(stream, clock="event", precision_ms=6 * 3_600_000)
+        writer = due.writeStream.queryName("retry").outputMode("append")
         return writer.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).foreachBatch(
             lambda batch, batch_id: keyed.write_batch(batch, f"{base}/due", batch_id)
         ).start()

@@ -11,6 +11,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.tables import read_spread
+
 RETENTION_AS_OF = "2024-01-31"
 OUTAGE = ("2024-01-10 00:00:00", "2024-01-12 00:00:00")
 CACHE_TTL = timedelta(days=1)
@@ -22,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are costly to work on, over all cores even when it is one small file."""
+    return read_spread(spark, f"{sf_dir}/{name}.parquet")
+
+
 def iso_utc(ts: Column) -> Column:
     """A zoned ISO-8601 text, as an order producer writes it."""
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
@@ -55,7 +62,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 7, F.lit(""))
         .otherwise(document(order_id, product, price, quantity, stamp))
     )
-    return table(spark, sf_dir, "events").select(
+    return spread_table(spark, sf_dir, "events").select(
         F.lit("orders").alias("topic"),
         (event_id % 3).cast("int").alias("partition"),
         F.expr("event_id div 3").alias("offset"),
@@ -131,7 +138,7 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(event_id % 23 == 1, F.create_map(F.lit("x-retry-count"), F.lit("-1")))
         .otherwise(F.create_map().cast("map<string,string>"))
     )
-    return table(spark, sf_dir, "events").select(
+    return spread_table(spark, sf_dir, "events").select(
         event_id.alias("message_id"), body.alias("body"), headers.alias("headers"), F.col("ts").alias("delivered_at")
     )
 

@@ -40,6 +40,19 @@ def sample_sales(spark: SparkSession) -> DataFrame:
     )
 
 
+def read_spread(spark: SparkSession, path: str, split_bytes: int = 256 << 10) -> DataFrame:
+    """Parquet rows for work that is heavy per row, over enough tasks.
+
+    A file that Spark cannot split would keep all but one core idle; its rows are dealt out, at
+    least ``split_bytes`` of file per task. A table with as many splits as cores is left alone.
+    """
+    rows = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    wanted = min(cores, files.folder_bytes(spark, path) // split_bytes)
+    splits = rows._jdf.queryExecution().toRdd().getNumPartitions()
+    return rows.repartition(wanted) if splits < wanted else rows
+
+
 def create_table(spark: SparkSession, name: str, location: str, schema: str = SALES_SCHEMA, by: str = "category") -> None:
     """Create a partitioned Parquet table in the session catalog unless it is there."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet PARTITIONED BY ({by}) LOCATION '{location}'")

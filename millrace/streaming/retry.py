@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -20,52 +21,86 @@ from millrace.operators.routing import (
 from millrace.sources.keyed import write_batch
 
 DUE_SCHEMA = "message_id bigint, body string, retry_count bigint, last_error string, due_at timestamp"
-WAITING_SCHEMA = "body string, retry_count bigint, last_error string, due_us bigint"
+DUE_COLUMNS = [part.split()[0] for part in DUE_SCHEMA.split(", ")]
+HELD_COLUMNS = ["message_id", "body", "retry_count", "last_error", "due_us"]
 
 
-def _hold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One message's turn: keep it until the event time has reached ``due_us``, then hand it back."""
-    (message_id,) = key
+def _hold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState, live: bool) -> Iterator[pd.DataFrame]:
+    """Messages that fall due together: keep them until the clock has reached ``release_ms``."""
+    _, release_ms = key
+    held = {row[0]: row for row in json.loads(state.get[0])} if state.exists else {}
     if state.hasTimedOut:
-        body, count, error, due = state.get
         state.remove()
     else:
-        rows = pd.concat(list(batches))
-        if pd.isna(message_id):
+        for batch in batches:
+            known = batch[batch["message_id"].notna()]
+            for row in zip(*(known[name].tolist() for name in HELD_COLUMNS)):
+                message_id = int(row[0])
+                # A repeated message replaces its copy unless that is further along.
+                if message_id not in held or held[message_id][2] <= row[2]:
+                    held[message_id] = (message_id, row[1], int(row[2]), row[3], int(row[4]))
+        now_ms = state.getCurrentProcessingTimeMs() if live else state.getCurrentWatermarkMs()
+        if release_ms > now_ms:
+            state.update((json.dumps(list(held.values())),))
+            if live:
+                state.setTimeoutDuration(int(release_ms - now_ms))
+            else:
+                state.setTimeoutTimestamp(int(release_ms))
             return
-        newest = rows.sort_values("retry_count").iloc[-1]
-        body, count, error, due = newest["body"], int(newest["retry_count"]), newest["last_error"], int(newest["due_us"])
-        due_ms = -(-due // 1000)
-        if due_ms > state.getCurrentWatermarkMs():
-            state.update((body, count, error, due))
-            state.setTimeoutTimestamp(due_ms)
-            return
-    yield pd.DataFrame(
-        {
-            "message_id": [message_id],
-            "body": [body],
-            "retry_count": [count],
-            "last_error": [error],
-            "due_at": [pd.Timestamp(due, unit="us")],
-        }
-    )
+        if state.exists:
+            state.remove()
+    if held:
+        due = pd.DataFrame(list(held.values()), columns=HELD_COLUMNS)
+        due["due_at"] = pd.to_datetime(due["due_us"], unit="us")
+        yield due[DUE_COLUMNS]
 
 
 def delayed_retries(
-    failed: DataFrame, delay_ms: int = RETRY_DELAY_MS, growth: int = 1, watermark: str = "0 seconds"
+    failed: DataFrame,
+    delay_ms: int = RETRY_DELAY_MS,
+    growth: int = 1,
+    clock: str = "processing",
+    watermark: str = "1 minute",
+    precision_ms: int = 1000,
+    shards: int | None = None,
 ) -> DataFrame:
     """Failed messages (message_id, body, retry_count, last_error, failed_at) when their delay is over.
 
-    Time is event time: a message comes back once the watermark has passed its due time. A row
-    without a message id only moves the watermark. State holds one row per waiting message.
+    With the ``processing`` clock a message comes back when real time has passed its due time,
+    rounded up to ``precision_ms``; no message is dropped, and one that is already due comes
+    straight back. With the ``event`` clock the watermark over ``failed_at`` decides, which makes
+    a replay of old messages repeatable; Spark then drops messages further behind than
+    ``watermark`` and counts them in the query's progress. A row without a message id only moves
+    the event clock.
+
+    Messages that fall due in the same interval wait in one state row per shard, so the cost of
+    a state row is shared and a burst spreads over ``shards`` of them (as many as there are state
+    partitions unless given).
     """
+    if clock not in ("processing", "event"):
+        raise ValueError(f"unknown clock {clock!r}; use 'processing' or 'event'")
+    live = clock == "processing"
+    partitions = int(failed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wait = retry_wait_ms(F.col("retry_count") - 1, delay_ms, growth)
-    due = F.unix_micros(F.col("failed_at")) + wait * 1000
+    step_us = precision_ms * 1000
+    rounded_up = F.col("due_us") + F.pmod(-F.col("due_us"), F.lit(step_us))
+    shard = F.pmod(F.xxhash64("message_id"), F.lit(shards or partitions))
+    timed = failed if live else failed.withWatermark("failed_at", watermark)
+    placed = (
+        timed.withColumn("due_us", F.unix_micros(F.col("failed_at")) + wait * 1000)
+        .withColumn("rounded_up_us", rounded_up)
+        .withColumn("release_ms", F.coalesce(F.expr("rounded_up_us div 1000"), F.lit(0).cast("long")))
+        .withColumn("shard", F.when(F.col("message_id").isNull(), F.lit(-1)).otherwise(shard))
+    )
+
+    def hold(key, batches, state):
+        return _hold(key, batches, state, live)
+
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if live else GroupStateTimeout.EventTimeTimeout
     return (
-        failed.withWatermark("failed_at", watermark)
-        .select("message_id", "body", "retry_count", "last_error", "failed_at", due.alias("due_us"))
-        .groupBy("message_id")
-        .applyInPandasWithState(_hold, DUE_SCHEMA, WAITING_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+        placed.select("shard", "release_ms", "failed_at", *HELD_COLUMNS)
+        .groupBy("shard", "release_ms")
+        .applyInPandasWithState(hold, DUE_SCHEMA, "held string", "append", timeout)
     )
 
 

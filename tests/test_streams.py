@@ -2,7 +2,7 @@
 
 import json
 import time
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 
@@ -109,7 +109,7 @@ def test_retries_come_back_after_their_delay(spark, folder):
 
     def start():
         stream = messages.file_stream(spark, f"{base}/in", schema=RETRY_SCHEMA)
-        writer = retry.delayed_retries(stream, delay_ms=60_000, growth=2).writeStream.outputMode("append")
+        writer = retry.delayed_retries(stream, delay_ms=60_000, growth=2, clock="event", watermark="0 seconds").writeStream.outputMode("append")
         return writer.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).format("parquet").start(f"{base}/out")
 
     def returned():
@@ -125,6 +125,49 @@ def test_retries_come_back_after_their_delay(spark, folder):
     assert returned()[2] == (2, MIDNIGHT + timedelta(minutes=2))
 
 
+def test_repeated_failure_comes_back_once(spark, folder):
+    base = folder("repeated")
+
+    def start():
+        stream = messages.file_stream(spark, f"{base}/in", schema=RETRY_SCHEMA)
+        due = retry.delayed_retries(stream, delay_ms=60_000, clock="event", watermark="5 seconds", shards=1)
+        writer = due.writeStream.outputMode("append").option("checkpointLocation", f"{base}/checkpoint")
+        return writer.trigger(availableNow=True).format("parquet").start(f"{base}/out")
+
+    def failed(*rows):
+        return spark.createDataFrame([(number, "b", count, "e", MIDNIGHT + timedelta(minutes=at)) for number, count, at in rows], RETRY_SCHEMA)
+
+    replay([failed((1, 1, 10)), failed((2, 1, 10), (1, 1, 10)), failed((4, 1, 20))], f"{base}/in", start, 120)
+    assert sorted(row["message_id"] for row in spark.read.parquet(f"{base}/out").collect()) == [1, 2]
+
+
+def test_live_clock_returns_old_and_new_messages(spark, folder):
+    """Messages far behind come straight back; a fresh one waits. Nothing is dropped as late."""
+    base = folder("live")
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    rows = [(1, "b", 1, "e", now), (2, "b", 1, "e", MIDNIGHT)]
+    messages.land_files(spark.createDataFrame(rows, RETRY_SCHEMA), f"{base}/in")
+    stream = messages.file_stream(spark, f"{base}/in", schema=RETRY_SCHEMA)
+    due = retry.delayed_retries(stream, delay_ms=4000, precision_ms=500)
+    writer = due.writeStream.outputMode("append").option("checkpointLocation", f"{base}/checkpoint")
+    query = writer.trigger(processingTime="500 milliseconds").format("parquet").start(f"{base}/out")
+    try:
+        deadline = time.monotonic() + 90
+        found = []
+        while len(found) < 2 and time.monotonic() < deadline:
+            time.sleep(1)
+            if keyed.files.exists(spark, f"{base}/out/_spark_metadata"):
+                found = spark.read.schema(retry.DUE_SCHEMA).parquet(f"{base}/out").collect()
+    finally:
+        query.stop()
+    assert sorted(row["message_id"] for row in found) == [1, 2]
+
+
+def test_unknown_clock_is_refused(spark):
+    with pytest.raises(ValueError, match="unknown clock"):
+        retry.delayed_retries(spark.createDataFrame([], RETRY_SCHEMA), clock="sundial")
+
+
 def test_cache_state_survives_a_restart(spark, folder):
     base = folder("ttl")
     schema = "key bigint, ts timestamp, seq bigint, is_read boolean"
