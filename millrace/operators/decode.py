@@ -39,9 +39,11 @@ def is_valid_order() -> Column:
     )
 
 
-def decode_orders(messages: DataFrame) -> DataFrame:
+def decode_orders(messages: DataFrame, arrival: str | None = None) -> DataFrame:
     """Messages (topic, partition, offset, value) with their order fields and a verdict.
 
+    ``arrival`` names a column with the time a message arrived, kept as ``arrived_at``.
+
     The parse sits behind a generator on purpose: the optimizer copies a plain ``from_json``
     into every filter term above it, and would parse each value once per term.
     """
@@ -50,6 +52,7 @@ def decode_orders(messages: DataFrame) -> DataFrame:
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         F.col("value").cast("string").alias("raw_value"),
+        *([F.col(arrival).alias("arrived_at")] if arrival else []),
     )
     fields = coordinates.select("*", F.inline_outer(F.array(F.from_json("raw_value", ORDER_FIELDS))))
     return fields.withColumn("event_time", event_time(F.col("ts"))).withColumn("is_valid", is_valid_order())
@@ -73,8 +76,12 @@ def dead_letter_reason() -> Column:
 
 def dead_letters(decoded: DataFrame) -> DataFrame:
     """Rows that are not valid orders, with delivery coordinates, storable text and a reason."""
+    arrival = [name for name in decoded.columns if name == "arrived_at"]
     return decoded.filter("NOT is_valid").select(
-        *COORDINATES, storable_text(F.col("raw_value")).alias("raw_value"), dead_letter_reason().alias("reason")
+        *COORDINATES,
+        storable_text(F.col("raw_value")).alias("raw_value"),
+        dead_letter_reason().alias("reason"),
+        *arrival,
     )
 
 

@@ -83,8 +83,8 @@ def fail_open(
     """Serve each request from the cache when that is possible and from the source otherwise.
 
     ``cache`` holds (key, value, loaded_at, expires_at), at most one row per key. During an
-    outage the cache is not asked at all and the status is ``bypass``. Both joins use the same
-    key, so the requests are shuffled once.
+    outage the cache is not asked at all and the status is ``bypass``. The two keyed tables are
+    joined first, so the requests meet one table in one join, in which Spark can split a hot key.
     """
     kept = cache.select(key, F.col("value").alias("cached_value"), "loaded_at", "expires_at")
     read = source.select(key, F.col("value").alias("source_value"))
@@ -93,8 +93,7 @@ def fail_open(
     )
     status = F.when(_within(F.col("ts"), outages), "bypass").when(fresh, "hit").otherwise("miss")
     return (
-        requests.join(kept, key, "left")
-        .join(read, key, "left")
+        requests.join(kept.join(read, key, "full_outer"), key, "left")
         .withColumn("status", status)
         .withColumn("value", F.when(F.col("status") == "hit", F.col("cached_value")).otherwise(F.col("source_value")))
         .select(*requests.columns, "value", "status")

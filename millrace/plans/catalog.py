@@ -172,12 +172,8 @@ def undiscarded_dead_letters(spark, sf_dir):
 
 @query
 def dead_letter_alerts(spark, sf_dir):
-    raw = inputs.raw_orders(spark, sf_dir)
-    coordinates = raw.select(
-        "topic", F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"), "ts"
-    )
-    dead = decode.dead_letters(decode.decode_orders(raw)).join(coordinates, decode.COORDINATES)
-    return replay.depth_alerts(dead, "ts", "day", 30).withColumn("period", F.col("period").cast("timestamp_ntz"))
+    dead = decode.dead_letters(decode.decode_orders(inputs.raw_orders(spark, sf_dir), arrival="ts"))
+    return replay.depth_alerts(dead, "arrived_at", "day", 30).withColumn("period", F.col("period").cast("timestamp_ntz"))
 
 
 # --- sales ----------------------------------------------------------------------------------

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.sources.messages import land_files
 from millrace.streaming.drain import drain
 
-SLICES = 3
+SLICES = 2
 
 
 def time_slices(df: DataFrame, ts: str = "ts", slices: int = SLICES) -> list[DataFrame]:

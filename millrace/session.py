@@ -22,6 +22,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # Commits upload the changes of a micro-batch, not a snapshot of all state.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -56,9 +56,13 @@ def enforce_contract(df: DataFrame, schema: str) -> DataFrame:
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Store one batch under its id, replacing an earlier attempt at the same batch."""
+    """Store one batch under its id, replacing an earlier attempt at the same batch.
+
+    The rebalance keeps a small batch in one file and cuts a large one into files of even size.
+    """
     (
-        df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        df.hint("rebalance")
+        .withColumn("batch_id", F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id")
@@ -113,7 +117,7 @@ def fold_batches(spark: SparkSession, path: str, schema: str = REVENUE_SCHEMA, k
     staged = scratch(spark, "fold")
     stored = read_batches(spark, path, schema).filter(F.col("batch_id") <= old[-1])
     latest_by_key(stored, key, "batch_id").write.parquet(staged)
-    write_batch(spark.read.schema(schema).parquet(staged).hint("rebalance"), path, old[-1])
+    write_batch(spark.read.schema(schema).parquet(staged), path, old[-1])
     for batch_id in old[:-1]:
         files.drop_partition(spark, path, "batch_id", str(batch_id))
     return len(old) - 1

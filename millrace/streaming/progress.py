@@ -10,13 +10,16 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 PROGRESS_SCHEMA = (
     "query string, batch_id bigint, at timestamp, input_rows bigint, input_rate double, "
-    "processed_rate double, batch_ms bigint, watermark timestamp, late_rows bigint, state_rows bigint"
+    "processed_rate double, batch_ms bigint, watermark timestamp, late_rows bigint, state_rows bigint, offsets_behind bigint"
 )
 
 
 def _row(progress: dict) -> str:
     states = progress.get("stateOperators") or []
     event_time = progress.get("eventTime") or {}
+    # A message-log source reports how far it is behind; a file source does not.
+    metrics = [source.get("metrics") or {} for source in progress.get("sources") or []]
+    behind = [int(one["maxOffsetsBehindLatest"]) for one in metrics if "maxOffsetsBehindLatest" in one]
     return json.dumps(
         {
             "query": progress.get("name") or progress.get("id"),
@@ -29,6 +32,7 @@ def _row(progress: dict) -> str:
             "watermark": event_time.get("watermark"),
             "late_rows": sum(state.get("numRowsDroppedByWatermark", 0) for state in states),
             "state_rows": sum(state.get("numRowsTotal", 0) for state in states),
+            "offsets_behind": max(behind, default=None),
         }
     )
 
@@ -76,6 +80,6 @@ def late_alerts(progress: DataFrame, limit: int = 0) -> DataFrame:
     return progress.filter(F.col("late_rows") > limit)
 
 
-def lag_alerts(progress: DataFrame) -> DataFrame:
-    """Micro-batches that took in rows faster than they processed them."""
-    return progress.filter(F.col("input_rate") > F.col("processed_rate"))
+def lag_alerts(progress: DataFrame, offsets: int = 0) -> DataFrame:
+    """Micro-batches that took in rows faster than they processed them, or ended too far behind."""
+    return progress.filter((F.col("input_rate") > F.col("processed_rate")) | (F.col("offsets_behind") > offsets))
