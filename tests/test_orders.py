@@ -195,3 +195,34 @@ def test_replay_takes_repaired_letters_once(spark):
     assert again.columns == ["topic", "partition", "offset", "value"]
     assert verdicts(spark, [row["value"] for row in again.collect()]) == [True]
     assert replay.replayable(dead, dead, repair).count() == 0
+
+
+HOSTILE = {
+    "deep nesting": "[" * 5000,
+    "deep object": '{"a":' * 3000 + "1" + "}" * 3000,
+    "long number": with_field("price", "1" * 3000),
+    "long fraction": with_field("price", "0." + "1" * 3000),
+    "quantity overflow": with_field("quantity", "99999999999"),
+    "lone surrogate": with_field("product", '"\\ud800"'),
+    "bad escape": with_field("product", '"\\x"'),
+    "year out of range": with_field("ts", '"9999-12-31T23:59:59.999999+00:00"'),
+    "large exponent": with_field("price", "1e999"),
+    "long text": with_field("product", '"' + "x" * 300_000 + '"'),
+}
+
+
+@pytest.mark.parametrize("value", HOSTILE.values(), ids=HOSTILE.keys())
+def test_hostile_values_do_not_stop_the_query(spark, value):
+    decoded = decode.decode_orders(message_frame(spark, [value, GOOD]))
+    windows = revenue.revenue_by_window(decode.valid_orders(decoded))
+    assert windows.filter("product = 'mouse'").count() >= 1
+    assert decode.valid_orders(decoded).count() + decode.dead_letters(decoded).count() == 2
+    assert all(row["reason"] for row in decode.dead_letters(decoded).collect())
+
+
+def test_bytes_that_are_not_text_do_not_stop_the_query(spark):
+    rows = [("orders", 0, 0, bytearray(b'\xff\xfe{"a": 1')), ("orders", 0, 1, bytearray(GOOD.encode()))]
+    decoded = decode.decode_orders(spark.createDataFrame(rows, "topic string, partition int, offset bigint, value binary"))
+    assert decode.valid_orders(decoded).count() == 1
+    assert decode.dead_letters(decoded).select("reason").count() == 1
+    assert decode.dead_letters(decoded).select("raw_value").first()["raw_value"] is not None
