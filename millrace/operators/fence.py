@@ -34,9 +34,10 @@ def rejected_writes(writes: DataFrame, rows_per_piece: int = ROWS_PER_PIECE, key
     if hot.isEmpty():
         judged = timed.withColumn("highest", _highest_before(key))
     else:
-        timeline = Timeline.measure(timed, key, "time_us", hot, rows_per_piece)
         cold = timed.join(hot.select(key), key, "left_anti").withColumn("highest", _highest_before(key))
-        judged = cold.unionByName(_highest_of_hot(timed.join(hot.select(key), key, "left_semi"), timeline, key))
+        warm = stored(timed.join(hot.select(key), key, "left_semi"), "hot-rows")
+        timeline = Timeline.measure(warm, key, "time_us", hot, rows_per_piece)
+        judged = cold.unionByName(_highest_of_hot(warm, timeline, key))
     return judged.filter(F.col("fence") < F.col("highest")).select(*writes.columns)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 MAX_RETRIES = 3
 RETRY_DELAY_MS = 3000
 RETRY_HEADER = "x-retry-count"
+ERROR_HEADER = "x-last-error"
 
 Handler = Callable[[dict, int], None]
 

@@ -271,10 +271,11 @@ def ttl_status(
     if hot.isEmpty():
         folded = _fold_cold(timed, policy)
     else:
-        timeline = Timeline.measure(timed, "key", "time_us", hot, rows_per_piece)
         names = hot.select("key")
-        cold = _fold_cold(timed.join(names, "key", "left_anti"), policy)
-        warm = _fold_hot(timed.join(names, "key", "left_semi"), policy, timeline)
+        cold = _fold_cold(timed.join(names, "key", "left_anti").select(*timed.columns), policy)
+        # Read several times below, so the source is not scanned again for each.
+        warm_rows = stored(timed.join(names, "key", "left_semi").select(*timed.columns), "hot-rows")
+        warm = _fold_hot(warm_rows, policy, Timeline.measure(warm_rows, "key", "time_us", hot, rows_per_piece))
         folded = cold.unionByName(warm)
     served = folded.filter("is_read").withColumn("status", served_status(policy))
     return served.select(*requests.columns, "status", F.timestamp_micros("load_us").cast(requests.schema["ts"].dataType).alias("loaded_at"))

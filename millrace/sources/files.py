@@ -17,6 +17,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _system(spark, path).exists(_path(spark, path))
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder unless it is there; a stream cannot watch one that is not."""
+    _system(spark, path).mkdirs(_path(spark, path))
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of the ``column=value`` folders directly under ``path``; a missing path raises."""
     unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName

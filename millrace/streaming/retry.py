@@ -6,18 +6,23 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from millrace.functions.keys import json_text
 from millrace.operators.routing import (
+    ERROR_HEADER,
     MAX_RETRIES,
     RETRY_DELAY_MS,
+    RETRY_HEADER,
     Handler,
     deliver_once,
     order_handler,
     retry_wait_ms,
 )
+from millrace.sources import files
 from millrace.sources.keyed import write_batch
 
 DUE_SCHEMA = "message_id bigint, body string, retry_count bigint, last_error string, due_at timestamp"
@@ -104,6 +109,13 @@ def delayed_retries(
     )
 
 
+MESSAGE_SCHEMA = "message_id bigint, body string, headers map<string,string>"
+OUTCOME_SCHEMA = (
+    "message_id bigint, body string, target string, retry_count bigint, last_error string, "
+    "headers string, routed_at timestamp, batch_id bigint"
+)
+
+
 def outcome_writer(
     path: str, handler: Handler = order_handler, max_retries: int = MAX_RETRIES
 ) -> Callable[[DataFrame, int], None]:
@@ -116,6 +128,56 @@ def outcome_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         routed = deliver_once(batch, handler, max_retries)
         # One write, so the handler runs once per message and the three targets agree.
-        write_batch(routed.withColumn("headers", F.to_json("headers")), path, batch_id)
+        stamped = routed.withColumn("headers", F.to_json("headers")).withColumn("routed_at", F.current_timestamp())
+        write_batch(stamped, path, batch_id)
 
     return write
+
+
+def returned_messages(due: DataFrame) -> DataFrame:
+    """Messages whose delay is over, as they enter the main queue again."""
+    headers = F.create_map(
+        F.lit(RETRY_HEADER), F.col("retry_count").cast("string"), F.lit(ERROR_HEADER), json_text(F.col("last_error"))
+    )
+    return due.select("message_id", "body", headers.alias("headers"))
+
+
+def start_router(
+    arrivals: DataFrame,
+    tables: str,
+    checkpoint: str,
+    handler: Handler = order_handler,
+    max_retries: int = MAX_RETRIES,
+    trigger: str = "15 seconds",
+) -> StreamingQuery:
+    """Deliver new messages and returned ones, and store each outcome under ``tables``."""
+    spark = arrivals.sparkSession
+    files.make_folder(spark, f"{tables}/returned")
+    returned = spark.readStream.schema(f"{MESSAGE_SCHEMA}, batch_id bigint").parquet(f"{tables}/returned")
+    messages = arrivals.select("message_id", "body", "headers").unionByName(returned.drop("batch_id"))
+    write = outcome_writer(f"{tables}/outcomes", handler, max_retries)
+    writer = messages.writeStream.queryName("router").option("checkpointLocation", checkpoint)
+    return writer.trigger(processingTime=trigger).foreachBatch(write).start()
+
+
+def start_returns(
+    spark: SparkSession,
+    tables: str,
+    checkpoint: str,
+    delay_ms: int = RETRY_DELAY_MS,
+    growth: int = 1,
+    trigger: str = "1 second",
+) -> StreamingQuery:
+    """Bring messages in ``retry`` back to the router when their delay is over."""
+    files.make_folder(spark, f"{tables}/outcomes")
+    outcomes = spark.readStream.schema(OUTCOME_SCHEMA).parquet(f"{tables}/outcomes").filter("target = 'retry'")
+    failed = outcomes.select(
+        "message_id", "body", "retry_count", "last_error", F.col("routed_at").alias("failed_at")
+    )
+    due = delayed_retries(failed, delay_ms, growth)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(returned_messages(batch), f"{tables}/returned", batch_id)
+
+    writer = due.writeStream.queryName("returns").outputMode("append").option("checkpointLocation", checkpoint)
+    return writer.trigger(processingTime=trigger).foreachBatch(write).start()

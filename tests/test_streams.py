@@ -163,6 +163,43 @@ def test_live_clock_returns_old_and_new_messages(spark, folder):
     assert sorted(row["message_id"] for row in found) == [1, 2]
 
 
+def test_retry_loop_ends_every_message(spark, folder):
+    """New messages are delivered, failed ones return after a delay, and each ends done or dead."""
+    base = folder("loop")
+    bodies = {
+        1: '{"order_id": "order-1"}',
+        2: '{"order_id": "order-2", "simulate_failures": 2}',
+        3: '{"order_id": "order-3", "simulate_failures": 99}',
+        4: "{this is not json",
+    }
+    rows = [(number, body, {}) for number, body in bodies.items()] + [(5, bodies[1], {"x-retry-count": '"bad"'})]
+    messages.land_files(spark.createDataFrame(rows, retry.MESSAGE_SCHEMA), f"{base}/in")
+    arrivals = messages.file_stream(spark, f"{base}/in", schema=retry.MESSAGE_SCHEMA)
+    queries = [
+        retry.start_router(arrivals, f"{base}/tables", f"{base}/c1", trigger="1 second"),
+        retry.start_returns(spark, f"{base}/tables", f"{base}/c2", delay_ms=1000),
+    ]
+
+    def ended():
+        outcomes = spark.read.schema(retry.OUTCOME_SCHEMA).parquet(f"{base}/tables/outcomes")
+        return {row["message_id"]: row for row in outcomes.filter("target <> 'retry'").collect()}
+
+    found = {}
+    try:
+        deadline = time.monotonic() + 240
+        while len(found) < 5 and time.monotonic() < deadline:
+            time.sleep(2)
+            assert all(query.exception() is None for query in queries)
+            found = ended()
+    finally:
+        for query in queries:
+            query.stop()
+    assert {number: row["target"] for number, row in found.items()} == {1: "done", 2: "done", 3: "dead", 4: "dead", 5: "dead"}
+    assert {number: row["retry_count"] for number, row in found.items()} == {1: 0, 2: 2, 3: 3, 4: 0, 5: 0}
+    stored = spark.read.schema(retry.OUTCOME_SCHEMA).parquet(f"{base}/tables/outcomes")
+    assert stored.filter("message_id = 3").count() == 4
+
+
 def test_unknown_clock_is_refused(spark):
     with pytest.raises(ValueError, match="unknown clock"):
         retry.delayed_retries(spark.createDataFrame([], RETRY_SCHEMA), clock="sundial")
