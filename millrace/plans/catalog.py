@@ -577,12 +577,11 @@ def stream_ttl_status(spark, sf_dir):
 
     def start():
         stream = messages.file_stream(spark, f"{base}/in", schema=schema)
-        served = lookup_stream.ttl_status_stream(stream, ttl.CachePolicy(ttl=inputs.CACHE_TTL))
-        writer = served.writeStream.queryName("ttl").outputMode("append")
-        return writer.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).foreachBatch(
-            lambda batch, batch_id: keyed.write_batch(batch, f"{base}/served", batch_id)
-        ).start()
+        write = lookup_stream.ttl_writer(f"{base}/out", ttl.CachePolicy(ttl=inputs.CACHE_TTL))
+        writer = stream.writeStream.queryName("ttl").option("checkpointLocation", f"{base}/checkpoint")
+        return writer.trigger(availableNow=True).foreachBatch(write).start()
 
     replay_slices(time_slices(requests), f"{base}/in", start)
-    served = spark.read.schema("key bigint, ts timestamp, seq bigint, status string, batch_id bigint").parquet(f"{base}/served")
+    schema = "key bigint, ts timestamp_ntz, seq bigint, status string, batch_id bigint"
+    served = spark.read.schema(schema).parquet(f"{base}/out/served")
     return served.select("seq", "key", "status")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import fence
 from millrace.operators.ttl import CachePolicy, status_counts, ttl_status
+from millrace.streaming.lookup import ttl_writer
 
 START = datetime(2024, 1, 1)
 SCHEMA = "key string, ts timestamp_ntz, seq bigint, is_read boolean"
@@ -83,6 +84,21 @@ def test_batches_of_a_key_are_folded_on(spark):
     assert {row["seq"]: row["status"] for row in served} == model(rows, policy)
 
 
+@pytest.mark.parametrize("name, rows_per_piece", [("instant load", 10_000), ("slow load", 10_000), ("instant load", 30)])
+def test_batches_in_a_row_equal_the_model(spark, folder, name, rows_per_piece):
+    """Loads travel between batches in a table; a replayed batch changes nothing."""
+    path, policy = folder("ttl-batches"), POLICIES[name]
+    rows = random_rows(seed=21, count=300, span=90)
+    write = ttl_writer(path, policy, rows_per_piece)
+    for batch_id, (start, end) in enumerate([(0, 30), (30, 60), (60, 90)]):
+        part = [row for row in rows if START + timedelta(seconds=start) <= row[1] < START + timedelta(seconds=end)]
+        for _ in range(2 if batch_id == 1 else 1):
+            write(spark.createDataFrame(part, SCHEMA), batch_id)
+    served = spark.read.parquet(f"{path}/served").collect()
+    assert {row["seq"]: row["status"] for row in served} == model(rows, policy)
+    assert len(served) == sum(row[3] for row in rows)
+
+
 def test_counting_from_the_last_read_would_differ(spark):
     """Negative control: a sliding expiry calls the third read a hit."""
     rows = [("a", START + timedelta(seconds=at), at, True) for at in (0, 6, 12)]
