@@ -106,7 +106,9 @@ def _attempts(handler: Handler, max_retries: int, single: bool):
             results.append(tries)
         return pd.Series(results)
 
-    return run(F.col("body"), F.col("attempt"), F.col("header_error"))
+    # A handler may act on the world: declared so, the optimizer neither repeats nor moves the call.
+    once = run.asNondeterministic()
+    return once(F.col("body"), F.col("attempt"), F.col("header_error"))
 
 
 def route_target(status: Column, attempt: Column, max_retries: int = MAX_RETRIES) -> Column:
