@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.decontaminate import contaminated
+from millrace.llm.packing import packed
+from millrace.llm.personal_data import personal_data, span_digests
 from millrace.llm.quality_rules import judge_documents
 from millrace.llm.texts import table
 
@@ -14,6 +18,22 @@ def op1_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packed(table(spark, sf_dir, "documents"), *files)
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(personal_data(table(spark, sf_dir, "documents")))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality_rules": op1_host_quality_rules,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op7_personal_data": op7_personal_data,
 }

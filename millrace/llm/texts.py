@@ -31,36 +31,34 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def running(values: Column, combine: Callable[[Column, Column], Column], block: int = 256) -> Column:
-    """Running totals of a non-empty array<bigint> under ``combine``, in two levels of ``block`` values.
+def running(values: Column, of: str, block: int = 256) -> Column:
+    """Running totals ("sum") or maxima ("max") of a non-empty array<bigint>.
 
-    A block's values are folded per element and blocks per block, so the work per element stays
-    bounded by ``block`` and not by the length of the array.
+    Two levels of ``block`` values each: an element is folded with its block and blocks with
+    blocks, so the work per element stays bounded by ``block`` and not by the array's length.
     """
-    low = F.lit(-(2**62)).cast("bigint") if combine is F.greatest else F.lit(0).cast("bigint")
+    low = F.lit(0 if of == "sum" else -(2**62)).cast("bigint")
     size = F.lit(block)
 
+    def combine(a: Column, b: Column) -> Column:
+        return a + b if of == "sum" else F.greatest(a, b)
+
     def folded(part: Column) -> Column:
         return F.aggregate(part, low, combine)
 
-    def with_values(v: Column) -> Column:
-        blocks = F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(v) - 1) / size).cast("int")),
-            lambda b: folded(F.slice(v, b * size + 1, size)),
-        )
+    def whole(v: Column) -> Column:
+        block_of = lambda i: F.floor(i / size).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), block_of(F.size(v) - 1)), lambda b: folded(F.slice(v, b * size + 1, size)))
         before = let(blocks, lambda bs: F.transform(bs, lambda _, b: folded(F.slice(bs, F.lit(1), b))))
-        return let(
-            before,
-            lambda base: F.transform(
-                v,
-                lambda _, i: combine(
-                    F.get(base, F.floor(i / size).cast("int")),
-                    folded(F.slice(v, F.floor(i / size).cast("int") * size + 1, i % size + 1)),
-                ),
-            ),
-        )
-
-    return let(values, with_values)
+
+        def totals(known: Column) -> Column:
+            return F.transform(
+                v, lambda _, i: combine(F.get(known, block_of(i)), folded(F.slice(v, block_of(i) * size + 1, i % size + 1)))
+            )
+
+        return let(before, totals)
+
+    return let(values, whole)
 
 
 class WordHashes(dict):
