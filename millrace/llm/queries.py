@@ -12,6 +12,7 @@ from millrace.llm.packing import packed
 from millrace.llm.personal_data import personal_data, span_digests
 from millrace.llm.quality_rules import judge_documents
 from millrace.llm.texts import table
+from millrace.llm.toxicity import toxicity
 
 
 def op1_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,9 +32,14 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(personal_data(table(spark, sf_dir, "documents")))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality_rules": op1_host_quality_rules,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op7_personal_data": op7_personal_data,
+    "op8_toxicity": op8_toxicity,
 }
