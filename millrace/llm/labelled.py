@@ -12,8 +12,8 @@ def remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % divisor
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, divisor: int, held_out: int, rows: int, text: str = "text") -> DataFrame:
-    """At most ``rows`` labelled documents outside the held-out remainder: text, label, fold (0 or 1).
+def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, divisor: int, held_out: int, rows: int, columns: tuple[str, ...] = ("text",)) -> DataFrame:
+    """``columns`` of at most ``rows`` labelled documents outside the held-out remainder, label and fold (0 or 1).
 
     The sample is drawn from the labels by hash of the id, so it is the same in every run. Its ids
     are what is broadcast, 16 bytes each. NULL labels and ids are left out, and of an id that is
@@ -23,8 +23,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, divisor
     usable = usable.groupBy(F.col("doc_id").alias("sampled_id")).agg(F.max(F.col(label)).cast("int").alias("label"))
     drawn = usable.orderBy(F.xxhash64("sampled_id"), "sampled_id").limit(rows)
     fold = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("fold")), F.lit(2)).cast("int")
-    joined = documents.select("doc_id", F.col(text).alias("text")).join(F.broadcast(drawn), F.col("doc_id") == F.col("sampled_id"))
-    return joined.select("text", "label", fold.alias("fold"))
+    joined = documents.select("doc_id", *columns).join(F.broadcast(drawn), F.col("doc_id") == F.col("sampled_id"))
+    return joined.select(*columns, "label", fold.alias("fold"))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

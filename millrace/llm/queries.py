@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm.decontaminate import contaminated
 from millrace.llm.packing import packed
 from millrace.llm.personal_data import personal_data, span_digests
+from millrace.llm.quality_classifier import judged
 from millrace.llm.quality_rules import judge_documents
 from millrace.llm.texts import table
 from millrace.llm.toxicity import toxicity
@@ -28,6 +29,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), *files)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(personal_data(table(spark, sf_dir, "documents")))
 
@@ -40,6 +45,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality_rules": op1_host_quality_rules,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_quality_classifier": op4_quality_classifier,
     "op7_personal_data": op7_personal_data,
     "op8_toxicity": op8_toxicity,
 }
