@@ -14,6 +14,7 @@ from millrace.llm.quality_classifier import judged
 from millrace.llm.quality_rules import judge_documents
 from millrace.llm.texts import table
 from millrace.llm.toxicity import toxicity
+from millrace.llm.warc import archive_and_read
 
 
 def op1_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +42,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_and_read(table(spark, sf_dir, "pages"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality_rules": op1_host_quality_rules,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -48,4 +53,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": op4_quality_classifier,
     "op7_personal_data": op7_personal_data,
     "op8_toxicity": op8_toxicity,
+    "op9_warc_archive": op9_warc_archive,
 }
