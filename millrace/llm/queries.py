@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.decontaminate import contaminated
+from millrace.llm.licences import licence_scan
 from millrace.llm.packing import packed
 from millrace.llm.personal_data import personal_data, span_digests
 from millrace.llm.quality_classifier import judged
@@ -34,6 +35,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(table(spark, sf_dir, "documents"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(personal_data(table(spark, sf_dir, "documents")))
 
@@ -51,6 +56,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_licence_scan": op5_licence_scan,
     "op7_personal_data": op7_personal_data,
     "op8_toxicity": op8_toxicity,
     "op9_warc_archive": op9_warc_archive,
