@@ -44,6 +44,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 O
 FROM judged LEFT JOIN hosts USING (source)
 """
 
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT rid, array_to_string(ws[p0:p0 + 3], ' ') AS s
+  FROM (SELECT rid, ws, unnest(range(1, greatest(len(ws) - 3, least(len(ws), 1)) + 1)) AS p0 FROM docs)),
+sizes AS (SELECT rid, count(*) AS n FROM shingles GROUP BY rid),
+common AS (
+  SELECT x.rid AS a, y.rid AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.rid < y.rid GROUP BY 1, 2),
+half AS (
+  SELECT a, b FROM common JOIN sizes p ON p.rid = a JOIN sizes q ON q.rid = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+reach(rid, other) AS (
+  SELECT rid, rid FROM docs UNION SELECT reach.rid, links.b FROM reach JOIN links ON links.a = reach.other),
+lowest AS (SELECT reach.rid, min(doc_id) AS component_id FROM reach JOIN docs ON docs.rid = reach.other GROUP BY reach.rid)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, coalesce(component_id = doc_id, FALSE) AS kept
+FROM docs JOIN lowest USING (rid) LEFT JOIN sizes USING (rid)
+"""
+
 LLM_ORACLE: dict[str, str] = {
     "op1_host_quality_rules": HOST_QUALITY_RULES,
+    "op6_near_duplicates": NEAR_DUPLICATES,
 }

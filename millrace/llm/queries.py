@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.decontaminate import contaminated
 from millrace.llm.licences import licence_scan
+from millrace.llm.near_duplicates import near_duplicates
 from millrace.llm.packing import packed
 from millrace.llm.personal_data import personal_data, span_digests
 from millrace.llm.quality_classifier import judged
@@ -39,6 +40,10 @@ def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_scan(table(spark, sf_dir, "documents"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(personal_data(table(spark, sf_dir, "documents")))
 
@@ -57,6 +62,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_licence_scan": op5_licence_scan,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_personal_data": op7_personal_data,
     "op8_toxicity": op8_toxicity,
     "op9_warc_archive": op9_warc_archive,
