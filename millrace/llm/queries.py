@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.context_mixing import mixed_scores
 from millrace.llm.decontaminate import contaminated
 from millrace.llm.licences import licence_scan
 from millrace.llm.near_duplicates import near_duplicates
@@ -41,7 +42,7 @@ def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +57,10 @@ def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_and_read(table(spark, sf_dir, "pages"))
 
 
+def op10_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_scores(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality_rules": op1_host_quality_rules,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -66,4 +71,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_personal_data": op7_personal_data,
     "op8_toxicity": op8_toxicity,
     "op9_warc_archive": op9_warc_archive,
+    "op10_context_mixing": op10_context_mixing,
 }
