@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from millrace.llm.components import connected_components
 from millrace.llm.texts import WordHashes, stored, word_hashes
 
-SHINGLE = 4
+SHINGLE = 5
 PERCENT = 80
 # Values per small key and small keys per side. Of two sets with similarity 0.8 a side shares no
 # key with probability (1 - 0.8 ** 3) ** 14 < 5e-5.
@@ -220,14 +220,8 @@ def unsettled_pairs(compared: DataFrame, roots: DataFrame, sets: DataFrame, perc
     return outside.unionByName(inside).select(F.least("key_x", "key_y").alias("a"), F.greatest("key_x", "key_y").alias("b")).distinct()
 
 
-def near_duplicates(documents: DataFrame, text: str = "text", percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row.
-
-    Rows whose sets have ``percent`` percent of their union in common are linked; ``component_id`` is
-    the smallest doc_id that links reach. Rows without words or text are linked with nothing. Rows
-    that share a doc_id are rows of their own; one without doc_id has the component_id of what it is
-    linked with, NULL if nothing has an id, and is never kept.
-    """
+def grouped(documents: DataFrame, text: str = "text", percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
+    """doc_id, text_key, n_shingles and root of every row; ``root`` names the group, NULL for texts without words."""
     signed = stored(signatures(documents, text, width), "signatures")
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("rep")
     classes = signed.filter(F.col("set_key").isNotNull()).groupBy("set_key").agg(rep, F.first("small").alias("small"))
@@ -249,9 +243,44 @@ def near_duplicates(documents: DataFrame, text: str = "text", percent: int = PER
     more = stored(similarities(rest, sets, sets, percent).drop("outside"), "more-similarities").filter(_linked(percent)).select("a", "b")
     roots = connected_components(edges.unionByName(more))
 
-    labelled = signed.select("doc_id", "n_shingles", "set_key").join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
-    labelled = stored(labelled.select("doc_id", "n_shingles", F.coalesce("root", "set_key").alias("root")), "labelled")
+    labelled = signed.select("doc_id", "text_key", "n_shingles", "set_key").join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
+    return stored(labelled.select("doc_id", "text_key", "n_shingles", F.coalesce("root", "set_key").alias("root")), "labelled")
+
+
+def near_duplicates(documents: DataFrame, text: str = "text", percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row.
+
+    Rows whose sets have ``percent`` percent of their union in common are linked; ``component_id`` is
+    the smallest doc_id that links reach. Rows without words or text are linked with nothing. Rows
+    that share a doc_id are rows of their own; one without doc_id has the component_id of what it is
+    linked with, NULL if nothing has an id, and is never kept.
+    """
+    labelled = grouped(documents, text, percent, width)
     lowest = stored(labelled.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("lowest")), "lowest-ids")
     final = labelled.join(lowest, "root", "left")
     component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("lowest"))
     return final.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
+
+
+def representatives(documents: DataFrame, text: str = "text", percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
+    """One row of each group of near duplicates, and all rows without words: all columns as they were.
+
+    It is the row with the smallest doc_id; of rows that share that, the one whose text hashes
+    lowest, and of repeated rows any one. A group without any doc_id keeps one row too.
+    """
+    labelled = grouped(documents, text, percent, width)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("least")
+    chosen = labelled.filter(F.col("root").isNotNull()).groupBy("root").agg(least).select(F.col("least.doc_id").alias("chosen_id"), F.col("least.text_key").alias("chosen_text"))
+    copies = labelled.filter(F.col("root").isNotNull()).groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"))
+    same = F.col("chosen_id").eqNullSafe(F.col("doc_id")) & (F.col("chosen_text") == F.col("text_key"))
+    chosen = stored(chosen.join(copies, same).select("chosen_id", "chosen_text", "copies"), "chosen")
+
+    def rows(of: DataFrame) -> DataFrame:
+        own = documents["doc_id"].cast("long").eqNullSafe(of["chosen_id"]) & (F.xxhash64(documents[text]) == of["chosen_text"])
+        return documents.join(of, own, "left_semi")
+
+    # Repeated rows are rare: only they are brought together, to drop all but one.
+    single = rows(stored(chosen.filter("copies = 1"), "chosen-once"))
+    repeated = rows(stored(chosen.filter("copies > 1"), "chosen-repeated")).dropDuplicates(["doc_id", text])
+    wordless = documents.filter(~F.coalesce(documents[text], F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    return single.unionByName(repeated).unionByName(wordless)

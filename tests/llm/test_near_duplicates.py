@@ -8,19 +8,19 @@ import parity
 import pytest
 
 from millrace.llm.components import connected_components
-from millrace.llm.near_duplicates import _FACTORS, near_duplicates, shingles, small_keys
+from millrace.llm.near_duplicates import _FACTORS, near_duplicates, representatives, shingles, small_keys
 from millrace.llm.oracle import LLM_ORACLE
 from millrace.llm.queries import LLM_QUERIES
 
 SF = "/root/testdata/sf0.001"
 
 
-def brute(rows):
+def brute(rows, width=4):
     """By the contract, all pairs."""
     sets = []
     for _, text in rows:
         w = re.findall(r"[^ \t-\r]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
-        sets.append({tuple(w[i : i + 4]) for i in range(max(len(w) - 3, 1))} if w else set())
+        sets.append({tuple(w[i : i + width]) for i in range(max(len(w) - width + 1, 1))} if w else set())
     root = list(range(len(rows)))
 
     def top(i):
@@ -70,7 +70,7 @@ def test_families_equal_brute_force(spark, seed):
     texts += [" ".join(rng.choices(vocabulary, k=50)) for _ in range(100)] + ["", " ", None, "a b", "A  b", "a b c", "a b c d"]
     rng.shuffle(texts)
     rows = [(i * 3 + 5, t) for i, t in enumerate(texts)]
-    assert rows_of(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert rows_of(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=4)) == brute(rows)
 
 
 def test_hashes_estimate_similarity():
@@ -79,7 +79,7 @@ def test_hashes_estimate_similarity():
     matches = [np.mean(small_keys(np.sort(pool[:1000])) == small_keys(np.sort(pool[k : 1000 + k]))) for k in (0, 112)]
     assert matches[0] == 1 and 0.2 < matches[1] < 0.8  # 0.8 ** 3 = 0.51
     assert len(set(_FACTORS.tolist())) == len(_FACTORS)
-    assert len(shingles(np.arange(1, 4, dtype=np.uint64))) == 1
+    assert len(shingles(np.arange(1, 4, dtype=np.uint64), 4)) == 1
 
 
 def test_components_of_long_chains(spark):
@@ -90,7 +90,12 @@ def test_components_of_long_chains(spark):
 
 def test_awkward_rows(spark, awkward, no_documents):
     rows = [(r["doc_id"], r["text"]) for r in awkward.collect()]
-    assert rows_of(near_duplicates(awkward)) == brute(rows)
+    assert rows_of(near_duplicates(awkward, width=4)) == brute(rows)
     rows = [(None, "a b c d e f"), (None, "a b c d e f"), (4, "a b c d e f"), (4, "other words are in here"), (2, "other words are in here"), (None, "alone it stands in here")]
-    assert rows_of(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert rows_of(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=4)) == brute(rows)
     assert near_duplicates(no_documents).count() == 0
+    kept = representatives(awkward)
+    assert kept.columns == awkward.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([1, 2, 3, None, 5, 6, 7, 8, 9], key=str)
+    rows = [r["text"] for r in representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(rows) == ["a b c d e f", "alone it stands in here", "other words are in here"]
