@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MAX_STORED_CHARS = 10_000
-
-
-def storable_text(text: Column, max_chars: int = MAX_STORED_CHARS) -> Column:
-    """Text a row store accepts: NULL becomes empty, NUL becomes U+FFFD, length is bounded."""
-    return F.substring(F.translate(F.coalesce(text, F.lit("")), "\x00", "�"), 1, max_chars)
+def storable_text(text: Column) -> Column:
+    """Text a row store accepts, whole: NULL becomes empty and NUL becomes U+FFFD."""
+    return F.replace(F.coalesce(text, F.lit("")), F.lit("\x00"), F.lit("�"))
 
 
 # Words are runs of letters, marks, digits and underscores.

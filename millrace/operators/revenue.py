@@ -22,7 +22,7 @@ def revenue_by_window(orders: DataFrame, window: str = "1 minute", watermark: st
             F.col("window.end").alias("window_end"),
             "product",
             "orders_count",
-            F.col("revenue").cast("decimal(26,2)").alias("revenue"),
+            F.round("revenue", 2).alias("revenue"),
         )
     )
 
