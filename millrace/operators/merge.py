@@ -7,21 +7,19 @@ from pyspark.sql import functions as F
 
 
 def latest_by_key(rows: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """The row with the highest ``version`` of each key. Versions of a key must differ.
+    """The row with the highest ``version`` of each key, combined before the shuffle.
 
-    One aggregate per column instead of one per row keeps fixed-width columns in Spark's hash
-    aggregation; either way versions are combined before the shuffle.
+    The row is picked as a whole: of rows with equal versions the largest one stays, and columns
+    of different rows never mix.
     """
     others = [name for name in rows.columns if name not in (*keys, version)]
-    picked = [F.max_by(name, version).alias(name) for name in others]
-    return rows.groupBy(*keys).agg(*picked).select(*keys, *others)
+    return rows.groupBy(*keys).agg(F.max(F.struct(version, *others)).alias("picked")).select(*keys, *[f"picked.{name}" for name in others])
 
 
 def earliest_by_key(rows: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """The row with the lowest ``version`` of each key: the one stored first stays."""
+    """The row with the lowest ``version`` of each key, picked as a whole: the one stored first stays."""
     others = [name for name in rows.columns if name not in (*keys, version)]
-    picked = [F.min_by(name, version).alias(name) for name in others]
-    return rows.groupBy(*keys).agg(*picked).select(*keys, *others)
+    return rows.groupBy(*keys).agg(F.min(F.struct(version, *others)).alias("picked")).select(*keys, *[f"picked.{name}" for name in others])
 
 
 def merge_rows(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:

@@ -29,12 +29,19 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted(unescape(name.split("=", 1)[1]) for name in names if name.startswith(f"{column}="))
 
 
-def partition_path(spark: SparkSession, path: str, column: str, value: str) -> str:
+# Folder of rows whose partition value is NULL or empty text.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_path(spark: SparkSession, path: str, column: str, value: str | None) -> str:
+    """Folder of a partition; ``None`` is the partition of rows without a value."""
+    if value is None or value == "":
+        return f"{path}/{column}={NO_VALUE}"
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     return f"{path}/{column}={escape(value)}"
 
 
-def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+def drop_partition(spark: SparkSession, path: str, column: str, value: str | None) -> None:
     """Remove one partition folder; a folder that is already gone is fine."""
     folder = partition_path(spark, path, column, value)
     _system(spark, folder).delete(_path(spark, folder), True)
@@ -42,3 +49,9 @@ def drop_partition(spark: SparkSession, path: str, column: str, value: str) -> N
 
 def folder_bytes(spark: SparkSession, path: str) -> int:
     return _system(spark, path).getContentSummary(_path(spark, path)).getLength()
+
+
+def drop_folders(spark: SparkSession, *paths: str) -> None:
+    """Remove folders of staged rows whose consumer has committed."""
+    for path in paths:
+        _system(spark, path).delete(_path(spark, path), True)

@@ -20,7 +20,7 @@ from millrace.sources import files
 # Columns of the two result tables and their keys.
 REVENUE_SCHEMA = (
     "window_start timestamp NOT NULL, window_end timestamp NOT NULL, product string NOT NULL, "
-    "orders_count bigint NOT NULL, revenue decimal(26,2) NOT NULL"
+    "orders_count bigint NOT NULL, revenue double NOT NULL"
 )
 REVENUE_KEY = ["window_start", "product"]
 DEAD_LETTER_SCHEMA = (
@@ -58,8 +58,15 @@ def enforce_contract(df: DataFrame, schema: str) -> DataFrame:
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Store one batch under its id, replacing an earlier attempt at the same batch.
 
-    The rebalance keeps a small batch in one file and cuts a large one into files of even size.
+    The old folder goes first, so a batch that is empty now leaves nothing behind. A crash in
+    between is mended by the replay that follows it.
     """
+    files.drop_partition(df.sparkSession, path, "batch_id", str(batch_id))
+    _write_folder(df, path, batch_id)
+
+
+def _write_folder(df: DataFrame, path: str, batch_id: int) -> None:
+    """The rebalance keeps a small batch in one file and cuts a large one into files of even size."""
     (
         df.hint("rebalance")
         .withColumn("batch_id", F.lit(batch_id).cast("long"))
@@ -104,9 +111,18 @@ def read_first(
     return earliest_by_key(read_batches(spark, path, schema), key, "batch_id")
 
 
-def fold_batches(spark: SparkSession, path: str, schema: str = REVENUE_SCHEMA, key: list[str] = REVENUE_KEY) -> int:
+def fold_batches(
+    spark: SparkSession,
+    path: str,
+    schema: str = REVENUE_SCHEMA,
+    key: list[str] = REVENUE_KEY,
+    keep: Callable[[DataFrame, list[str], str], DataFrame] = latest_by_key,
+) -> int:
     """Combine all batches but the newest into one and drop the superseded ones.
 
+    ``keep`` is how the table's readers pick a row: ``latest_by_key``, or ``earliest_by_key`` where
+    the first copy stays.
+
     The newest batch is left alone because its query may still replay it. A crash at any point
     leaves rows that read the same. Returns the number of folders dropped.
     """
@@ -116,13 +132,19 @@ def fold_batches(spark: SparkSession, path: str, schema: str = REVENUE_SCHEMA, k
         return 0
     staged = scratch(spark, "fold")
     stored = read_batches(spark, path, schema).filter(F.col("batch_id") <= old[-1])
-    latest_by_key(stored, key, "batch_id").write.parquet(staged)
-    write_batch(spark.read.schema(schema).parquet(staged), path, old[-1])
+    keep(stored, key, "batch_id").write.parquet(staged)
+    _write_folder(spark.read.schema(schema).parquet(staged), path, old[-1])
     for batch_id in old[:-1]:
         files.drop_partition(spark, path, "batch_id", str(batch_id))
+    files.drop_folders(spark, staged)
     return len(old) - 1
 
 
+def fold_first(spark: SparkSession, path: str, schema: str = DEAD_LETTER_SCHEMA, key: list[str] = DEAD_LETTER_KEY) -> int:
+    """Like fold_batches, for a table whose first copy of a key stays."""
+    return fold_batches(spark, path, schema, key, earliest_by_key)
+
+
 def merge_into_catalog(batch: DataFrame, table: str, key: list[str]) -> None:
     """Upsert into a catalog table whose format has row-level MERGE."""
     spark = batch.sparkSession

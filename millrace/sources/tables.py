@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -138,12 +139,13 @@ class LoadedTable:
         return len(old)
 
 
-def merge_into_path(spark: SparkSession, path: str, changes: DataFrame, schema: str, key: str, by: str) -> list[str]:
+def merge_into_path(spark: SparkSession, path: str, changes: DataFrame, schema: str, key: str, by: str) -> list[str | None]:
     """Merge ``changes`` into a partitioned table by ``key``, rewriting only touched partitions.
 
     A partition is touched when it gains a row or holds an old version of one. The new rows are
     staged first and then replace the touched partitions; repeating the merge, also after a
-    crash in between, ends with the same rows. Returns the touched partitions.
+    crash in between, ends with the same rows. Rows without a partition value (NULL, which empty
+    text becomes) have a partition of their own. Returns the touched partitions, that one as None.
     """
     staged_changes = scratch(spark, "changes")
     changes.write.parquet(staged_changes)
@@ -151,30 +153,31 @@ def merge_into_path(spark: SparkSession, path: str, changes: DataFrame, schema:
     target = spark.read.schema(schema).parquet(path)
     old_places = target.select(key, by).join(changes.select(key), key, "left_semi").select(by)
     # At most one value per partition folder.
-    touched = [row[0] for row in old_places.union(changes.select(by)).distinct().collect()]
+    touched = {row[0] if row[0] != "" else None for row in old_places.union(changes.select(by)).distinct().collect()}
+    in_touched = F.col(by).isin([value for value in touched if value is not None])
+    in_touched = (in_touched | F.col(by).isNull()) if None in touched else in_touched
     staged = scratch(spark, "merge")
-    merged = merge_rows(target.filter(F.col(by).isin(touched)), changes, key)
+    merged = merge_rows(target.filter(in_touched), changes, key)
     merged.write.parquet(staged)
     result = spark.read.schema(schema).parquet(staged)
     write_partitioned(result, path, by, "overwrite")
-    filled = {row[0] for row in result.select(by).distinct().collect()}
+    filled = {row[0] if row[0] != "" else None for row in result.select(by).distinct().collect()}
     for value in touched:
         if value not in filled:
-            files.drop_partition(spark, path, by, str(value))
-    return sorted(touched)
+            files.drop_partition(spark, path, by, None if value is None else str(value))
+    files.drop_folders(spark, staged_changes, staged)
+    return sorted(touched, key=lambda value: (value is None, value))
 
 
 def drop_expired_days(spark: SparkSession, path: str, as_of: str, days: int = 7) -> list[str]:
     """Drop daily partitions that are ``days`` old or older at ``as_of``; returns their names.
 
-    Age counts from the day a partition is named after. Nothing is rewritten.
+    Age counts from the day a partition is named after. A partition without a day in its name, as
+    that of lines without a time, has no age and stays. Nothing is rewritten.
     """
     limit = date.fromisoformat(as_of) - timedelta(days=days)
-    old = [
-        name
-        for name in files.partition_values(spark, path, "day")
-        if datetime.strptime(name, "%Y.%m.%d").date() <= limit
-    ]
+    named = [name for name in files.partition_values(spark, path, "day") if re.fullmatch(r"\d{4}\.\d\d\.\d\d", name)]
+    old = [name for name in named if datetime.strptime(name, "%Y.%m.%d").date() <= limit]
     for name in old:
         files.drop_partition(spark, path, "day", name)
     return old
@@ -192,6 +195,7 @@ def compact_partition(spark: SparkSession, path: str, by: str, value: str, file_
     rows.write.parquet(staged)
     again = spark.read.schema(rows.schema).parquet(staged).withColumn(by, F.lit(value)).repartition(wanted)
     again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    files.drop_folders(spark, staged)
     return wanted
 
 

@@ -94,6 +94,22 @@ def test_merge_moves_rows_between_partitions(spark, folder):
     assert stored() == wanted
 
 
+def test_merge_keeps_rows_without_a_category(spark, folder):
+    path = folder("merge-null")
+    schema = "id int, n int, category string"
+    target = spark.createDataFrame([(1, 1, None), (2, 1, None), (3, 1, "a"), (4, 1, "")], schema)
+    tables.write_partitioned(target, path, "category", "append")
+    changes = spark.createDataFrame([(1, 2, "a"), (3, 2, None), (5, 2, None)], schema)
+    wanted = {(1, 2, "a"), (2, 1, None), (3, 2, None), (4, 1, None), (5, 2, None)}
+    for _ in range(2):
+        touched = tables.merge_into_path(spark, path, changes, schema, "id", "category")
+        assert touched == ["a", None]
+        assert {tuple(row) for row in spark.read.schema(schema).parquet(path).collect()} == wanted
+    moved = spark.createDataFrame([(n, 3, "b") for n in (2, 3, 4, 5)], schema)
+    tables.merge_into_path(spark, path, moved, schema, "id", "category")
+    assert files.partition_values(spark, path, "category") == ["a", "b"]
+
+
 def test_catalog_table_is_created_once(spark, folder):
     location = folder("catalog")
     for _ in range(2):
@@ -112,6 +128,11 @@ def test_retention_drops_days_of_that_age(spark, folder):
     assert tables.drop_expired_days(spark, path, "2024-01-31") == ["2024.01.23", "2024.01.24"]
     assert files.partition_values(spark, path, "day") == ["2024.01.25", "2024.01.31"]
     assert tables.drop_expired_days(spark, path, "2024-01-31") == []
+    # Lines without a time have no age and do not stand in the way.
+    undated = spark.sql("SELECT CAST(NULL AS STRING) AS day, 'x' AS message UNION ALL SELECT '2024.01.20', 'y'")
+    tables.write_partitioned(undated, path, "day", "append")
+    assert tables.drop_expired_days(spark, path, "2024-01-31") == ["2024.01.20"]
+    assert spark.read.parquet(path).filter("day IS NULL").count() == 1
 
 
 def test_compaction_keeps_rows_in_fewer_files(spark, folder):
