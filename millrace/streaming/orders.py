@@ -56,15 +56,28 @@ def start_dead_letters(
 def run(
     spark: SparkSession, messages: DataFrame, tables: str, checkpoints: str, timeout: int | None = None, **options
 ) -> None:
-    """Run both queries until either one stops, then stop the other; a failure is raised."""
+    """Run both queries until either one stops, then stop the other; a failure is raised.
+
+    With ``once`` both work through what there is, and the job ends when both have. ``trigger`` and
+    ``once`` hold for both queries, the other options for revenue.
+    """
     # Queries that ended earlier in this session must not end this job.
     spark.streams.resetTerminated()
     queries = [
         start_revenue(messages, f"{tables}/revenue", f"{checkpoints}/revenue", **options),
-        start_dead_letters(messages, f"{tables}/dead_letters", f"{checkpoints}/dead_letters"),
+        start_dead_letters(
+            messages,
+            f"{tables}/dead_letters",
+            f"{checkpoints}/dead_letters",
+            **{name: value for name, value in options.items() if name in ("trigger", "once")},
+        ),
     ]
     try:
-        spark.streams.awaitAnyTermination(timeout)
+        if options.get("once"):
+            for query in queries:
+                query.awaitTermination(timeout)
+        else:
+            spark.streams.awaitAnyTermination(timeout)
     finally:
         for query in queries:
             query.stop()

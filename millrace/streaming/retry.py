@@ -19,7 +19,6 @@ from millrace.operators.routing import (
     RETRY_HEADER,
     Handler,
     deliver_once,
-    order_handler,
     retry_wait_ms,
 )
 from millrace.sources import files
@@ -117,7 +116,7 @@ OUTCOME_SCHEMA = (
 
 
 def outcome_writer(
-    path: str, handler: Handler = order_handler, max_retries: int = MAX_RETRIES
+    path: str, handler: Handler, max_retries: int = MAX_RETRIES
 ) -> Callable[[DataFrame, int], None]:
     """A batch callback for ``foreachBatch``: route a batch of messages into done, retry and dead.
 
@@ -146,7 +145,7 @@ def start_router(
     arrivals: DataFrame,
     tables: str,
     checkpoint: str,
-    handler: Handler = order_handler,
+    handler: Handler,
     max_retries: int = MAX_RETRIES,
     trigger: str = "15 seconds",
 ) -> StreamingQuery:
