@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions.keys import lookup_key, product_name, product_price
 from millrace.operators import decode, fence, logs, lookup, merge, replay, revenue, routing, ttl
 from millrace.plans import inputs
+from millrace.plans.handlers import order_handler
 from millrace.plans.replayed import replay as replay_slices
 from millrace.plans.replayed import time_slices
 from millrace.session import scratch, stored, tune
@@ -156,6 +157,18 @@ def stored_dead_letters(spark, sf_dir):
     return keyed.read_first(spark, path).drop("received_at")
 
 
+@query
+def folded_dead_letters(spark, sf_dir):
+    path = scratch(spark, "insert-folded")
+    dead = stored(decode.dead_letters(_decoded(spark, sf_dir)), "dead")
+    write = keyed.insert_writer(path)
+    for batch_id in range(3):
+        write(dead.filter(F.col("kafka_partition") <= batch_id), batch_id)
+    write(dead.withColumn("reason", F.lit("a later copy")), 3)
+    keyed.fold_first(spark, path)
+    return keyed.read_first(spark, path).drop("received_at")
+
+
 @query
 def replayable_orders(spark, sf_dir):
     dead = decode.dead_letters(_decoded(spark, sf_dir))
@@ -288,13 +301,13 @@ def strict_decode(spark, sf_dir):
 
 @query
 def delivered_once(spark, sf_dir):
-    routed = routing.deliver_once(inputs.order_messages(spark, sf_dir))
+    routed = routing.deliver_once(inputs.order_messages(spark, sf_dir), order_handler)
     return routed.select("message_id", "target", "retry_count", "last_error")
 
 
 @query
 def message_outcomes(spark, sf_dir):
-    outcomes = routing.final_outcomes(inputs.order_messages(spark, sf_dir))
+    outcomes = routing.final_outcomes(inputs.order_messages(spark, sf_dir), order_handler)
     return outcomes.select(
         "message_id", "target", F.col("attempts").cast("long").alias("attempts"), "retry_count", "last_error"
     )
@@ -302,29 +315,29 @@ def message_outcomes(spark, sf_dir):
 
 @query
 def attempt_ledger(spark, sf_dir):
-    ledger = routing.attempt_ledger(inputs.order_messages(spark, sf_dir))
+    ledger = routing.attempt_ledger(inputs.order_messages(spark, sf_dir), order_handler)
     return ledger.select("message_id", "attempt", "status", "error", "target")
 
 
 @query
 def attempts_per_message(spark, sf_dir):
-    return routing.attempts_per_message(routing.attempt_ledger(inputs.order_messages(spark, sf_dir)))
+    return routing.attempts_per_message(routing.attempt_ledger(inputs.order_messages(spark, sf_dir), order_handler))
 
 
 @query
 def queue_depths(spark, sf_dir):
-    return routing.queue_depths(routing.deliver_once(inputs.order_messages(spark, sf_dir)))
+    return routing.queue_depths(routing.deliver_once(inputs.order_messages(spark, sf_dir), order_handler))
 
 
 @query
 def message_conservation(spark, sf_dir):
-    return routing.conservation(routing.deliver_once(inputs.order_messages(spark, sf_dir)))
+    return routing.conservation(routing.deliver_once(inputs.order_messages(spark, sf_dir), order_handler))
 
 
 @query
 def stored_outcomes(spark, sf_dir):
     path = scratch(spark, "outcomes")
-    write = retry_stream.outcome_writer(path)
+    write = retry_stream.outcome_writer(path, order_handler)
     received = inputs.order_messages(spark, sf_dir)
     write(received, 0)
     write(received, 0)
@@ -333,7 +346,7 @@ def stored_outcomes(spark, sf_dir):
 
 def _failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failed attempts that go to the retry queue, with the time of the first delivery."""
-    ledger = routing.attempt_ledger(inputs.order_messages(spark, sf_dir))
+    ledger = routing.attempt_ledger(inputs.order_messages(spark, sf_dir), order_handler)
     return ledger.filter("target = 'retry'")
 
 
@@ -405,6 +418,11 @@ def lookup_fail_open(spark, sf_dir):
     return _fail_open(spark, sf_dir).select("seq", "key", "value", "status")
 
 
+@query
+def served_status_counts(spark, sf_dir):
+    return _fail_open(spark, sf_dir).groupBy("status").agg(F.count("*").alias("requests"))
+
+
 @query
 def bypass_alerts(spark, sf_dir):
     return replay.bypass_alerts(_fail_open(spark, sf_dir), "ts", "day", 0.5).withColumn(
@@ -484,16 +502,16 @@ def retained_days(spark, sf_dir):
 @query
 def shipped_logs(spark, sf_dir):
     root = scratch(spark, "containers")
-    lines = inputs.log_lines(spark, sf_dir).select(
-        "container_id",
-        F.to_json(
-            F.struct(
-                F.concat("message", F.lit("\n")).alias("log"),
-                "stream",
-                F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("time"),
-            )
-        ).alias("value"),
+    line = F.to_json(
+        F.struct(
+            F.concat("message", F.lit("\n")).alias("log"),
+            "stream",
+            F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("time"),
+        )
     )
+    # What lost its time is not in the runtime's format at all.
+    value = F.when(F.col("ts").isNull(), F.col("message")).otherwise(line)
+    lines = inputs.log_lines(spark, sf_dir).select("container_id", value.alias("value"))
     lines.hint("rebalance", "container_id").write.partitionBy("container_id").text(root)
     found = container_logs.scan(spark, root, "*/*.txt")
     collected = logs.collect_opted_in(found, inputs.containers(spark, sf_dir))
@@ -543,11 +561,25 @@ def stream_dead_letters(spark, sf_dir):
     return keyed.read_first(spark, f"{base}/dead").drop("received_at")
 
 
+@query
+def stream_job(spark, sf_dir):
+    """Both tables of the order job, counted after it has worked through all messages."""
+    base = scratch(spark, "stream-job")
+    for rows in _message_slices(spark, sf_dir):
+        messages.land_files(rows, f"{base}/in")
+    log = messages.message_stream(spark, "files", path=f"{base}/in")
+    orders_job.run(spark, log, f"{base}/tables", f"{base}/checkpoints", once=True, watermark="100 days")
+    windows = keyed.read_latest(spark, f"{base}/tables/revenue")
+    dead = keyed.read_first(spark, f"{base}/tables/dead_letters")
+    counted = windows.agg(F.lit("revenue").alias("result"), F.count("*").alias("n"), F.sum("orders_count").alias("events"))
+    return counted.unionByName(dead.agg(F.lit("dead_letters").alias("result"), F.count("*").alias("n"), F.count("*").alias("events")))
+
+
 @query
 def stream_retry(spark, sf_dir):
     """Messages whose first delivery failed, handed back by the delay state."""
     base = scratch(spark, "stream-retry")
-    failed = routing.deliver_once(inputs.order_messages(spark, sf_dir)).filter("target = 'retry'")
+    failed = routing.deliver_once(inputs.order_messages(spark, sf_dir), order_handler).filter("target = 'retry'")
     rows = failed.select(
         "message_id", "body", "retry_count", "last_error", F.col("delivered_at").cast("timestamp").alias("failed_at")
     )

@@ -38,15 +38,20 @@ def iso_utc(ts: Column) -> Column:
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """order messages, 12 of 20 well formed and one of each of eight malformed kinds.
 
-    Columns are those of a message log (topic, partition, offset, value) and ``ts``, the
-    time by which a stream replays them.
+    Among the well-formed ones are very large and very small line totals, among the others some
+    of more than 12,000 characters. Columns are those of a message log (topic, partition, offset,
+    value) and ``ts``, the time by which a stream replays them.
     """
     event_id = F.col("event_id")
     kind = event_id % 20
     order_id = F.concat(F.lit('"order_id": "o'), event_id.cast("string"), F.lit('"'))
     product = F.concat(F.lit('"product": "'), F.col("event_type"), F.lit('"'))
-    price = F.concat(F.lit('"price": '), F.col("value").cast("string"))
-    quantity = F.concat(F.lit('"quantity": '), (1 + event_id % 4).cast("string"))
+    rare = event_id % 100
+    amount = F.when(rare == 28, F.lit("4.5")).when(rare == 29, F.lit("4e-7")).otherwise(F.col("value").cast("string"))
+    count = F.when(rare == 28, F.lit(2147483647)).when(rare == 29, F.lit(1_000_000_000)).otherwise(1 + event_id % 4)
+    price = F.concat(F.lit('"price": '), amount)
+    quantity = F.concat(F.lit('"quantity": '), count.cast("string"))
+    note = F.when(event_id % 500 == 3, F.concat(F.lit('"note": "'), F.repeat(F.lit("x"), 12_000), F.lit('"')))
     stamp = F.concat(F.lit('"ts": "'), iso_utc(F.col("ts")), F.lit('"'))
 
     def document(*fields: Column) -> Column:
@@ -56,7 +61,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == 0, F.concat(F.lit("this is not json "), event_id.cast("string")))
         .when(kind == 1, document(order_id, price, quantity, stamp))
         .when(kind == 2, document(order_id, product, price, quantity))
-        .when(kind == 3, document(order_id, product, F.lit('"price": "x"'), quantity, stamp))
+        .when(kind == 3, document(order_id, product, F.lit('"price": "x"'), quantity, stamp, note))
         .when(kind == 4, document(order_id, product, price, quantity, F.lit('"ts": "garbage"')))
         .when(kind == 5, F.lit("[1]"))
         .when(kind == 6, document(order_id, F.lit('"product": ""'), price, quantity, stamp))
@@ -92,14 +97,22 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _orders_with_part(spark: SparkSession, sf_dir: str, part_key: Column, order_id: Column, quantity: Column) -> DataFrame:
+def _category(part_type: Column, order_key: Column) -> Column:
+    """The category of an order; some have none."""
+    return F.when(order_key % 11 != 0, part_type)
+
+
+def _orders_with_part(spark: SparkSession, sf_dir: str, part_shift: Column, order_id: Column, quantity: Column) -> DataFrame:
+    """Orders with the part whose key is theirs plus ``part_shift``, modulo the number of parts."""
+    n_parts = table(spark, sf_dir, "part").count()
+    part_key = (F.col("o_orderkey") + part_shift) % n_parts
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate").withColumn("part_key", part_key)
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
     return orders.join(parts, F.col("part_key") == F.col("p_partkey")).select(
         order_id.cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("p_name").alias("product"),
-        F.col("p_type").alias("category"),
+        _category(F.col("p_type"), F.col("o_orderkey") + part_shift).alias("category"),
         quantity.cast("int").alias("quantity"),
         F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"),
         F.col("o_orderdate").cast("date").alias("order_date"),
@@ -110,15 +123,15 @@ def _orders_with_part(spark: SparkSession, sf_dir: str, part_key: Column, order_
 def sales_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F2b: sales orders with a unique ``order_id``."""
     key = F.col("o_orderkey")
-    return _orders_with_part(spark, sf_dir, key % 200, key, 1 + key % 5).drop("o_orderkey")
+    return _orders_with_part(spark, sf_dir, F.lit(0), key, 1 + key % 5).drop("o_orderkey")
 
 
 def sales_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes to F2b: corrected orders, some of which change category, and new orders."""
+    """Changes to F2b: corrected orders, some of which gain, lose or change their category, and new orders."""
     key = F.col("o_orderkey")
-    moved = F.when(key % 9 == 0, (key + 1) % 200).otherwise(key % 200)
+    moved = F.when(key % 9 == 0, 1).otherwise(0)
     corrected = _orders_with_part(spark, sf_dir, moved, key, 2 + key % 5).filter(key % 3 == 0)
-    added = _orders_with_part(spark, sf_dir, key % 200, key + 1_000_000_000, 1 + key % 5).filter(key % 50 == 0)
+    added = _orders_with_part(spark, sf_dir, F.lit(0), key + 1_000_000_000, 1 + key % 5).filter(key % 50 == 0)
     return corrected.unionByName(added).drop("o_orderkey")
 
 
@@ -187,12 +200,12 @@ def customer_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """log lines by container."""
+    """log lines by container; some have lost their time."""
     return table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("container_id"),
         F.concat(F.col("event_type"), F.lit(" log line "), F.col("event_id").cast("string")).alias("message"),
         F.lit("stdout").alias("stream"),
-        "ts",
+        F.when(F.col("event_id") % 97 != 5, F.col("ts")).alias("ts"),
     )
 
 

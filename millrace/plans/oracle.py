@@ -14,7 +14,7 @@ raw AS (
            WHEN 0 THEN 'this is not json ' || event_id
            WHEN 1 THEN '{' || o || ', ' || p || ', ' || q || ', ' || t || '}'
            WHEN 2 THEN '{' || o || ', ' || n || ', ' || p || ', ' || q || '}'
-           WHEN 3 THEN '{' || o || ', ' || n || ', "price": "x", ' || q || ', ' || t || '}'
+           WHEN 3 THEN '{' || o || ', ' || n || ', "price": "x", ' || q || ', ' || t || l || '}'
            WHEN 4 THEN '{' || o || ', ' || n || ', ' || p || ', ' || q || ', "ts": "garbage"}'
            WHEN 5 THEN '[1]'
            WHEN 6 THEN '{' || o || ', "product": "", ' || p || ', ' || q || ', ' || t || '}'
@@ -24,8 +24,10 @@ raw AS (
   FROM (SELECT event_id, ts,
                '"order_id": "o' || event_id || '"' AS o,
                '"product": "' || event_type || '"' AS n,
-               '"price": ' || value AS p,
-               '"quantity": ' || (1 + event_id % 4) AS q,
+               '"price": ' || CASE event_id % 100 WHEN 28 THEN '4.5' WHEN 29 THEN '4e-7' ELSE CAST(value AS VARCHAR) END AS p,
+               '"quantity": ' || CASE event_id % 100 WHEN 28 THEN 2147483647 WHEN 29 THEN 1000000000
+                                 ELSE 1 + event_id % 4 END AS q,
+               CASE WHEN event_id % 500 = 3 THEN ', "note": "' || repeat('x', 12000) || '"' ELSE '' END AS l,
                '"ts": "' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00"' AS t
         FROM events)
 )"""
@@ -61,7 +63,7 @@ def _windows(trunc: str, source: str = "decoded", extra: str = "") -> str:
   SELECT date_trunc('{trunc}', event_time) AS window_start,
          date_trunc('{trunc}', event_time) + INTERVAL 1 {trunc} AS window_end, product,{extra}
          count(*) AS orders_count,
-         CAST(sum(CAST(CAST(price AS DECIMAL(16,6)) * quantity AS DECIMAL(16,6))) AS DOUBLE) AS revenue
+         round(sum(price * quantity), 2) AS revenue
   FROM {source} WHERE is_valid GROUP BY ALL"""
 
 
@@ -74,26 +76,28 @@ sales AS (
 )"""
 
 SALES_ORDERS = """
+parts AS (SELECT *, count(*) OVER () AS n_parts FROM part),
 sales AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id, p_name AS product,
-         p_type AS category, CAST(1 + o_orderkey % 5 AS INTEGER) AS quantity,
+         CASE WHEN o_orderkey % 11 <> 0 THEN p_type END AS category, CAST(1 + o_orderkey % 5 AS INTEGER) AS quantity,
          CAST(p_retailprice AS DOUBLE) AS unit_price, strftime(o_orderdate, '%Y-%m-%d') AS order_date
-  FROM orders JOIN part ON p_partkey = o_orderkey % 200
+  FROM orders JOIN parts ON p_partkey = o_orderkey % n_parts
 )"""
 
 MERGED = f"""
 WITH {SALES_ORDERS},
+moved AS (SELECT *, o_orderkey + CASE WHEN o_orderkey % 9 = 0 THEN 1 ELSE 0 END AS place FROM orders),
 changes AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id, p_name AS product,
-         p_type AS category, CAST(2 + o_orderkey % 5 AS INTEGER) AS quantity,
+         CASE WHEN place % 11 <> 0 THEN p_type END AS category, CAST(2 + o_orderkey % 5 AS INTEGER) AS quantity,
          CAST(p_retailprice AS DOUBLE) AS unit_price, strftime(o_orderdate, '%Y-%m-%d') AS order_date
-  FROM orders JOIN part
-    ON p_partkey = CASE WHEN o_orderkey % 9 = 0 THEN (o_orderkey + 1) % 200 ELSE o_orderkey % 200 END
+  FROM moved JOIN parts ON p_partkey = place % n_parts
   WHERE o_orderkey % 3 = 0
   UNION ALL
-  SELECT CAST(o_orderkey + 1000000000 AS VARCHAR), CAST(o_custkey AS VARCHAR), p_name, p_type,
+  SELECT CAST(o_orderkey + 1000000000 AS VARCHAR), CAST(o_custkey AS VARCHAR), p_name,
+         CASE WHEN o_orderkey % 11 <> 0 THEN p_type END,
          CAST(1 + o_orderkey % 5 AS INTEGER), CAST(p_retailprice AS DOUBLE), strftime(o_orderdate, '%Y-%m-%d')
-  FROM orders JOIN part ON p_partkey = o_orderkey % 200
+  FROM orders JOIN parts ON p_partkey = o_orderkey % n_parts
   WHERE o_orderkey % 50 = 0
 )
 SELECT coalesce(c.order_id, s.order_id) AS order_id,
@@ -176,7 +180,8 @@ containers AS (
   FROM events GROUP BY user_id
 ),
 lines AS (
-  SELECT CAST(user_id AS VARCHAR) AS container_id, event_type || ' log line ' || event_id AS message, ts FROM events
+  SELECT CAST(user_id AS VARCHAR) AS container_id, event_type || ' log line ' || event_id AS message,
+         CASE WHEN event_id % 97 <> 5 THEN ts END AS ts FROM events
 ),
 named AS (SELECT lines.*, container_name, enabled FROM lines LEFT JOIN containers USING (container_id))"""
 
@@ -215,11 +220,15 @@ ORACLE: dict[str, str] = {
     "windows_of_product": f"WITH {DECODED}, w AS ({_windows('hour')}) SELECT count(*) AS n FROM w WHERE product = 'purchase'",
     "valid_orders": f"""WITH {DECODED}
         SELECT order_id, product, price, quantity, event_time,
-               CAST(CAST(CAST(price AS DECIMAL(16,6)) * quantity AS DECIMAL(16,6)) AS DOUBLE) AS line_total
+               price * quantity AS line_total
         FROM decoded WHERE is_valid""",
     "dead_letters": DEAD_LETTERS,
     "stream_dead_letters": DEAD_LETTERS,
     "stored_dead_letters": DEAD_LETTERS,
+    "folded_dead_letters": DEAD_LETTERS,
+    "stream_job": f"""WITH {DECODED}, w AS ({_windows('minute')})
+        SELECT 'revenue' AS result, count(*) AS n, CAST(sum(orders_count) AS BIGINT) AS events FROM w
+        UNION ALL SELECT 'dead_letters', count(*), count(*) FROM decoded WHERE NOT is_valid""",
     "dead_letter_reasons": f"WITH {DECODED} SELECT reason, count(*) AS n FROM decoded WHERE NOT is_valid GROUP BY reason",
     "dead_letter_matches": f"""WITH {DECODED} SELECT count(*) AS n FROM decoded
         WHERE NOT is_valid AND raw_value LIKE '%order_id%' AND raw_value NOT LIKE '%garbage%'""",
@@ -278,11 +287,8 @@ ORACLE: dict[str, str] = {
         FROM ledger GROUP BY message_id""",
     "attempt_ledger": f"WITH {MESSAGES} SELECT message_id, attempt, status, error, target FROM ledger",
     "attempts_per_message": f"""WITH {MESSAGES}
-        SELECT l.message_id, count(*) AS attempts,
-               max(CASE WHEN attempt = last_attempt THEN error END) AS last_error
-        FROM ledger l JOIN (SELECT message_id, max(attempt) AS last_attempt FROM ledger GROUP BY 1) m
-          ON l.message_id = m.message_id
-        GROUP BY l.message_id""",
+        SELECT message_id, count(*) AS attempts, arg_max(error, attempt) FILTER (error IS NOT NULL) AS last_error
+        FROM ledger GROUP BY message_id""",
     "queue_depths": f"""WITH {MESSAGES}
         SELECT q.queue, count(l.message_id) AS depth
         FROM (VALUES ('main'), ('retry'), ('dead')) AS q(queue)
@@ -322,6 +328,7 @@ ORACLE: dict[str, str] = {
         FROM events WHERE event_type <> 'error'""",
     "lookup_fail_open": f"""WITH {FAIL_OPEN}
         SELECT seq, key, CASE WHEN status = 'hit' THEN 'cached ' || c_name ELSE c_name END AS value, status FROM served""",
+    "served_status_counts": f"WITH {FAIL_OPEN} SELECT status, count(*) AS requests FROM served GROUP BY status",
     "bypass_alerts": f"""WITH {FAIL_OPEN}
         SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS period, count(*) AS requests,
                avg(CASE WHEN status = 'bypass' THEN 1.0 ELSE 0.0 END) AS bypass_rate
@@ -338,13 +345,13 @@ ORACLE: dict[str, str] = {
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS highest
           FROM events) WHERE fence < highest""",
     "collected_logs": f"WITH {LOGS} SELECT container_id, message, ts FROM named WHERE enabled = 'true'",
-    "shipped_logs": f"WITH {LOGS} SELECT container_id, message, 'stdout' AS stream, ts FROM named WHERE enabled = 'true'",
+    "shipped_logs": f"WITH {LOGS} SELECT container_id, message, CASE WHEN ts IS NOT NULL THEN 'stdout' END AS stream, ts FROM named WHERE enabled = 'true'",
     "log_metadata": f"WITH {LOGS} SELECT message, container_name, enabled FROM named",
     "project_logs": f"WITH {LOGS} SELECT message, container_name FROM named WHERE regexp_matches(container_name, '^project-.+-[0-9]+$')",
     "labelled_logs": f"WITH {LOGS} SELECT container_id, message FROM named WHERE enabled = 'false'",
     "log_day_counts": f"WITH {LOGS} SELECT strftime(ts, '%Y.%m.%d') AS day, count(*) AS n FROM named WHERE enabled = 'true' GROUP BY 1",
     "retained_days": f"""WITH {LOGS} SELECT strftime(ts, '%Y.%m.%d') AS day, count(*) AS n FROM named
-        WHERE enabled = 'true' AND CAST(ts AS DATE) > DATE '2024-01-31' - 7 GROUP BY 1""",
+        WHERE enabled = 'true' AND (ts IS NULL OR CAST(ts AS DATE) > DATE '2024-01-31' - 7) GROUP BY 1""",
     "phrase_search": """SELECT count(*) AS n FROM events
         WHERE regexp_matches(event_type || ' log line ' || event_id, '(?i)(^|[^a-z0-9_])click log line([^a-z0-9_]|$)')""",
     "phrase_counts": f"""
