@@ -1,4 +1,4 @@
-"""Shared checks of the text operators."""
+"""Rows that the tests of the text operators share; fixtures, imported by name."""
 
 import pytest
 

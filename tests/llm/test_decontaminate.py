@@ -3,6 +3,7 @@
 import re
 from collections import defaultdict
 
+from llm_rows import awkward, no_documents  # noqa: F401
 from millrace.llm.decontaminate import contaminated, without_contaminated
 from millrace.llm.queries import LLM_QUERIES
 

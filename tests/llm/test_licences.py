@@ -2,6 +2,7 @@
 
 import pytest
 
+from llm_rows import awkward, no_documents  # noqa: F401
 from millrace.llm.licences import identified, licence_scan, licences, sentences
 from millrace.llm.queries import LLM_QUERIES
 

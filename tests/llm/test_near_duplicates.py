@@ -7,6 +7,7 @@ import numpy as np
 import parity
 import pytest
 
+from llm_rows import awkward, no_documents  # noqa: F401
 from millrace.llm.components import connected_components
 from millrace.llm.near_duplicates import _FACTORS, near_duplicates, representatives, shingles, small_keys
 from millrace.llm.oracle import LLM_ORACLE

@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from llm_rows import awkward, no_documents  # noqa: F401
 from millrace.llm.packing import best_fit, packed, plan, reduced
 from millrace.llm.queries import LLM_QUERIES
 

@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from llm_rows import awkward, no_documents  # noqa: F401
 from millrace.llm.personal_data import personal_data, redacted, span_digests
 from millrace.llm.queries import LLM_QUERIES
 

@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import corpus_pipeline
 import pytest
+from llm_rows import awkward  # noqa: F401
 from test_decontaminate import windows
 from test_near_duplicates import brute
 from test_packing import check

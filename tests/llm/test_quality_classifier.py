@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
+from llm_rows import awkward, no_documents  # noqa: F401
 from millrace.llm.quality_classifier import Buckets, FactorisationMachine, _values, features, judged, kept
 from millrace.llm.queries import LLM_QUERIES
 

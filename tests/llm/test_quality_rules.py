@@ -5,6 +5,7 @@ from collections import Counter
 
 import parity
 
+from llm_rows import awkward, no_documents  # noqa: F401
 from millrace.llm.oracle import LLM_ORACLE
 from millrace.llm.quality_rules import judge_documents
 from millrace.llm.queries import LLM_QUERIES

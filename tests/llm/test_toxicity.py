@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
+from llm_rows import awkward, no_documents  # noqa: F401
 from millrace.llm.queries import LLM_QUERIES
 from millrace.llm.toxicity import Ratios, _key, toxicity
 
