@@ -6,20 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _picked(rows: DataFrame, keys: list[str], version: str, pick) -> DataFrame:
+    others = [name for name in rows.columns if name not in (*keys, version)]
+    place = F.col(version).cast("decimal(20,0)") * 2**32 + F.pmod(F.xxhash64(*others), F.lit(2**32))
+    placed = rows.select(*keys, *others, place.cast("decimal(38,0)").alias("_place"))
+    return placed.groupBy(*keys).agg(*[pick(name, "_place").alias(name) for name in others]).select(*keys, *others)
+
+
 def latest_by_key(rows: DataFrame, keys: list[str], version: str) -> DataFrame:
     """The row with the highest ``version`` of each key, combined before the shuffle.
 
-    The row is picked as a whole: of rows with equal versions the largest one stays, and columns
-    of different rows never mix.
+    One aggregate per column instead of one per row keeps fixed-width columns in Spark's hash
+    aggregation. Rows with equal versions are ordered by a hash of the row, so that all columns
+    come from the same one.
     """
-    others = [name for name in rows.columns if name not in (*keys, version)]
-    return rows.groupBy(*keys).agg(F.max(F.struct(version, *others)).alias("picked")).select(*keys, *[f"picked.{name}" for name in others])
+    return _picked(rows, keys, version, F.max_by)
 
 
 def earliest_by_key(rows: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """The row with the lowest ``version`` of each key, picked as a whole: the one stored first stays."""
-    others = [name for name in rows.columns if name not in (*keys, version)]
-    return rows.groupBy(*keys).agg(F.min(F.struct(version, *others)).alias("picked")).select(*keys, *[f"picked.{name}" for name in others])
+    """The row with the lowest ``version`` of each key: the one stored first stays. Ties as above."""
+    return _picked(rows, keys, version, F.min_by)
 
 
 def merge_rows(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
