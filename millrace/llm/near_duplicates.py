@@ -16,7 +16,8 @@ The steps keep every shuffle in proportion to what can still be a duplicate:
    two members have in common lies inside the consensus or outside it. If all of it lies inside,
    sizes tell whether it can suffice; else they share a hash outside, and an index over a prefix of
    those hashes finds the pair. Other pairs are ruled out without being formed. This holds for any
-   set in place of the consensus, which only makes the index short.
+   set in place of the consensus, which only makes the index short. Pairs that agree in too few
+   small keys are left out, as in step 2.
 5. Components come from alternating large-star and small-star rounds.
 """
 
@@ -40,6 +41,9 @@ PERCENT = 80
 # key with probability (1 - 0.8 ** 3) ** 14 < 5e-5.
 VALUES, SIDE = 3, 14
 
+# Of the 2 * SIDE small keys, two sets with similarity 0.8 have 14 in common on average, and fewer
+# than this in less than one of 10,000 cases.
+ALIKE = 5
 # Members of a family, about, whose majority is its consensus.
 FAMILY_SAMPLE = 32
 
@@ -120,7 +124,7 @@ def table_keys(classes: DataFrame) -> DataFrame:
 
 
 def shingle_sets(documents: DataFrame, wanted: DataFrame, text: str = "text", width: int = SHINGLE) -> DataFrame:
-    """set_key and ``own`` (its hashes as bytes) of the wanted classes, from one document each."""
+    """set_key, ``own`` (its hashes as bytes) and small keys of the wanted classes, from one document each."""
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
@@ -129,31 +133,34 @@ def shingle_sets(documents: DataFrame, wanted: DataFrame, text: str = "text", wi
             for content, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = shingles(word_hashes(content, cache), width)
                 if _set_key(own) == key:
-                    found.append((key, own.tobytes()))
-            columns = list(zip(*found, strict=True)) or [[], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["set_key", "own"])
+                    found.append((key, own.tobytes(), small_keys(own)))
+            columns = list(zip(*found, strict=True)) or [[]] * 3
+            kinds = (pa.binary(), pa.binary(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["set_key", "own", "small"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("content"))
     same = rows["doc_id"].eqNullSafe(wanted["rep_id"]) & (rows["text_key"] == wanted["rep_text"])
-    sets = rows.join(wanted, same).select("content", "set_key").mapInArrow(rebuild, "set_key binary, own binary")
+    sets = rows.join(wanted, same).select("content", "set_key").mapInArrow(rebuild, "set_key binary, own binary, small array<long>")
     # Repeated rows give the same set again.
-    return sets.groupBy("set_key").agg(F.first("own").alias("own"))
+    return sets.groupBy("set_key").agg(F.first("own").alias("own"), F.first("small").alias("small"))
 
 
 def similarities(pairs: DataFrame, left: DataFrame, right: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) with the sizes of both sets (a of ``left``, b of ``right``) and of their intersection, and ``outside``: the
-    hashes of a that b lacks, as many of the lowest as a set linked with a must share one of.
+    """Rows of ``pairs`` with the sizes of both sets (a of ``left``, b of ``right``) and of their
+    intersection, the small keys of a, and ``outside``: the hashes of a that b lacks, as many of the
+    lowest as a set linked with a must share one of.
 
     A set linked with a has ``percent`` percent of a's hashes. With c of them in b, at least
     percent of |a| less c are among the hashes outside, and of n hashes in a fixed order the lowest
     of k shared ones is among the first n - k + 1.
     """
+    carried = pairs.columns
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for left, right in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (left, right))
+            for one, other in zip(batch.column("own_a"), batch.column("own_b"), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (one, other))
                 outside = np.setdiff1d(x, y, assume_unique=True)
                 common = len(x) - len(outside)
                 shared = max(1, -(-percent * len(x) // 100) - common)
@@ -161,29 +168,31 @@ def similarities(pairs: DataFrame, left: DataFrame, right: DataFrame, percent: i
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
             arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], ["a", "b", "size_a", "size_b", "common", "outside"])
+            kept = [batch.column(c) for c in (*carried, "small")]
+            yield pa.RecordBatch.from_arrays([*kept, *arrays], [*carried, "small", "size_a", "size_b", "common", "outside"])
 
-    left, right = (sets.select(F.col("set_key").alias(k), F.col("own").alias(f"own_{k}")) for k, sets in (("a", left), ("b", right)))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "own_a", "own_b")
-    return both.mapInArrow(compare, "a binary, b binary, size_a long, size_b long, common long, outside array<long>")
+    own_a = left.select(F.col("set_key").alias("a"), F.col("own").alias("own_a"), "small")
+    own_b = right.select(F.col("set_key").alias("b"), F.col("own").alias("own_b"))
+    both = pairs.join(own_a, "a").join(own_b, "b").select(*carried, "small", "own_a", "own_b")
+    schema = ", ".join(f"{c} {kind}" for c, kind in pairs.dtypes)
+    return both.mapInArrow(compare, f"{schema}, small array<long>, size_a long, size_b long, common long, outside array<long>")
 
 
 def _linked(percent: int) -> Column:
     return F.col("common") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("common")) * percent
 
 
-def consensus(members: DataFrame, sets: DataFrame) -> DataFrame:
+def consensus(members: DataFrame, open_pivots: DataFrame, sets: DataFrame) -> DataFrame:
     """set_key (of the pivot b) and ``own``: the hashes that half of a sample of its members or more have."""
 
     def majority(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         own, n = np.unique(np.concatenate([np.frombuffer(o, dtype=np.uint64) for o in rows["own"]]), return_counts=True)
         return pd.DataFrame({"set_key": [key[0]], "own": [own[2 * n >= len(rows)].tobytes()]})
 
-    sizes = members.groupBy("b").agg(F.count("*").alias("n"))
     share = F.pmod(F.xxhash64("a", "b"), F.lit(1 << 20)) / (1 << 20)
-    drawn = members.select("a", "b").join(stored(sizes.withColumnRenamed("b", "of"), "families"), F.col("b") == F.col("of"))
-    drawn = drawn.filter(share * F.col("n") < FAMILY_SAMPLE).select("a", "b").unionByName(sizes.select(F.col("b").alias("a"), "b"))
-    own = drawn.join(sets.withColumnRenamed("set_key", "a"), "a").select("b", "own")
+    drawn = members.filter(share * F.col("n") < FAMILY_SAMPLE).select("a", "b")
+    drawn = drawn.unionByName(open_pivots.select(F.col("open").alias("a"), F.col("open").alias("b")))
+    own = drawn.join(sets.select(F.col("set_key").alias("a"), "own"), "a").select("b", "own")
     return own.groupBy("b").applyInPandas(majority, "set_key binary, own binary")
 
 
@@ -193,30 +202,30 @@ def unsettled_pairs(compared: DataFrame, roots: DataFrame, sets: DataFrame, perc
     met = compared.select("a", "b").join(roots.select(F.col("node").alias("a"), "root"), "a", "left").join(of_pivot, "b", "left")
     met = stored(met.withColumns({"root": F.coalesce("root", "a"), "pivot_root": F.coalesce("pivot_root", "b")}), "met")
     several = met.groupBy("b").agg(F.min(F.least("root", "pivot_root")).alias("low"), F.max(F.greatest("root", "pivot_root")).alias("high"), F.count("*").alias("n"))
-    several = stored(several.filter("low < high AND n > 1").select(F.col("b").alias("open")), "open-pivots")
-    members = stored(met.join(several, F.col("b") == F.col("open"), "left_semi"), "members")
-    middle = stored(consensus(members, sets), "consensus")
-    inside = stored(similarities(members.select("a", "b"), sets, middle, percent), "to-consensus")
-    members = stored(inside.join(members, ["a", "b"]), "placed-members")
+    several = stored(several.filter("low < high AND n > 1").select(F.col("b").alias("open"), "n"), "open-pivots")
+    members = stored(met.join(several, F.col("b") == F.col("open")).drop("open"), "members")
+    middle = consensus(members, several, sets)
+    members = stored(similarities(members.drop("n"), sets, middle, percent), "placed-members")
 
     # Common hashes outside the pivot's set.
-    index = members.select("b", F.explode("outside").alias("h"), "a", "root", "size_a")
+    index = members.select("b", F.explode("outside").alias("h"), "a", "root", "size_a", "small")
     mixed = index.groupBy("b", "h").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
     mixed = stored(mixed.select(F.col("b").alias("open"), F.col("h").alias("open_h")), "open-hashes")
     index = stored(index.join(mixed, (F.col("b") == F.col("open")) & (F.col("h") == F.col("open_h")), "left_semi"), "outside-index")
-    x, y = (index.select("b", "h", F.col("a").alias(f"key_{s}"), F.col("root").alias(f"root_{s}"), F.col("size_a").alias(f"size_{s}")) for s in "xy")
+    x, y = (index.select("b", "h", F.col("a").alias(f"key_{s}"), F.col("root").alias(f"root_{s}"), F.col("size_a").alias(f"size_{s}"), F.col("small").alias(f"small_{s}")) for s in "xy")
     close = F.least("size_x", "size_y") * 100 >= F.greatest("size_x", "size_y") * percent
-    outside = x.join(y, ["b", "h"]).filter((F.col("root_x") < F.col("root_y")) & close).select("key_x", "key_y")
+    alike = F.size(F.filter(F.zip_with("small_x", "small_y", lambda p, q: p == q), lambda same: same)) >= ALIKE
+    outside = x.join(y, ["b", "h"]).filter((F.col("root_x") < F.col("root_y")) & close & alike).select("key_x", "key_y")
 
     # All in common lies inside: then each side has enough there, and sizes follow from the counts.
     enough = members.filter(F.col("common") * 100 >= F.col("size_a") * percent)
     least_size = F.ceil(F.col("size_a") * percent / 100).cast("long")
     most_size = F.least(F.floor(F.col("common") * (100 + percent) / percent) - F.col("size_a"), F.floor(F.col("size_a") * 100 / percent)).cast("long")
     apart = enough.filter((F.col("root") != F.col("pivot_root")) & (most_size >= least_size))
-    x = apart.select("b", F.explode(F.sequence(least_size, most_size)).alias("size_y"), F.col("a").alias("key_x"), F.col("root").alias("root_x"), F.col("size_a").alias("size_x"), F.col("common").alias("common_x"))
-    y = enough.select("b", F.col("size_a").alias("size_y"), F.col("a").alias("key_y"), F.col("root").alias("root_y"), F.col("common").alias("common_y"))
+    x = apart.select("b", F.explode(F.sequence(least_size, most_size)).alias("size_y"), F.col("a").alias("key_x"), F.col("root").alias("root_x"), F.col("size_a").alias("size_x"), F.col("common").alias("common_x"), F.col("small").alias("small_x"))
+    y = enough.select("b", F.col("size_a").alias("size_y"), F.col("a").alias("key_y"), F.col("root").alias("root_y"), F.col("common").alias("common_y"), F.col("small").alias("small_y"))
     suffices = F.least("common_x", "common_y") * (100 + percent) >= (F.col("size_x") + F.col("size_y")) * percent
-    inside = x.join(y, ["b", "size_y"]).filter((F.col("root_x") != F.col("root_y")) & suffices).select("key_x", "key_y")
+    inside = x.join(y, ["b", "size_y"]).filter((F.col("root_x") != F.col("root_y")) & suffices & alike).select("key_x", "key_y")
     return outside.unionByName(inside).select(F.least("key_x", "key_y").alias("a"), F.greatest("key_x", "key_y").alias("b")).distinct()
 
 
@@ -237,10 +246,10 @@ def grouped(documents: DataFrame, text: str = "text", percent: int = PERCENT, wi
     wanted = wanted.join(reps, "set_key").select("set_key", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_text"))
     sets = stored(shingle_sets(documents, wanted, text, width), "sets")
 
-    compared = stored(similarities(pairs, sets, sets, percent).drop("outside"), "similarities")
+    compared = stored(similarities(pairs, sets, sets, percent).drop("outside", "small"), "similarities")
     edges = compared.filter(_linked(percent)).select("a", "b")
     rest = stored(unsettled_pairs(compared, connected_components(edges), sets, percent), "unsettled")
-    more = stored(similarities(rest, sets, sets, percent).drop("outside"), "more-similarities").filter(_linked(percent)).select("a", "b")
+    more = stored(similarities(rest, sets, sets, percent).drop("outside", "small"), "more-similarities").filter(_linked(percent)).select("a", "b")
     roots = connected_components(edges.unionByName(more))
 
     labelled = signed.select("doc_id", "text_key", "n_shingles", "set_key").join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
