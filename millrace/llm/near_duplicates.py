@@ -124,7 +124,10 @@ def table_keys(classes: DataFrame) -> DataFrame:
 
 
 def shingle_sets(documents: DataFrame, wanted: DataFrame, text: str = "text", width: int = SHINGLE) -> DataFrame:
-    """set_key, ``own`` (its hashes as bytes) and small keys of the wanted classes, from one document each."""
+    """set_key, ``own`` (its hashes as bytes) and ``small`` of the wanted classes, from one document each.
+
+    ``small`` are the lowest eight bits of the small keys: enough to see that two keys differ.
+    """
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
@@ -133,14 +136,14 @@ def shingle_sets(documents: DataFrame, wanted: DataFrame, text: str = "text", wi
             for content, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = shingles(word_hashes(content, cache), width)
                 if _set_key(own) == key:
-                    found.append((key, own.tobytes(), small_keys(own)))
+                    found.append((key, own.tobytes(), small_keys(own).astype(np.int8)))
             columns = list(zip(*found, strict=True)) or [[]] * 3
-            kinds = (pa.binary(), pa.binary(), pa.list_(pa.int64()))
+            kinds = (pa.binary(), pa.binary(), pa.list_(pa.int8()))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["set_key", "own", "small"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("content"))
     same = rows["doc_id"].eqNullSafe(wanted["rep_id"]) & (rows["text_key"] == wanted["rep_text"])
-    sets = rows.join(wanted, same).select("content", "set_key").mapInArrow(rebuild, "set_key binary, own binary, small array<long>")
+    sets = rows.join(wanted, same).select("content", "set_key").mapInArrow(rebuild, "set_key binary, own binary, small array<tinyint>")
     # Repeated rows give the same set again.
     return sets.groupBy("set_key").agg(F.first("own").alias("own"), F.first("small").alias("small"))
 
@@ -175,7 +178,7 @@ def similarities(pairs: DataFrame, left: DataFrame, right: DataFrame, percent: i
     own_b = right.select(F.col("set_key").alias("b"), F.col("own").alias("own_b"))
     both = pairs.join(own_a, "a").join(own_b, "b").select(*carried, "small", "own_a", "own_b")
     schema = ", ".join(f"{c} {kind}" for c, kind in pairs.dtypes)
-    return both.mapInArrow(compare, f"{schema}, small array<long>, size_a long, size_b long, common long, outside array<long>")
+    return both.mapInArrow(compare, f"{schema}, small array<tinyint>, size_a long, size_b long, common long, outside array<long>")
 
 
 def _linked(percent: int) -> Column:
@@ -242,7 +245,7 @@ def grouped(documents: DataFrame, text: str = "text", percent: int = PERCENT, wi
     pairs = stored(met.select(F.col("set_key").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
 
     reps = signed.filter(F.col("set_key").isNotNull()).groupBy("set_key").agg(rep)
-    wanted = keys.join(best.select("key"), "key", "left_semi").select("set_key").distinct()
+    wanted = pairs.select(F.col("a").alias("set_key")).unionByName(pairs.select(F.col("b").alias("set_key"))).distinct()
     wanted = wanted.join(reps, "set_key").select("set_key", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_text"))
     sets = stored(shingle_sets(documents, wanted, text, width), "sets")
 
