@@ -17,7 +17,7 @@ from __future__ import annotations
 import heapq
 import secrets
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import count as counter
 
 import numpy as np
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.labelled import remainder, sigmoid
+from millrace.llm.labelled import remainder
 from millrace.llm.texts import stored
 
 DIVISOR, HELD_OUT = 5, 1
@@ -35,22 +35,28 @@ SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
 # Contexts of words: none, the last token, the last two. Of bytes: the last one, two, three.
 ORDERS = 3
-# Count levels of the two higher contexts select one of LEVELS ** 2 sets of weights.
+# Count levels of the last two contexts select one of LEVELS ** 2 sets of weights.
 LEVEL_STARTS = (1, 4, 32)
 LEVELS = len(LEVEL_STARTS) + 1
 GATES = LEVELS * LEVELS
 BLOCK = 128
 RATE, REFINE = 0.5, 0.15
 GATE_SAMPLE_ROWS = 4_000
-DOCUMENTS_AT_ONCE = 256
-SPELLED_CACHE = 500_000
+# Work is cut to these sizes, so that memory does not follow the length of texts.
+DOCUMENTS_AT_ONCE, TOKENS_AT_ONCE = 256, 65_536
+SPELLED_CACHE = 200_000
 END, ESCAPE = b" end", b" escape"  # words have no spaces
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_MIX_2 = np.uint64(0xC2B2AE3D27D4EB4F)
+# Odd multipliers of the 32-bit hashes.
+_MIX, _MIX_2, _MIX_3 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D)
 LOG10 = float(np.log(10.0))
 
 
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a column one by one: a batch can be large, its copy in Python need not be."""
+    return (value.as_py() for value in column)
+
+
 def tokens(text: str | None) -> list[bytes]:
     """Words, A-Z in lower case, without the end."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -62,10 +68,9 @@ def word_counts(documents: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter = Counter()
-            texts = batch.column(0).to_pylist()
-            for text in texts:
+            for text in _texts(batch.column(0)):
                 seen.update(tokens(text))
-            seen[END] += len(texts)
+            seen[END] += batch.num_rows
             yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], ["word", "n"])
 
     return documents.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0")
@@ -91,13 +96,35 @@ def frequent_words(counts: DataFrame, most: int = VOCABULARY) -> dict[bytes, int
     return dict(sorted(zip(rows.column("word").to_pylist(), rows.column("n").to_pylist(), strict=True)))
 
 
+def _slot(mixed: np.ndarray) -> np.ndarray:
+    """The slot of hashed contexts; works in place."""
+    mixed ^= mixed >> np.uint32(15)
+    mixed *= _MIX_2
+    mixed >>= np.uint32(32 - SLOT_BITS)
+    return mixed.astype(np.int64)
+
+
+class Symbols(dict):
+    """Numbers of words; any other word has the number of the escape."""
+
+    escape = 0
+
+    def __missing__(self, word: bytes) -> int:
+        return self.escape
+
+
 class Code:
-    """Huffman code: per symbol the inner nodes it passes and the bits taken there."""
+    """Huffman code: per symbol the inner nodes it passes and the bits taken there.
+
+    A place in the code is a symbol's step: its node, hashed; its bit; and the node's logit without
+    any context, which the counts of the symbols give.
+    """
 
-    def __init__(self, counts: dict[bytes, int]):
-        symbols = {**counts, ESCAPE: max(1, sum(counts.values()) // 20)}
+    def __init__(self, counts: dict[bytes, int], escapes: int = 0):
+        symbols = {**counts, ESCAPE: max(1, escapes)}
         symbols.setdefault(END, 1)
-        self.index = {word: i for i, word in enumerate(symbols)}
+        self.index = Symbols((word, i) for i, word in enumerate(symbols))
+        self.index.escape = self.index[ESCAPE]
         self.counts = np.asarray([counts.get(w, 0) for w in symbols], dtype=np.float64)
         order, parents = counter(), {}
         heap = [(n, next(order), i) for i, n in enumerate(symbols.values())]
@@ -116,71 +143,80 @@ class Code:
                 nodes.append(at - len(symbols))
                 bits.append(bit)
             starts.append(len(nodes))
-        self.nodes, self.bits = np.asarray(nodes, dtype=np.uint64), np.asarray(bits, dtype=np.uint8)
+        nodes, self.bits = np.asarray(nodes, dtype=np.int64), np.asarray(bits, dtype=np.uint8)
         self.starts = np.asarray(starts, dtype=np.int64)
         self.lengths = np.diff(self.starts)
+        times = np.repeat(np.asarray(list(symbols.values()), dtype=np.float64), self.lengths)
+        taken = np.bincount(nodes * 2 + self.bits, weights=times, minlength=2 * (len(symbols) - 1)).reshape(-1, 2)
+        self.logits = np.log((taken[nodes, 1] + 0.4) / (taken[nodes, 0] + 0.4)).astype(np.float32)
+        self.places = nodes.astype(np.uint32) * _MIX_3
 
 
-def _slots(code: Code, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slots (per order), bits and code lengths of tokens; ``first`` marks the first of a document."""
-    lengths = code.lengths[ids]
-    at = np.repeat(code.starts[ids] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-    nodes, bits = code.nodes[at], code.bits[at]
-    last = np.concatenate([[0], ids[:-1] + 1]).astype(np.uint64)
+def _contexts(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hashes of the last token and of the last two, per token; ``first`` are the first of documents."""
+    last = np.concatenate([[0], ids[:-1] + 1]).astype(np.uint32)
     last[first] = 0
-    before = np.concatenate([[0], last[:-1]]).astype(np.uint64)
+    before = np.concatenate([[0], last[:-1]]).astype(np.uint32)
     before[first] = 0
-    one = last * _MIX + np.uint64(1)
-    two = (one ^ (before * _MIX_2)) * _MIX + np.uint64(2)
-    place = nodes * _MIX_2
-    shift = np.uint64(64 - SLOT_BITS)
-    slots = np.empty((ORDERS, len(nodes)), dtype=np.int64)
-    slots[0] = (place * _MIX) >> shift if len(code.index) > SLOTS else nodes
-    for k, context in ((1, one), (2, two)):
-        mixed = np.repeat(context, lengths) ^ place
-        slots[k] = ((mixed ^ (mixed >> np.uint64(29))) * _MIX) >> shift
-    return slots, bits, lengths
-
-
-def _byte_slots(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slots, bits and numbers of bits of words spelled in bytes, each ended by a space."""
-    data = np.frombuffer(b" ".join([*words, b""]), dtype=np.uint8).astype(np.uint64)
+    one = last * _MIX + np.uint32(1)
+    return np.stack([one, ((one ^ (one >> np.uint32(13))) ^ (before * _MIX_2)) * _MIX + np.uint32(2)])
+
+
+def _steps(code: Code, ids: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Logits without context, slots (per higher order), bits, and code lengths of some tokens."""
+    lengths = code.lengths[ids]
+    at = np.repeat(code.starts[ids] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+    places = code.places[at]
+    slots = np.stack([_slot((np.repeat(context, lengths) ^ places) * _MIX) for context in contexts])
+    return code.logits[at], slots, code.bits[at], lengths
+
+
+def _byte_steps(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slots (per order), bits and numbers of bits of words spelled in bytes, each ended by a space."""
+    data = np.frombuffer(b" ".join([*words, b""]), dtype=np.uint8).astype(np.uint32)
     sizes = np.asarray([len(w) + 1 for w in words], dtype=np.int64)
     place = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    history = np.zeros(len(data), dtype=np.uint64)
-    orders = []
-    for back in (1, 2, 3):
-        earlier = np.concatenate([np.zeros(back, np.uint64), data[:-back]])[: len(data)]
-        history = history * np.uint64(257) + np.where(place >= back, earlier + np.uint64(1), np.uint64(0))
-        orders.append(history * _MIX + np.uint64(back))
-    steps = np.arange(8)
-    nodes = (np.uint64(256) | data)[:, None] >> (np.uint64(8) - steps.astype(np.uint64))[None, :]
-    bits = ((data[:, None] >> (np.uint64(7) - steps.astype(np.uint64))[None, :]) & np.uint64(1)).astype(np.uint8).ravel()
-    slots = np.empty((ORDERS, 8 * len(data)), dtype=np.int64)
-    for k, context in enumerate(orders):
-        mixed = (context[:, None] ^ (nodes * _MIX_2)).ravel()
-        slots[k] = ((mixed ^ (mixed >> np.uint64(29))) * _MIX) >> np.uint64(64 - SLOT_BITS)
-    return slots, bits, 8 * sizes
-
-
-def _sub_batches(ids: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Documents' tokens one after the other, some documents at a time, and where each begins."""
-    for start in range(0, len(ids), DOCUMENTS_AT_ONCE):
-        part = ids[start : start + DOCUMENTS_AT_ONCE]
-        sizes = np.asarray([len(i) for i in part])
-        yield np.concatenate(part), np.cumsum(sizes) - sizes
-
-
-def _encoded(code: Code, text: str | None) -> np.ndarray:
-    get, escape = code.index.get, code.index[ESCAPE]
-    found = tokens(text)
-    ids = np.fromiter((get(w, escape) for w in found), dtype=np.int64, count=len(found))
-    return np.append(ids, code.index[END])
+    steps = np.arange(8, dtype=np.uint32)
+    places = ((np.uint32(256) | data)[:, None] >> (np.uint32(8) - steps)[None, :]) * _MIX_3
+    bits = ((data[:, None] >> (np.uint32(7) - steps)[None, :]) & np.uint32(1)).astype(np.uint8).ravel()
+    history, slots = np.zeros(len(data), dtype=np.uint32), []
+    for back in range(1, ORDERS + 1):
+        earlier = np.concatenate([np.zeros(back, np.uint32), data[:-back]])[: len(data)]
+        history = (history ^ np.where(place >= back, earlier + np.uint32(1), np.uint32(0))) * _MIX + np.uint32(back)
+        slots.append(_slot(((history[:, None] ^ places) * _MIX).ravel()))
+    return np.stack(slots), bits, 8 * sizes
+
+
+def _encoded(code: Code, found: list[bytes]) -> np.ndarray:
+    """Symbols of a text's words, and the end."""
+    found.append(END)
+    return np.fromiter(map(code.index.__getitem__, found), dtype=np.int64, count=len(found))
+
+
+def _coded(code: Code, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Logits without context, slots and bits of all tokens of the texts, about TOKENS_AT_ONCE at a time."""
+
+    def steps() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return _steps(code, np.concatenate(ids), np.concatenate(contexts, axis=1))[:3]
+
+    ids, contexts, held = [], [], 0
+    for text in texts:
+        whole = _encoded(code, tokens(text))
+        around = _contexts(whole, np.zeros(1, dtype=np.int64))
+        for start in range(0, len(whole), TOKENS_AT_ONCE):
+            ids.append(whole[start : start + TOKENS_AT_ONCE])
+            contexts.append(around[:, start : start + TOKENS_AT_ONCE])
+            held += len(ids[-1])
+            if held >= TOKENS_AT_ONCE:
+                yield steps()
+                ids, contexts, held = [], [], 0
+    if held:
+        yield steps()
 
 
 def _add(tables: np.ndarray, slots: np.ndarray, bits: np.ndarray) -> None:
-    for k in range(ORDERS):
-        tables[k] += np.bincount(slots[k] * 2 + bits, minlength=2 * SLOTS)
+    for table, own in zip(tables, slots, strict=True):
+        table += np.bincount(own * 2 + bits, minlength=2 * SLOTS)
 
 
 def _table_rows(tables: np.ndarray) -> pa.RecordBatch:
@@ -189,27 +225,28 @@ def _table_rows(tables: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(used), pa.array(flat[used, 0]), pa.array(flat[used, 1])], ["slot", "zeros", "ones"])
 
 
-def _summed(rows: DataFrame) -> np.ndarray:
-    """Counts (order, slot, bit) of all tasks; ORDERS * SLOTS rows reach the driver at most."""
+def _summed(rows: DataFrame, orders: int) -> np.ndarray:
+    """Counts (order, slot, bit) of all tasks; orders * SLOTS rows reach the driver at most."""
     got = rows.groupBy("slot").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")).toArrow()
-    tables = np.zeros((ORDERS * SLOTS, 2), dtype=np.float32)
+    tables = np.zeros((orders * SLOTS, 2), dtype=np.float32)
     tables[got.column("slot").to_numpy()] = np.stack([got.column(c).to_numpy() for c in ("zeros", "ones")], axis=1)
-    return tables.reshape(ORDERS, SLOTS, 2)
+    return tables.reshape(orders, SLOTS, 2)
 
 
 TABLE_SCHEMA = "slot long, zeros long, ones long"
 
 
 def token_tables(documents: DataFrame, code: Code) -> np.ndarray:
+    """Counts of the two higher orders; those without context follow from the code."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = np.zeros((ORDERS, 2 * SLOTS), dtype=np.int64)
+        tables = np.zeros((ORDERS - 1, 2 * SLOTS), dtype=np.int64)
         for batch in batches:
-            for ids, begins in _sub_batches([_encoded(code, t) for t in batch.column(0).to_pylist()]):
-                slots, bits, _ = _slots(code, ids, begins)
+            for _, slots, bits in _coded(code, _texts(batch.column(0))):
                 _add(tables, slots, bits)
         yield _table_rows(tables)
 
-    return _summed(documents.select("text").mapInArrow(count, TABLE_SCHEMA))
+    return _summed(documents.select("text").mapInArrow(count, TABLE_SCHEMA), ORDERS - 1)
 
 
 def byte_tables(counts: DataFrame) -> np.ndarray:
@@ -219,12 +256,11 @@ def byte_tables(counts: DataFrame) -> np.ndarray:
         tables = np.zeros((ORDERS, 2 * SLOTS), dtype=np.int64)
         for batch in batches:
             words = batch.column(0).to_pylist()
-            for start in range(0, len(words), 2048):
-                slots, bits, _ = _byte_slots(words[start : start + 2048])
-                _add(tables, slots, bits)
+            for start in range(0, len(words), 8192):
+                _add(tables, *_byte_steps(words[start : start + 8192])[:2])
         yield _table_rows(tables)
 
-    return _summed(counts.filter(F.col("word") != END).select("word").mapInArrow(count, TABLE_SCHEMA))
+    return _summed(counts.filter(F.col("word") != END).select("word").mapInArrow(count, TABLE_SCHEMA), ORDERS)
 
 
 class Predictors:
@@ -233,34 +269,53 @@ class Predictors:
     def __init__(self, tables: np.ndarray):
         zeros, ones = tables[..., 0], tables[..., 1]
         self.logits = np.log((ones + 0.4) / (zeros + 0.4)).astype(np.float32)
-        self.levels = np.searchsorted(LEVEL_STARTS, zeros + ones, side="right").astype(np.uint8)
+        # The last two orders choose the gate: their levels are kept as digits of its number.
+        digits = np.searchsorted(LEVEL_STARTS, zeros + ones, side="right")[-2:]
+        self.gates = (digits * np.array([[LEVELS], [1]])).astype(np.int16)
 
-    def look(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        logits = np.stack([self.logits[k][slots[k]] for k in range(ORDERS)])
-        gates = self.levels[1][slots[1]].astype(np.int64) * LEVELS + self.levels[2][slots[2]]
-        return logits, gates
+    def look(self, slots: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        logits = [table.take(own) for table, own in zip(self.logits, slots, strict=True)]
+        return logits, self.gates[0].take(slots[-2]) + self.gates[1].take(slots[-1])
 
 
-def _without_own(tables: np.ndarray, slots: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _without_own(tables: np.ndarray, slots: np.ndarray, bits: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Like look(), as if the bit itself had not been counted."""
-    counts = np.stack([tables[k][slots[k]] for k in range(ORDERS)])
-    own = np.stack([1 - bits, bits], axis=1)[None]
-    counts = np.maximum(counts - own, 0.0)
+    counts = np.stack([table[own] for table, own in zip(tables, slots, strict=True)])
+    counts = np.maximum(counts - np.stack([1 - bits, bits], axis=1)[None], 0.0)
     logits = np.log((counts[..., 1] + 0.4) / (counts[..., 0] + 0.4)).astype(np.float32)
     levels = np.searchsorted(LEVEL_STARTS, counts.sum(axis=2), side="right")
-    return logits, levels[1] * LEVELS + levels[2]
+    return list(logits), levels[-2] * LEVELS + levels[-1]
 
 
 def start_weights() -> np.ndarray:
     return np.full((GATES, ORDERS), 0.4, dtype=np.float32)
 
 
-def _fit(weights: np.ndarray, logits: np.ndarray, gates: np.ndarray, bits: np.ndarray) -> None:
+def _weighed(weights: np.ndarray, gates: np.ndarray, logits: list[np.ndarray]) -> np.ndarray:
+    """The mixture of the logits by the weights of the gates."""
+    total = weights[:, 0].take(gates) * logits[0]
+    for k, x in enumerate(logits[1:], start=1):
+        total += weights[:, k].take(gates) * x
+    return total
+
+
+def _outcome(mixed: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Negative log-probabilities of the bits, and by how much each bit exceeds its probability."""
+    sign = bits.astype(np.float32)
+    sign *= 2
+    sign -= 1
+    odds = np.exp(-np.clip(mixed * sign, -20.0, 20.0))
+    whole = 1 + odds
+    sign *= odds / whole
+    return np.log(whole), sign
+
+
+def _fit(weights: np.ndarray, logits: list[np.ndarray], gates: np.ndarray, bits: np.ndarray) -> None:
     """One step of all sets along their mean gradient."""
-    error = bits - sigmoid((weights[gates].T * logits).sum(axis=0))
-    n = np.bincount(gates, minlength=GATES)
-    for k in range(ORDERS):
-        weights[:, k] += RATE * np.bincount(gates, weights=error * logits[k], minlength=GATES) / (n + 200.0)
+    _, error = _outcome(_weighed(weights, gates, logits), bits)
+    n = np.bincount(gates, minlength=GATES) + 200.0
+    for k, x in enumerate(logits):
+        weights[:, k] += RATE * np.bincount(gates, weights=error * x, minlength=GATES) / n
 
 
 def gate_weights(sample: DataFrame, code: Code, tables: np.ndarray) -> np.ndarray:
@@ -268,13 +323,10 @@ def gate_weights(sample: DataFrame, code: Code, tables: np.ndarray) -> np.ndarra
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, seen = start_weights(), np.zeros(GATES)
         for batch in batches:
-            for ids, begins in _sub_batches([_encoded(code, t) for t in batch.column(0).to_pylist()]):
-                slots, bits, _ = _slots(code, ids, begins)
-                for start in range(0, len(bits), 50_000):
-                    part = slice(start, start + 50_000)
-                    logits, gates = _without_own(tables, slots[:, part], bits[part])
-                    _fit(weights, logits, gates, bits[part])
-                    seen += np.bincount(gates, minlength=GATES)
+            for plain, slots, bits in _coded(code, _texts(batch.column(0))):
+                logits, gates = _without_own(tables, slots, bits)
+                _fit(weights, [plain, *logits], gates, bits)
+                seen += np.bincount(gates, minlength=GATES)
         yield pa.RecordBatch.from_arrays([pa.array([weights.astype(np.float64).ravel()]), pa.array([seen])], ["weights", "seen"])
 
     rows = sample.select("text").mapInArrow(fit, "weights array<double>, seen array<double>").collect()
@@ -289,7 +341,7 @@ def byte_weights(words: list[bytes], tables: np.ndarray) -> np.ndarray:
     """Weights of spelled words, from the rarest words of the vocabulary; they are not refined later."""
     weights = start_weights()
     for start in range(0, len(words), 500):
-        slots, bits, _ = _byte_slots(words[start : start + 500])
+        slots, bits, _ = _byte_steps(words[start : start + 500])
         _fit(weights, *_without_own(tables, slots, bits), bits)
     return weights
 
@@ -308,51 +360,48 @@ class Model:
             cache.clear()
         for start in range(0, len(words), 2048):
             part = words[start : start + 2048]
-            slots, bits, sizes = _byte_slots(part)
+            slots, bits, sizes = _byte_steps(part)
             logits, gates = self.byte.look(slots)
-            losses = _losses((self.byte_gates[gates].T * logits).sum(axis=0), bits)
-            cache.update(zip(part, np.add.reduceat(-losses, np.cumsum(sizes) - sizes).tolist(), strict=True))
+            losses, _ = _outcome(_weighed(self.byte_gates, gates, logits), bits)
+            cache.update(zip(part, np.add.reduceat(-losses.astype(np.float64), np.cumsum(sizes) - sizes).tolist(), strict=True))
 
     def scores(self, ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """Log-probabilities of the documents' codes, block by block, all documents side by side."""
-        slots, bits, lengths = _slots(self.code, ids, begins)
-        logits, gates = self.token.look(slots)
+        contexts = _contexts(ids, begins)
         sizes = np.diff(np.append(begins, len(ids)))
         n_docs = len(sizes)
-        document = np.repeat(np.repeat(np.arange(n_docs), sizes), lengths)
-        block = np.repeat((np.arange(len(ids)) - np.repeat(begins, sizes)) // BLOCK, lengths)
+        document = np.repeat(np.arange(n_docs), sizes)
+        block = (np.arange(len(ids)) - np.repeat(begins, sizes)) // BLOCK
         order = np.argsort(block, kind="stable")
         edges = np.searchsorted(block[order], np.arange(block.max() + 2))
-        weights = np.broadcast_to(self.gates, (n_docs, GATES, ORDERS)).reshape(-1, ORDERS).copy()
+        refined = np.zeros((ORDERS, n_docs), dtype=np.float32)
         out = np.zeros(n_docs)
         for start, stop in zip(edges, edges[1:], strict=False):
             at = order[start:stop]
-            own = document[at]
-            low, high = int(own[0]), int(own[-1]) + 1  # a block is sorted by document
-            sets = own * GATES + gates[at]
-            x, y = logits[:, at], bits[at]
-            mixed = np.einsum("nk,kn->n", weights[sets], x)
-            out[low:high] -= np.bincount(own - low, weights=_losses(mixed, y), minlength=high - low)
-            error = y - sigmoid(mixed)
-            span, relative = slice(low * GATES, high * GATES), sets - low * GATES
-            n = np.bincount(relative, minlength=(high - low) * GATES) + 64.0
-            for k in range(ORDERS):
-                weights[span, k] += REFINE * np.bincount(relative, weights=error * x[k], minlength=len(n)) / n
+            plain, slots, bits, lengths = _steps(self.code, ids[at], contexts[:, at])
+            higher, gates = self.token.look(slots)
+            logits = [plain, *higher]
+            # A block is sorted by document: the documents it has, and where their bits begin.
+            first = np.flatnonzero(np.diff(document[at], prepend=-1))
+            own = document[at[first]]
+            begin = (np.cumsum(lengths) - lengths)[first]
+            n = np.diff(np.append(begin, len(bits)))
+            mixed = _weighed(self.gates, gates, logits)
+            for w, x in zip(refined, logits, strict=True):
+                mixed += np.repeat(w[own], n) * x
+            losses, error = _outcome(mixed, bits)
+            out[own] -= np.add.reduceat(losses, begin, dtype=np.float64)
+            for w, x in zip(refined, logits, strict=True):
+                w[own] += REFINE * np.add.reduceat(error * x, begin) / (n + 64.0)
         return out
 
 
-def _losses(logits: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Negative log-probabilities of the bits."""
-    signed = np.where(bits, logits, -logits).clip(-20.0, 20.0)
-    return np.log1p(np.exp(-signed))
-
-
 def train(documents: DataFrame, counts: DataFrame) -> Model:
     """A model of all training documents; ``counts`` are their word counts."""
     learned = documents.filter(remainder(F.col("doc_id"), DIVISOR) != HELD_OUT)
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
     frequent = frequent_words(counts)
-    code = Code(frequent)
+    code = Code(frequent, totals["total"] - sum(frequent.values()))
     tables = token_tables(learned, code)
     drawn = learned.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(GATE_SAMPLE_ROWS)  # ids only: 8 bytes each
     sample = learned.select("doc_id", "text").join(F.broadcast(drawn.withColumnRenamed("doc_id", "drawn")), F.col("doc_id") == F.col("drawn"))
@@ -377,21 +426,22 @@ def mixed_scores(documents: DataFrame) -> DataFrame:
         cache: dict[bytes, float] = {}
         code, base = model.code, np.log10((model.code.counts + 0.5) / unit)
         for batch in batches:
-            chunk, texts = secrets.randbits(62), batch.column(2).to_pylist()
-            for start in range(0, len(texts), DOCUMENTS_AT_ONCE):
-                found = [tokens(t) for t in texts[start : start + DOCUMENTS_AT_ONCE]]
-                rare = [Counter(w for w in words if w not in code.index) for words in found]
+            chunk = secrets.randbits(62)
+            for start in range(0, batch.num_rows, DOCUMENTS_AT_ONCE):
+                texts = batch.column(2)[start : start + DOCUMENTS_AT_ONCE].to_pylist()
+                found = [tokens(t) for t in texts]
+                ids = [_encoded(code, words) for words in found]
+                rare = [Counter(words[i] for i in np.flatnonzero(own == code.index.escape)) for words, own in zip(found, ids, strict=True)]
                 model.spelled([w for c in rare for w in c], cache)
                 if any(w not in cache for c in rare for w in c):  # the cache was cleared in between
                     model.spelled([w for c in rare for w in c], cache)
-                ids = [np.append(np.fromiter((code.index.get(w, code.index[ESCAPE]) for w in words), dtype=np.int64, count=len(words)), code.index[END]) for words in found]
                 sizes = np.asarray([len(i) for i in ids])
                 flat, begins = np.concatenate(ids), np.cumsum(sizes) - sizes
                 coded = model.scores(flat, begins)
                 spelled = np.asarray([sum(cache[w] * n for w, n in c.items()) for c in rare])
-                known = flat != code.index[ESCAPE]
+                known = flat != code.index.escape
                 part = slice(start, start + DOCUMENTS_AT_ONCE)
-                n_bytes = [len((t or "").encode("utf-8", "surrogatepass")) for t in texts[part]]
+                n_bytes = [len((t or "").encode("utf-8", "surrogatepass")) for t in texts]
                 columns = [
                     batch.column(0)[part], batch.column(1)[part], pa.array(np.full(len(ids), chunk)), pa.array(np.arange(start, start + len(ids))),
                     pa.array(sizes), pa.array(np.add.reduceat((known & (code.counts[flat] > 0)).astype(np.int64), begins)),

@@ -1,6 +1,5 @@
 """Context mixing: base columns by brute force, the vectorised mixture bit by bit, held-out gain."""
 
-import itertools
 import math
 import random
 import re
@@ -10,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from llm_rows import awkward, no_documents  # noqa: F401
 from millrace.llm import context_mixing as cm
 from millrace.llm.context_mixing import END, ESCAPE, Code, Model, Predictors, mixed_scores
 from millrace.llm.queries import LLM_QUERIES
@@ -50,40 +50,37 @@ def model():
     texts = [[rng.choice([b"a", b"b", b"cc", b"dd"]) for _ in range(rng.randint(0, 400))] for _ in range(30)]
     counts = Counter(w for t in texts for w in t) + Counter({END: 30})
     code = Code(dict(counts))
-    tables = np.zeros((cm.ORDERS, 2 * cm.SLOTS), dtype=np.int64)
-    bytes_ = tables.copy()
+    tables = np.zeros((cm.ORDERS - 1, 2 * cm.SLOTS), dtype=np.int64)
+    bytes_ = np.zeros((cm.ORDERS, 2 * cm.SLOTS), dtype=np.int64)
     for t in texts:
         ids = np.append([code.index[w] for w in t], code.index[END]).astype(np.int64)
-        slots, bits, _ = cm._slots(code, ids, np.array([0]))
+        _, slots, bits, _ = cm._steps(code, ids, cm._contexts(ids, np.array([0])))
         cm._add(tables, slots, bits)
-    slots, bits, _ = cm._byte_slots([b"a", b"b", b"cc", b"dd"])
+    slots, bits, _ = cm._byte_steps([b"a", b"b", b"cc", b"dd"])
     cm._add(bytes_, slots, bits)
-    shape = (cm.ORDERS, cm.SLOTS, 2)
+    shape = (-1, cm.SLOTS, 2)
     return Model(code, Predictors(tables.reshape(shape)), cm.start_weights(), Predictors(bytes_.reshape(shape)), cm.start_weights(), 1, 1)
 
 
 def one_by_one(model, ids):
     """The documented model for one document, bit by bit, without numpy's batches."""
-    weights = [list(map(float, w)) for w in model.gates]
-    total, contexts = 0.0, (0, 0)
-    slots, bits, lengths = cm._slots(model.code, np.asarray(ids), np.array([0]))
+    refined = [0.0] * cm.ORDERS
+    total = 0.0
+    plain, slots, bits, lengths = cm._steps(model.code, np.asarray(ids), cm._contexts(np.asarray(ids), np.array([0])))
     at = 0
     for start in range(0, len(ids), cm.BLOCK):
-        moved = [[0.0] * cm.ORDERS for _ in weights]
-        seen = [0] * len(weights)
+        moved, seen = [0.0] * cm.ORDERS, 0
         for length in lengths[start : start + cm.BLOCK]:
             for i in range(at, at + length):
-                x = [float(model.token.logits[k][slots[k][i]]) for k in range(cm.ORDERS)]
-                gate = int(model.token.levels[1][slots[1][i]]) * cm.LEVELS + int(model.token.levels[2][slots[2][i]])
-                mixed = sum(w * v for w, v in zip(weights[gate], x, strict=True))
+                x = [float(plain[i])] + [float(model.token.logits[k][slots[k][i]]) for k in range(cm.ORDERS - 1)]
+                gate = sum(int(model.token.gates[k][slots[k][i]]) for k in range(2))
+                mixed = sum((float(w) + r) * v for w, r, v in zip(model.gates[gate], refined, x, strict=True))
                 p = 1 / (1 + math.exp(-mixed))
                 total += math.log(p if bits[i] else 1 - p)
-                seen[gate] += 1
-                for k in range(cm.ORDERS):
-                    moved[gate][k] += (float(bits[i]) - p) * x[k]
+                seen += 1
+                moved = [m + (float(bits[i]) - p) * v for m, v in zip(moved, x, strict=True)]
             at += length
-        for g, k in itertools.product(range(len(weights)), range(cm.ORDERS)):
-            weights[g][k] += cm.REFINE * moved[g][k] / (seen[g] + 64.0)
+        refined = [r + cm.REFINE * m / (seen + 64.0) for r, m in zip(refined, moved, strict=True)]
     return total
 
 
