@@ -4,7 +4,8 @@ A text's sentences are normalised and mapped to identifiers of known licence sen
 sequence of identifiers is matched against ordered licence rules. Full licence texts, their usual
 notices, one-line grants and SPDX tags are known.
 
-Only rows with a word that every known sentence needs go to Python; the rest never leave the JVM.
+Only rows with a word that some known sentence needs go to Python; the rest never leave the JVM.
+The words are taken from the sentences: of each the longest word that it cannot do without.
 """
 
 from __future__ import annotations
@@ -16,9 +17,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Without one of these no sentence below can match.
-KEYWORDS = r"(?i)licen[cs]|copyright|permission|redistribut|warrant|public domain|without fee|liable|creative commons|altered source"
-
 # Normalised sentences (lower case, no punctuation) by identifier. "{1}" in an
 # identifier stands for what the first group matched.
 SENTENCES = (
@@ -106,7 +104,8 @@ GAP = 3
 _SENTENCES = [(name, re.compile(rf"(?<![a-z0-9]){pattern}(?![a-z0-9])")) for name, pattern in SENTENCES]
 _RULES = [(name, [re.compile(rf"(?:{step})\Z") for step in steps]) for name, steps in RULES]
 _LEADERS = re.compile(r"(?m)^[\s/*#;!>|%-]+")
-_ENDS = re.compile(r"[.;:!?](?=\s|$)|\n\s*\n")
+# A full stop between "v" and a version does not end a sentence.
+_ENDS = re.compile(r"(?!(?<=\bv)\.\s+[0-9])[.;:!?](?=\s|$)|\n\s*\n")
 _DROPPED = re.compile(r"[^\w\s./+=-]+")
 
 
@@ -163,6 +162,25 @@ def licences(found: list[tuple[int, str]]) -> tuple[list[str], int]:
     return out, unmatched
 
 
+def _needed(pattern: str) -> str:
+    """The longest word that every match of a sentence's pattern holds, as a regular expression.
+
+    A letter class such as the one of "licence" stays; groups, other classes and what may be
+    missing separate words. Line leaders and punctuation cannot stand inside a word that is
+    found: they stay or become a space.
+    """
+    flat = pattern.replace("[cs]", "\x00").replace(r"\.", ".")
+    while (less := re.sub(r"\([^()]*\)[?]?", " ", flat)) != flat:
+        flat = less
+    flat = re.sub(r"\[[^\]]*\][?+*]?|\.\{[^}]*\}|.\?", " ", flat)
+    words = re.findall(r"[a-z\x00]+", flat)
+    return max(words, key=len, default="").replace("\x00", "[cs]")
+
+
+# Without one of these no sentence above can match.
+KEYWORDS = "(?i)" + "|".join(sorted({_needed(pattern) for _, pattern in SENTENCES}))
+
+
 def licence_scan(documents: DataFrame, text: str = "text") -> DataFrame:
     """Documents with a known licence sentence: doc_id, licences and sentence identifiers in order, and
     how many of those no rule explains.

@@ -3,7 +3,7 @@
 import pytest
 
 from llm_rows import awkward, no_documents  # noqa: F401
-from millrace.llm.licences import identified, licence_scan, licences, sentences
+from millrace.llm.licences import SENTENCES, identified, licence_scan, licences, sentences
 from millrace.llm.queries import LLM_QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -74,3 +74,61 @@ def test_awkward_rows(spark, awkward, no_documents):
     assert licence_scan(awkward).count() == licence_scan(no_documents).count() == 0
     long = spark.createDataFrame([(1, "filler. " * 50_000 + MIT), (1, "filler. " * 50_000 + MIT), (None, "Released under the MIT License")], "doc_id long, text string")
     assert [r["licences"] for r in licence_scan(long).collect()] == ["MIT"] * 3
+
+
+ALONE = {
+    "spdx={1}": "SPDX-License-Identifier: MIT",
+    "mit-grant": MIT.split(", to deal")[0],
+    "mit-condition": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "as-is": "The software is provided as is.",
+    "no-liability": "In no event shall the authors be liable.",
+    "bsd-grant": BSD.split(":")[0],
+    "bsd-source": "Redistributions of source code must retain the above copyright notice.",
+    "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice.",
+    "bsd-endorse": "Neither the name of X may be used to endorse or promote products.",
+    "bsd-advert": "All advertising materials mentioning features or use of this software must display this.",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "zlib-as-is": "This software is provided as-is, without any express or implied warranty.",
+    "zlib-origin": "The origin of this software must not be misrepresented.",
+    "zlib-altered": "Altered source versions must be plainly marked as such.",
+    "zlib-notice": "This notice may not be removed or altered from any source distribution.",
+    "apache-notice": "Licensed under the Apache License, Version 2.0.",
+    "apache-use": "You may not use this file except in compliance with the License.",
+    "apache-copy": "You may obtain a copy of the License at example.",
+    "apache-law": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS basis.",
+    "gnu-free={1}": "You can redistribute it and/or modify it under the terms of the GNU General Public License.",
+    "gnu-version={1}+": "Either version 2 of the License, or (at your option) any later version.",
+    "gnu-hope": "Distributed in the hope that it will be useful, but without any warranty.",
+    "gnu-see": "See the GNU General Public License for more details.",
+    "gnu-copy": "You should have received a copy of the GNU text.",
+    "gnu-line={1}={2}+": "Licensed under the GNU General Public License v2 or later.",
+    "gnu-line={1}={2}": "Released under the GNU General Public License, version 3.",
+    "mpl-notice={1}": "This is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "mpl-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at example.",
+    "epl-notice={1}": "Made available under the terms of the Eclipse Public License v2.0.",
+    "boost-line": "Distributed under the Boost Software License, Version 1.0.",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "public-domain": "Dedicated to the public domain.",
+    "cc0-line": "Available under CC0.",
+    "cc-line={1}={2}": "Released under CC BY-SA 4.0.",
+    "cc-long={1}={2}": "Licensed under Creative Commons Attribution 4.0.",
+    "short-line={1}": "Available under the MIT license.",
+    "bsd-line={1}": "Distributed under the BSD 3-clause.",
+    "all-rights": "Copyright 2020 A, all rights reserved.",
+}
+
+
+def test_each_sentence_alone_and_wrapped_passes_the_filter(spark):
+    assert set(ALONE) == {name for name, _ in SENTENCES}
+    texts = [t for line in ALONE.values() for t in (line, line.upper(), "\n * ".join(line.split(" ")), "\n".join(line.split(" ")))]
+    assert all(identified(sentences(t)) for t in texts)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"] for r in licence_scan(rows).collect()} == set(range(len(texts)))
+
+
+def test_standard_mpl_header():
+    header = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"""
+    assert licences(identified(sentences(header))) == (["MPL-2.0"], 0)
+    assert sentences("See v. Two ends.") == ["see v", "two ends"]
