@@ -8,7 +8,7 @@ the set of weights, and every document refines the sets it uses after each block
 what it has just coded. So the mixture is a proper sequential model; its log-probability of a text,
 in bits and divided by the text's bytes, is the bits per byte.
 
-Tables have a fixed size and take their counts from all training documents. Words outside the
+Tables have a fixed size; their counts and the weights come from all training documents. Words outside the
 vocabulary have their exact corpus counts joined from the table of all words.
 """
 
@@ -19,10 +19,12 @@ import secrets
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import count as counter
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.labelled import remainder
@@ -41,7 +43,6 @@ LEVELS = len(LEVEL_STARTS) + 1
 GATES = LEVELS * LEVELS
 BLOCK = 128
 RATE, REFINE = 0.5, 0.15
-GATE_SAMPLE_ROWS = 4_000
 # Work is cut to these sizes, so that memory does not follow the length of texts.
 DOCUMENTS_AT_ONCE, TOKENS_AT_ONCE = 256, 65_536
 SPELLED_CACHE = 200_000
@@ -121,6 +122,7 @@ class Code:
     """
 
     def __init__(self, counts: dict[bytes, int], escapes: int = 0):
+        self.shared: Broadcast | None = None
         symbols = {**counts, ESCAPE: max(1, escapes)}
         symbols.setdefault(END, 1)
         self.index = Symbols((word, i) for i, word in enumerate(symbols))
@@ -151,6 +153,13 @@ class Code:
         self.logits = np.log((taken[nodes, 1] + 0.4) / (taken[nodes, 0] + 0.4)).astype(np.float32)
         self.places = nodes.astype(np.uint32) * _MIX_3
 
+    def share(self, spark: SparkSession) -> None:
+        """Broadcast the code once; from now on functions that use it carry a reference to that."""
+        self.shared = spark.sparkContext.broadcast(self)
+
+    def __reduce_ex__(self, protocol: int) -> tuple:
+        return super().__reduce_ex__(protocol) if self.shared is None else (attrgetter("value"), (self.shared,))
+
 
 def _contexts(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Hashes of the last token and of the last two, per token; ``first`` are the first of documents."""
@@ -278,13 +287,10 @@ class Predictors:
         return logits, self.gates[0].take(slots[-2]) + self.gates[1].take(slots[-1])
 
 
-def _without_own(tables: np.ndarray, slots: np.ndarray, bits: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Like look(), as if the bit itself had not been counted."""
-    counts = np.stack([table[own] for table, own in zip(tables, slots, strict=True)])
-    counts = np.maximum(counts - np.stack([1 - bits, bits], axis=1)[None], 0.0)
-    logits = np.log((counts[..., 1] + 0.4) / (counts[..., 0] + 0.4)).astype(np.float32)
-    levels = np.searchsorted(LEVEL_STARTS, counts.sum(axis=2), side="right")
-    return list(logits), levels[-2] * LEVELS + levels[-1]
+def _without_own(tables: np.ndarray) -> Predictors:
+    """Predictors of 2 * slot + bit: of the slot as if that bit itself had not been counted."""
+    left = np.maximum(tables[:, :, None, :] - np.eye(2, dtype=np.float32), 0.0)
+    return Predictors(left.reshape(len(tables), -1, 2))
 
 
 def start_weights() -> np.ndarray:
@@ -318,18 +324,16 @@ def _fit(weights: np.ndarray, logits: list[np.ndarray], gates: np.ndarray, bits:
         weights[:, k] += RATE * np.bincount(gates, weights=error * x, minlength=GATES) / n
 
 
-def gate_weights(sample: DataFrame, code: Code, tables: np.ndarray) -> np.ndarray:
-    """Weights that documents start with: each task fits the sample rows it has, the driver averages."""
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, seen = start_weights(), np.zeros(GATES)
-        for batch in batches:
-            for plain, slots, bits in _coded(code, _texts(batch.column(0))):
-                logits, gates = _without_own(tables, slots, bits)
-                _fit(weights, [plain, *logits], gates, bits)
-                seen += np.bincount(gates, minlength=GATES)
-        yield pa.RecordBatch.from_arrays([pa.array([weights.astype(np.float64).ravel()]), pa.array([seen])], ["weights", "seen"])
+WEIGHT_SCHEMA = "weights array<double>, seen array<double>"
 
-    rows = sample.select("text").mapInArrow(fit, "weights array<double>, seen array<double>").collect()
+
+def _weight_rows(weights: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([weights.astype(np.float64).ravel()]), pa.array([seen])], ["weights", "seen"])
+
+
+def _averaged(fits: DataFrame) -> np.ndarray:
+    """The weights of all tasks (GATES * ORDERS numbers each), averaged by how often each saw a gate."""
+    rows = fits.collect()
     seen = np.asarray([r["seen"] for r in rows]).reshape(-1, GATES)
     weights = np.asarray([r["weights"] for r in rows]).reshape(-1, GATES, ORDERS)
     total = seen.sum(axis=0)[:, None]
@@ -337,13 +341,36 @@ def gate_weights(sample: DataFrame, code: Code, tables: np.ndarray) -> np.ndarra
     return np.where(total > 0, mean, start_weights()).astype(np.float32)
 
 
-def byte_weights(words: list[bytes], tables: np.ndarray) -> np.ndarray:
-    """Weights of spelled words, from the rarest words of the vocabulary; they are not refined later."""
-    weights = start_weights()
-    for start in range(0, len(words), 500):
-        slots, bits, _ = _byte_steps(words[start : start + 500])
-        _fit(weights, *_without_own(tables, slots, bits), bits)
-    return weights
+def gate_weights(documents: DataFrame, code: Code, tables: np.ndarray) -> np.ndarray:
+    """Weights that documents start with: each task fits the documents it has, the driver averages."""
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, seen, left = start_weights(), np.zeros(GATES), _without_own(tables)
+        for batch in batches:
+            for plain, slots, bits in _coded(code, _texts(batch.column(0))):
+                logits, gates = left.look(slots * 2 + bits)
+                _fit(weights, [plain, *logits], gates, bits)
+                seen += np.bincount(gates, minlength=GATES)
+        yield _weight_rows(weights, seen)
+
+    return _averaged(documents.select("text").mapInArrow(fit, WEIGHT_SCHEMA))
+
+
+def byte_weights(counts: DataFrame, tables: np.ndarray) -> np.ndarray:
+    """Weights of spelled words, from all words, each once; they are not refined later."""
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, seen, left = start_weights(), np.zeros(GATES), _without_own(tables)
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            for start in range(0, len(words), 500):
+                slots, bits, _ = _byte_steps(words[start : start + 500])
+                logits, gates = left.look(slots * 2 + bits)
+                _fit(weights, logits, gates, bits)
+                seen += np.bincount(gates, minlength=GATES)
+        yield _weight_rows(weights, seen)
+
+    return _averaged(counts.filter(F.col("word") != END).select("word").mapInArrow(fit, WEIGHT_SCHEMA))
 
 
 class Model:
@@ -402,13 +429,11 @@ def train(documents: DataFrame, counts: DataFrame) -> Model:
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
     frequent = frequent_words(counts)
     code = Code(frequent, totals["total"] - sum(frequent.values()))
+    code.share(documents.sparkSession)
     tables = token_tables(learned, code)
-    drawn = learned.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(GATE_SAMPLE_ROWS)  # ids only: 8 bytes each
-    sample = learned.select("doc_id", "text").join(F.broadcast(drawn.withColumnRenamed("doc_id", "drawn")), F.col("doc_id") == F.col("drawn"))
-    gates = gate_weights(sample, code, tables)
+    gates = gate_weights(learned, code, tables)
     spelling = byte_tables(counts)
-    rarest = sorted((w for w in frequent if w != END), key=lambda w: (frequent[w], w))[:50_000]
-    return Model(code, Predictors(tables), gates, Predictors(spelling), byte_weights(rarest, spelling), totals["total"], totals["distinct"])
+    return Model(code, Predictors(tables), gates, Predictors(spelling), byte_weights(counts, spelling), totals["total"], totals["distinct"])
 
 
 def mixed_scores(documents: DataFrame) -> DataFrame:

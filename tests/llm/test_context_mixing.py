@@ -110,3 +110,15 @@ def test_awkward_rows(spark, awkward, no_documents):
     only_held_out = spark.createDataFrame([(d, "some words here") for d in range(100) if zlib.crc32(str(d).encode()) % 5 == 1], "doc_id long, text string")
     out = mixed_scores(only_held_out).collect()
     assert {(r["train_tokens"], r["n_known"], r["base_score"]) for r in out} == {(0, 0, 0.0)} and all(math.isfinite(r["score"]) for r in out)
+
+
+def test_weights_are_fitted_on_all_documents_and_words(spark, monkeypatch):
+    # 6,000 documents without a word in common: the vocabulary is empty, every word is spelled.
+    rows = [(d, f"w{d}") for d in range(6_000)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    learned = documents.filter(cm.remainder(documents["doc_id"], cm.DIVISOR) != cm.HELD_OUT)
+    fitted, fit = [], cm.gate_weights
+    monkeypatch.setattr(cm, "gate_weights", lambda sample, *rest: fitted.append(sample.count()) or fit(sample, *rest))
+    model = cm.train(documents, cm.word_counts(learned))
+    assert fitted == [learned.count()] and fitted[0] > 4_000
+    assert not np.allclose(model.byte_gates, cm.start_weights())
