@@ -6,8 +6,9 @@ the class, and the discounted mass goes to the next order. As in Kneser-Ney smoo
 orders are made of the discounted mass itself, and they are shared by both classes: an expression
 too rare to tell the classes apart gets the same backoff from both and moves nothing.
 
-A document is compared by its length-normalised log-likelihoods. What a language or a topic shifts
-for all words alike is its median word, so the evidence is what words have beyond it.
+A document is compared by its length-normalised log-likelihoods, and by what single words have beyond
+a level: that of the ordinary class's median word, or that of the document's own where it is lower, as
+a language or a topic can shift all words alike. Where most words are toxic, all of them are evidence.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ EXPRESSION = re.compile(r"[^\W\d_]+")
 PREFIX = 4
 # Discount of the smaller class; the larger one's is as many times that as it has more words.
 DISCOUNT = 2.0
-# Log ratios count as evidence from this far above a document's median.
+# Log ratios count as evidence from this far above the level.
 MARGIN = 2.0
 SAMPLE_ROWS = 20_000
 CACHE_WORDS = 500_000
@@ -78,6 +79,10 @@ class Ratios:
         self.words, self.word_ratio = words[telling], self._ratio(own[:, telling], sizes)
         self.groups, self.group_ratio = groups, self._ratio(mass, sizes)
         self.other = float(self._ratio(total_taken, sizes)[0])
+        # The ordinary class's median word.
+        ratios, seen = np.where(telling, self._ratio(own, sizes), self.group_ratio[group]), counts[0]
+        order = np.argsort(ratios)
+        self.level = float(ratios[order[np.searchsorted(np.cumsum(seen[order]), seen.sum() / 2)]]) if seen.any() else 0.0
 
     @staticmethod
     def _ratio(mass: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -105,18 +110,19 @@ class Evidence(dict):
         value = self[word] = self.ratios.of(word)
         return value
 
-    def of(self, text: str | None) -> tuple[float, float, float]:
-        """Normalised evidence, its sum, and the plain normalised log ratio; zeros without words."""
+    def of(self, text: str | None) -> tuple[float, float, float, float]:
+        """Normalised evidence, its sum, the normalised log ratio above the ordinary level, and that ratio; zeros without words."""
         found = EXPRESSION.findall((text or "").lower())
         if not found:
-            return 0.0, 0.0, 0.0
+            return 0.0, 0.0, 0.0, 0.0
         ratios = np.fromiter(map(self.__getitem__, found), dtype=np.float64, count=len(found))
-        beyond = np.maximum(ratios - np.median(ratios) - MARGIN, 0.0)
-        return float(beyond.mean()), float(beyond.sum()), float(ratios.mean())
+        level = self.ratios.level
+        beyond = np.maximum(ratios - min(float(np.median(ratios)), level) - MARGIN, 0.0)
+        return float(beyond.mean()), float(beyond.sum()), float(ratios.mean()) - level, float(ratios.mean())
 
 
 def _features(evidence: np.ndarray) -> np.ndarray:
-    return np.stack([np.log1p(50.0 * evidence[:, 0]), np.log1p(evidence[:, 1])], axis=1)
+    return np.stack([np.log1p(50.0 * evidence[:, 0]), np.log1p(evidence[:, 1]), evidence[:, 2]], axis=1)
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[Ratios, np.ndarray]:
@@ -134,7 +140,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> t
         evidence = [Evidence(r) for r in halves]
         for batch in batches:
             texts, y, folds = (c.to_pylist() for c in batch.columns)
-            seen = np.asarray([evidence[f].of(t) for t, f in zip(texts, folds, strict=True)]).reshape(-1, 3)
+            seen = np.asarray([evidence[f].of(t) for t, f in zip(texts, folds, strict=True)]).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), *[pa.array(seen[:, k]) for k in range(3)]], ["label", "a", "b", "c"])
 
     looked = sample.select("text", "label", "fold").mapInArrow(look, "label int, a double, b double, c double").toArrow()
@@ -153,9 +159,9 @@ def toxicity(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, t
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evidence = Evidence(ratios)
         for batch in batches:
-            seen = np.asarray([evidence.of(t) for t in batch.column(2).to_pylist()]).reshape(-1, 3)
+            seen = np.asarray([evidence.of(t) for t in batch.column(2).to_pylist()]).reshape(-1, 4)
             scores = sigmoid(_features(seen) @ weights[:-1] + weights[-1])
-            columns = [batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= threshold).astype(np.int32)), pa.array(seen[:, 2])]
+            columns = [batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= threshold).astype(np.int32)), pa.array(seen[:, 3])]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "score", "predicted", "log_ratio"])
 
     rows_ = documents.select(F.col("doc_id").cast("long"), (remainder(F.col("doc_id"), DIVISOR) == HELD_OUT).alias("held_out"), F.col("text"))

@@ -8,7 +8,7 @@ import pytest
 
 from llm_rows import awkward, no_documents  # noqa: F401
 from millrace.llm.queries import LLM_QUERIES
-from millrace.llm.toxicity import Ratios, _key, toxicity
+from millrace.llm.toxicity import Evidence, Ratios, _key, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -63,3 +63,24 @@ def test_awkward_rows(spark, awkward, no_documents):
     assert len({r["score"] for r in rows if r["doc_id"] in (1, 2, 3)}) == 1
     assert toxicity(no_documents, labels).count() == 0
     assert {r["score"] for r in toxicity(awkward, labels.limit(0)).collect()} == {0.5}
+
+
+def test_texts_of_mostly_toxic_words_have_evidence():
+    evidence = Evidence(ratios({"bad": 50, "worse": 40, "rare": 1}, {"good": 500, "fine": 400, "odd": 1}, discount=2.0))
+    nothing = evidence.of("")
+    for text in ("bad", "worse", "bad bad worse", "odd bad worse", "good bad worse worse"):
+        assert all(a > b + 0.5 for a, b in zip(evidence.of(text), nothing, strict=True)), text
+    assert nothing == (0.0, 0.0, 0.0, 0.0)
+    for text in ("good", "good fine good"):
+        normal, total, above, _ = evidence.of(text)
+        assert normal == total == 0 and abs(above) < 0.5
+
+
+def test_toxic_words_alone_are_found(spark):
+    plain = [(i, f"calm words number{i % 7} about weather and trains") for i in range(400)]
+    toxic = [(i, f"calm words {('bad', 'worse')[i % 2]} about weather and {('worse', 'bad')[i % 2]} trains") for i in range(400, 500)]
+    new = [(1000, "bad"), (1001, "worse bad"), (1002, "Ered. bad worse"), (1003, "weather"), (1004, None)]
+    documents = spark.createDataFrame(plain + toxic + new, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 400)) for i in range(500)], "doc_id long, toxic int")
+    scored = {r["doc_id"]: r["predicted"] for r in toxicity(documents, labels).collect()}
+    assert [scored[i] for i in range(1000, 1005)] == [1, 1, 1, 0, 0]
