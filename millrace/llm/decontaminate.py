@@ -19,7 +19,8 @@ from millrace.llm.texts import let, stored, words
 
 WINDOW = 5
 COVERAGE = 0.8
-# A window says something only if this many of its words are no placeholders.
+# A window's template says something only if this many of its words are no placeholders; any other
+# window, and an item shorter than a window, is compared word by word.
 MIN_LITERALS = 3
 # Benchmark windows are broadcast up to this many: about 100 bytes each, so at most 20 MB.
 BROADCAST_WINDOWS = 200_000
@@ -57,20 +58,43 @@ def _slot(word: Column) -> Column:
     return word.rlike(r"^[\x02-\x04]")
 
 
-def template_windows(text: Column, width: int = WINDOW) -> Column:
-    """An array of (at, hash, slots) per window; empty for NULL and for texts of fewer words."""
-    none = F.array().cast("array<struct<at:int,hash:bigint,slots:array<string>>>")
+def _exact(own: Column) -> Column:
+    """Hash of words as they are, whether marked as slots or not; never that of a template."""
+    return F.xxhash64(F.lit("exact"), F.transform(own, lambda w: F.translate(w, NAME + NUMBER + UNIT, "")))
+
+
+def template_windows(text: Column, width: int = WINDOW, short: tuple[int, ...] = ()) -> Column:
+    """An array of (at, hash, slots, rich) per window; empty for NULL and for texts of fewer words.
+
+    A window rich in slots has the hash of its own words and no slots, and so have the additional
+    windows of the widths ``short``.
+    """
+    kind = "array<struct<at:int,hash:bigint,slots:array<string>,rich:boolean>>"
 
     def of(marked: Column) -> Column:
         has_slots = marked.rlike(r"[\x02-\x04]")
 
         def windows(w: Column) -> Column:
+            def exact(i: Column, n: int = width) -> Column:
+                return F.struct(i.alias("at"), _exact(F.slice(w["own"], i, n)).alias("hash"), F.lit(None).cast("array<string>").alias("slots"), F.lit(True).alias("rich"))
+
             def window(i: Column) -> Column:
-                slots = F.when(w["any"], F.filter(F.slice(w["own"], i, width), _slot))
-                return F.struct(i.alias("at"), F.xxhash64(F.slice(w["canon"], i, width)).alias("hash"), slots.alias("slots"))
+                def template(slots: Column) -> Column:
+                    plain = F.struct(i.alias("at"), F.xxhash64(F.slice(w["canon"], i, width)).alias("hash"), slots.alias("slots"), F.lit(False).alias("rich"))
+                    return F.when(F.coalesce(F.size(slots), F.lit(0)) > width - MIN_LITERALS, exact(i)).otherwise(plain)
+
+                return let(F.when(w["any"], F.filter(F.slice(w["own"], i, width), _slot)), template)
+
+            def each(n: int, window) -> Column:
+                size = F.size(w["canon"])
+                return F.when(size < n, F.array().cast(kind)).otherwise(F.transform(F.sequence(F.lit(1), size - (n - 1)), window).cast(kind))
+
+            whole = each(width, window)
 
-            n = F.size(w["canon"])
-            return F.when(n < width, none).otherwise(F.transform(F.sequence(F.lit(1), n - (width - 1)), window))
+            def small(n: int) -> Column:
+                return each(n, lambda i: exact(i, n))  # with n as a second argument, Spark would pass the index
+
+            return F.concat(whole, *map(small, short)) if short else whole
 
         own = words(marked)
         canon = F.when(has_slots, words(_canonical(marked))).otherwise(own)
@@ -79,37 +103,55 @@ def template_windows(text: Column, width: int = WINDOW) -> Column:
     return let(_marked(F.coalesce(text, F.lit(""))), of)
 
 
-def benchmark_windows(items: DataFrame, width: int = WINDOW) -> DataFrame:
-    """Windows of the benchmark with enough literal words, and how many each item has.
+def benchmark_windows(items: DataFrame, width: int = WINDOW) -> tuple[DataFrame, tuple[int, ...]]:
+    """Windows of the benchmark, and the numbers of words of items shorter than a window.
 
-    Items without text or with fewer words than a window have none and are never found. An item
-    that is listed twice counts once.
+    A shorter item is one window. The first window of an item is there twice if a document would
+    take the item's first word for a name after another word. Items without words have none and
+    are never found. An item that is listed twice counts once.
     """
     rows = items.select("item_id", "text").dropDuplicates(["item_id", "text"])
-    exploded = rows.select("item_id", F.explode(template_windows(F.col("text"), width)).alias("w")).select(
-        "item_id", F.col("w.at").alias("item_at"), F.col("w.hash").alias("hash"), F.coalesce("w.slots", F.array().cast("array<string>")).alias("item_slots")
-    )
-    literal = exploded.filter(F.size("item_slots") <= width - MIN_LITERALS)
-    return stored(literal, "benchmark-windows")
+
+    def exploded(text: Column, skipped: int = 0) -> DataFrame:
+        found = rows.select("item_id", F.explode(template_windows(text, width)).alias("w"))
+        return found.select(
+            "item_id", (F.col("w.at") - skipped).alias("item_at"), F.col("w.hash").alias("hash"),
+            F.coalesce("w.slots", F.array().cast("array<string>")).alias("item_slots"), F.col("w.rich").alias("rich"),
+        )
+
+    inside = exploded(F.concat(F.lit("x "), F.ltrim(F.col("text"))), 1).filter("item_at = 1")
+    own = words(_marked(F.coalesce("text", F.lit(""))))
+    short = rows.select("item_id", own.alias("own")).filter((F.size("own") > 0) & (F.size("own") < width))
+    lengths = tuple(sorted(r["n"] for r in short.select(F.size("own").alias("n")).distinct().collect()))
+    short = short.select("item_id", F.lit(1).alias("item_at"), _exact(F.col("own")).alias("hash"), F.array().cast("array<string>").alias("item_slots"), F.lit(True).alias("rich"))
+    every = exploded(F.col("text")).unionByName(inside).unionByName(short).dropDuplicates(["item_id", "item_at", "hash", "item_slots"])
+    return stored(every, "benchmark-windows"), lengths
 
 
 def contaminated(documents: DataFrame, items: DataFrame, coverage: float = COVERAGE, width: int = WINDOW) -> DataFrame:
     """Pairs (doc_id, item_id) where the document holds at least ``coverage`` of the item's windows
     along alignments with consistent slots; ``coverage`` and whether the passage is ``verbatim``.
 
-    Rows that share a doc_id count as one document, also those without an id. NULL, empty and
-    short texts are clean; so is everything where the benchmark is empty.
+    Windows that are rich in slots are left out of this; an item is also found if the document holds
+    ``coverage`` of all its windows, these included, with the item's own values.
+
+    Rows that share a doc_id count as one document, also those without an id. NULL and empty texts
+    are clean; so is everything where the benchmark is empty.
     """
-    bench = benchmark_windows(items, width)
+    bench, short = benchmark_windows(items, width)
     n_windows = bench.count()
     bench = F.broadcast(bench) if n_windows <= BROADCAST_WINDOWS else bench
-    totals = bench.groupBy("item_id").agg(F.count_distinct("item_at").alias("total"))
-    windows = documents.select("doc_id", F.explode(template_windows(F.col("text"), width)).alias("w"))
+    # The first window can be there in two forms, one of them rich in slots.
+    totals = bench.groupBy("item_id", "item_at").agg(F.every("rich").alias("rich")).groupBy("item_id").agg(
+        F.count("*").alias("total_all"), F.count_if(~F.col("rich")).alias("total")
+    )
+    windows = documents.select("doc_id", F.explode(template_windows(F.col("text"), width, short)).alias("w"))
     windows = windows.select("doc_id", F.col("w.at").alias("at"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("slots"))
     slots = F.coalesce("slots", F.array().cast("array<string>"))
     hits = windows.join(bench, "hash").select(
-        "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", F.zip_with("item_slots", slots, lambda theirs, ours: F.struct(theirs.alias("theirs"), ours.alias("ours"))).alias("pairs")
-    )
+        "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), F.struct("item_at", "rich").alias("item_at"),
+        F.zip_with("item_slots", slots, lambda theirs, ours: F.struct(theirs.alias("theirs"), ours.alias("ours"))).alias("pairs"),
+    )
     # One alignment is one occurrence of the passage; it has at most as many hits as the item windows.
     aligned = hits.groupBy("doc_id", "item_id", "shift").agg(
         F.collect_set("item_at").alias("covered"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
@@ -118,16 +160,19 @@ def contaminated(documents: DataFrame, items: DataFrame, coverage: float = COVER
     consistent = aligned.filter((F.size("pairs") == F.size(theirs)) & (F.size("pairs") == F.size(ours)))
     same = F.forall("pairs", lambda p: p["theirs"] == p["ours"])
     covered = (
-        consistent.select("doc_id", "item_id", same.alias("same"), F.explode("covered").alias("item_at"))
-        .groupBy("doc_id", "item_id", "item_at")
-        .agg(F.max("same").alias("same"))
+        consistent.select("doc_id", "item_id", same.alias("same"), F.explode("covered").alias("c"))
+        .groupBy("doc_id", "item_id", F.col("c.item_at").alias("item_at"))
+        .agg(F.max("same").alias("same"), F.max(~F.col("c.rich")).alias("plain"), F.max(F.col("same") & ~F.col("c.rich")).alias("plain_same"))
         .groupBy("doc_id", "item_id")
-        .agg(F.count("*").alias("n"), F.sum(F.col("same").cast("int")).alias("n_same"))
+        .agg(F.count_if("plain").alias("n"), F.count_if("plain_same").alias("n_same"), F.count_if("same").alias("n_all"))
     )
-    found = covered.join(totals, "item_id").filter(F.col("n") >= coverage * F.col("total"))
+    as_template = (F.col("total") > 0) & (F.col("n") >= coverage * F.col("total"))
+    as_it_is = F.col("n_all") >= coverage * F.col("total_all")
+    found = covered.join(totals, "item_id").filter(as_template | as_it_is)
     return found.select(
-        "doc_id", "item_id", F.col("n").alias("n_windows"), (F.col("n") / F.col("total")).alias("coverage"),
-        (F.col("n_same") >= coverage * F.col("total")).alias("verbatim"),
+        "doc_id", "item_id", F.when(as_template, F.col("n")).otherwise(F.col("n_all")).alias("n_windows"),
+        F.when(as_template, F.try_divide("n", "total")).otherwise(F.col("n_all") / F.col("total_all")).alias("coverage"),
+        (as_it_is | (as_template & (F.col("n_same") >= coverage * F.col("total")))).alias("verbatim"),
     )
 
 

@@ -56,3 +56,21 @@ def test_awkward_rows(spark, awkward, no_documents):
     assert without_contaminated(awkward, items).count() == awkward.count() - 1
     assert contaminated(no_documents, items).count() == 0
     assert contaminated(awkward, items.limit(0)).count() == 0
+
+
+def test_items_rich_in_slots_are_found_as_they_are(spark):
+    item = "What is 12 + 34 + 56 + 78 + 90 + 11 + 23?"
+    out = found(spark, ["so What is 12 + 34 + 56 + 78 + 90 + 11 + 23? Yes", item, item.replace("56", "57").replace("90", "91"), "What is 1 + 2"], item)
+    assert set(out) == {0, 1} and out[1]["verbatim"] and out[1]["coverage"] == 1.0
+    names = "Give these: Anna Berta Carl Dora Emil Frieda Gustav"
+    assert set(found(spark, ["text. " + names + " and more", "Give these: Anna Carl Berta Emil Dora Gustav Frieda"], names)) == {0}
+
+
+def test_short_items_are_found_whole(spark):
+    assert set(found(spark, ["the tiny Red fox, 3 times", "Tiny red fox", "tiny fox red", "a red fox"], "Tiny red fox")) == {0, 1}
+    assert set(found(spark, ["one word here", "none", None], "Word")) == {0}
+
+
+def test_first_word_may_follow_another(spark):
+    for item in ("Compute the area of circles", "Compute the area of circles that touch here"):
+        assert set(found(spark, ["then " + item + " again", item, "then " + item.lower(), "nothing like that in here"], item)) == {0, 1, 2}
