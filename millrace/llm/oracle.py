@@ -66,7 +66,37 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, coalesce(comp
 FROM docs JOIN lowest USING (rid) LEFT JOIN sizes USING (rid)
 """
 
+# One round: every vector to its nearest centroid, then the floors of the means; a centroid without members stays.
+CLUSTER_ROUND = r"""
+d{n} AS MATERIALIZED (
+  SELECT rid, k, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM kept, c{n}),
+a{n} AS MATERIALIZED (
+  SELECT rid, k, d FROM d{n} QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, k) = 1),
+m{n} AS (
+  SELECT k, i, floor(sum(x)::DOUBLE / count(*))::BIGINT AS x
+  FROM (SELECT k, unnest(v) AS x, unnest(range(1, 65)) AS i FROM a{n} JOIN kept USING (rid)) GROUP BY k, i),
+c{next} AS MATERIALIZED (
+  SELECT k, coalesce((SELECT list(x ORDER BY i) FROM m{n} WHERE m{n}.k = c{n}.k), c) AS c FROM c{n})"""
+
+CENTROID_CLUSTERS = (
+    r"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS k, v AS c
+  FROM (SELECT sha256('2:' || vec_id) AS h, v FROM kept ORDER BY h NULLS LAST, v LIMIT 40)),"""
+    + ",".join(CLUSTER_ROUND.replace("{n}", str(n)).replace("{next}", str(n + 1)) for n in range(6))
+    + r"""
+SELECT vec_id, a5.k::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a5.k))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c5.c, ',')) AS centroid_sha256
+FROM a5 JOIN kept USING (rid) JOIN c5 ON c5.k = a5.k
+"""
+)
+
 LLM_ORACLE: dict[str, str] = {
     "op1_host_quality_rules": HOST_QUALITY_RULES,
     "op6_near_duplicates": NEAR_DUPLICATES,
+    "op11_centroid_clusters": CENTROID_CLUSTERS,
 }
