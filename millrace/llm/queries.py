@@ -8,6 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.centroids import clustered, with_digests
 from millrace.llm.context_mixing import mixed_scores
 from millrace.llm.decontaminate import contaminated
 from millrace.llm.licences import licence_scan
@@ -17,6 +18,8 @@ from millrace.llm.personal_data import personal_data, span_digests
 from millrace.llm.quality_classifier import judged
 from millrace.llm.quality_rules import judge_documents
 from millrace.llm.texts import table
+from millrace.llm.token_alignment import token_alignment
+from millrace.llm.token_ids import written_and_read
 from millrace.llm.toxicity import toxicity
 from millrace.llm.warc import archive_and_read
 
@@ -62,6 +65,19 @@ def op10_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_digests(clustered(table(spark, sf_dir, "embeddings")))
+
+
+def op12_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model")
+    return token_alignment(table(spark, sf_dir, "documents"), *map(public_tokenizers.path, files))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_quality_rules": op1_host_quality_rules,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -73,5 +89,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_warc_archive": op9_warc_archive,
     "op10_context_mixing": op10_context_mixing,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_token_id_files": op12_token_id_files,
+    "op13_token_alignment": op13_token_alignment,
     "pipeline": corpus_pipeline.run,
 }
