@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.session import scratch, shared_dir, stored
 
-__all__ = ["WORD", "WordHashes", "let", "running", "scratch", "shared_dir", "stored", "table", "word_hashes", "words"]
+__all__ = ["WORD", "WordHashes", "byte_alphabet", "let", "running", "scratch", "shared_dir", "stored", "table", "word_hashes", "words"]
 
 # A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,6 +26,16 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
+def byte_alphabet() -> list[str]:
+    """The characters that byte-level vocabularies write for the 256 bytes.
+
+    Printable Latin-1 stands for itself, the other bytes follow from character 256 on.
+    """
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return [chr(b if b in plain else next(others)) for b in range(256)]
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, also where ``body`` uses it inside lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

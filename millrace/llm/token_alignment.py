@@ -12,7 +12,7 @@ import hashlib
 import json
 import re
 import secrets
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.texts import stored
+from millrace.llm.texts import byte_alphabet, stored
 
 # Chunks a worker remembers, none longer than this, with so many links in all.
 CACHE_CHUNKS, CACHED_LENGTH, CACHE_LINKS = 400_000, 64, 8_000_000
+# Work is cut to these sizes.
+CHUNKS_AT_ONCE, CHARACTERS_AT_ONCE = 2_048, 500_000
 # The most frequent pairs, whose counts are broadcast (16 bytes each); the counts of others are joined.
 FREQUENT_PAIRS = 1 << 18
 # Pairs are one number: id of A, then id of B.
@@ -33,13 +35,6 @@ SHIFT = np.int64(32)
 COUNT_COLUMNS = ("n_a", "n_b", "n_groups", "n_links")
 
 
-def _byte_of_character() -> dict[str, int]:
-    """The byte-level alphabet: printable Latin-1 stands for itself, the other bytes follow from 256 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class Vocabularies:
     """The bytes of both vocabularies' ids and the identity map; -1 where no id of B has the same bytes."""
 
@@ -48,7 +43,7 @@ class Vocabularies:
 
         with open(bpe_file, encoding="utf-8") as file:
             tokenizer = json.load(file)
-        of = _byte_of_character()
+        of = {character: byte for byte, character in enumerate(byte_alphabet())}
         entries = {i: bytes(of[c] for c in token) for token, i in tokenizer["model"]["vocab"].items()}
         self.a_bytes = [entries.get(i, b"") for i in range(max(entries) + 1)]
         pieces = sentencepiece.SentencePieceProcessor(model_file=piece_file)
@@ -61,31 +56,15 @@ class Vocabularies:
         self.same = np.asarray([by_bytes.get(data, -1) if data else -1 for data in self.a_bytes], dtype=np.int64)
 
 
-def align(a: list[int], b: list[int], a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, str]:
-    """Links (ids of A, ids of B) in order, and the groups as text, of two tokenizations of the same bytes.
-
-    Every stretch between two neighbouring ends, whichever tokenizer's, is the overlap of one pair.
-    """
-    a_ids, b_ids = np.asarray(a, dtype=np.int64), np.asarray(b, dtype=np.int64)
-    a_ends, b_ends = np.cumsum(a_sizes[a_ids]), np.cumsum(b_sizes[b_ids])
-    ends = np.union1d(a_ends, b_ends)
-    of_a, of_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
-    groups, i, j = [], 0, 0
-    for end in np.intersect1d(a_ends, b_ends):
-        i_next, j_next = int(np.searchsorted(a_ends, end)) + 1, int(np.searchsorted(b_ends, end)) + 1
-        groups.append(f"{','.join(map(str, a[i:i_next]))}|{','.join(map(str, b[j:j_next]))}")
-        i, j = i_next, j_next
-    return a_ids[of_a], b_ids[of_b], ";".join(groups)
-
-
 class Chunks(dict):
     """Numbers of chunks whose alignment is known; tables by number hold it.
 
-    A chunk that begins with a space continues a text. ``invalid`` is the number of every chunk whose
-    tokens do not spell its bytes.
+    A chunk stands for a space and itself: the space before it, or the one that both tokenizers see
+    at a text's start. ``INVALID`` is the number of every chunk whose tokens do not spell its bytes.
     """
 
-    SPLIT = re.compile(r"(?<=\S)(?= \S)")
+    CUT = re.compile(r"(?<=\S) (?=\S)")
+    INVALID = 0
 
     def __init__(self, bpe_file: str, ranks_file: str, piece_file: str):
         import base64
@@ -105,51 +84,114 @@ class Chunks(dict):
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_file)
         self.a_sizes = np.asarray([len(x) for x in self.vocabularies.a_bytes])
         self.b_sizes = np.asarray([len(x) for x in self.vocabularies.b_bytes])
+        # An id as text, and what may follow it: the next id of its side, the other side, the next group.
+        self.a_text, self.b_text = ([[f"{i}{mark}" for i in range(n)] for mark in ends] for n, ends in ((len(self.a_sizes), ",|"), (len(self.b_sizes), ",;")))
         self.forget()
 
     def forget(self) -> None:
         self.clear()
-        self.n_a, self.n_b = [0], [0]
-        self.groups: list[str] = [""]
-        self.links: list[np.ndarray] = [np.zeros(0, dtype=np.int64)]
-        self.held = 0
-
-    invalid = 0
+        self.n_a, self.n_b, self.groups, self.starts = [0], [0], [""], [0, 0]
+        self.links = np.zeros(1 << 16, dtype=np.int64)
 
     def make_room(self) -> None:
-        """Between documents: numbers stay valid within one."""
-        if len(self.groups) >= CACHE_CHUNKS or self.held >= CACHE_LINKS:
+        """Numbers stay valid until this is called."""
+        if len(self.groups) >= CACHE_CHUNKS or self.starts[-1] >= CACHE_LINKS:
             self.forget()
 
-    def __missing__(self, chunk: str) -> int:
-        """Align a chunk; ``chunk`` has the space before its first word, also at a text's start."""
-        a, b = self.a.encode_ordinary(chunk), self.b.encode(chunk[1:])
-        data = chunk.encode("utf-8", "surrogatepass")
-        spelled = [b"".join(map(table.__getitem__, ids)) for table, ids in ((self.vocabularies.a_bytes, a), (self.vocabularies.b_bytes, b))]
-        number = self.invalid
-        if spelled == [data, data]:
-            a_ids, b_ids, groups = align(a, b, self.a_sizes, self.b_sizes)
-            number = len(self.groups)
-            self.n_a.append(len(a))
-            self.n_b.append(len(b))
-            self.groups.append(groups)
-            self.links.append((a_ids << SHIFT) | b_ids)
-            self.held += len(a_ids)
-        if len(chunk) <= CACHED_LENGTH:
-            self[chunk] = number
-        return number
-
-    def document(self, text: str | None) -> tuple[tuple[int, int, int, int], str, np.ndarray]:
-        """Counts, digest of the groups, and links of a text; zeros, '' and none where it has no tokens."""
+    def cut(self, text: str) -> list[str]:
+        chunks = text.split(" ")
+        return chunks if chunks == text.split() else self.CUT.split(text)
+
+    def learn(self, chunks: list[str]) -> None:
+        """Align new chunks together, but those alone that begin or end with white space."""
+        whole, others = [], []
+        for chunk in chunks:
+            (others if chunk[0].isspace() or chunk[-1].isspace() else whole).append(chunk)
+        for start in range(0, len(whole), CHUNKS_AT_ONCE):
+            self._align(whole[start : start + CHUNKS_AT_ONCE])
+        for chunk in others:
+            self._align([chunk])
+
+    def _align(self, chunks: list[str]) -> None:
+        """Add chunks that stand one after the other in a text, where both tokenizers cut between them.
+
+        Every stretch between two neighbouring ends, whichever tokenizer's, is the overlap of one pair.
+        """
+        text = " ".join(chunks)
+        data = b" " + text.encode("utf-8", "surrogatepass")
+        a, b = self.a.encode_ordinary(" " + text), self.b.encode(text)
+        if any(b"".join(map(table.__getitem__, ids)) != data for table, ids in ((self.vocabularies.a_bytes, a), (self.vocabularies.b_bytes, b))):
+            if len(chunks) == 1:
+                self[chunks[0]] = self.INVALID
+            for half in (chunks[: len(chunks) // 2], chunks[len(chunks) // 2 :]):
+                if len(chunks) > 1:
+                    self._align(half)
+            return
+        a_ids, b_ids = np.asarray(a, dtype=np.int64), np.asarray(b, dtype=np.int64)
+        a_ends, b_ends = np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids])
+        ends, common = np.union1d(a_ends, b_ends), np.intersect1d(a_ends, b_ends, assume_unique=True)
+        links = (a_ids[np.searchsorted(a_ends, ends)] << SHIFT) | b_ids[np.searchsorted(b_ends, ends)]
+
+        # Ids as text in the order of the groups: ids of A after those of B in earlier groups, ids of B after those of A in theirs.
+        a_group, b_group = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
+        words = np.empty(len(a) + len(b), dtype=object)
+        words[np.arange(len(a)) + np.searchsorted(b_group, a_group)] = [self.a_text[e][i] for e, i in zip(np.isin(a_ends, common, assume_unique=True).tolist(), a, strict=True)]
+        words[np.arange(len(b)) + np.searchsorted(a_group, b_group, side="right")] = [self.b_text[e][i] for e, i in zip(np.isin(b_ends, common, assume_unique=True).tolist(), b, strict=True)]
+
+        edges = np.cumsum([len(c.encode("utf-8", "surrogatepass")) + 1 for c in chunks])
+        a_edges, b_edges, link_edges = (np.searchsorted(e, edges) + 1 for e in (a_ends, b_ends, ends))
+        word_edges = [0, *(a_edges + b_edges).tolist()]
+        listed = words.tolist()
+        first, held = len(self.groups), self.starts[-1]
+        self.groups += ["".join(listed[x:y])[:-1] for x, y in zip(word_edges, word_edges[1:], strict=False)]
+        self.n_a += np.diff(a_edges, prepend=0).tolist()
+        self.n_b += np.diff(b_edges, prepend=0).tolist()
+        self.starts += (held + link_edges).tolist()
+        while held + len(links) > len(self.links):
+            self.links = np.concatenate([self.links, np.zeros_like(self.links)])
+        self.links[held : held + len(links)] = links
+        self.update(zip(chunks, range(first, first + len(chunks)), strict=True))
+
+    def documents(self, texts: list[str | None]) -> list[tuple[tuple[int, int, int, int], str, np.ndarray]]:
+        """Per text its counts, digest of the groups, and links; zeros, '' and none where it has no tokens."""
+        split = [self.cut(text) if text else [] for text in texts]
+        found = [list(map(self.get, chunks)) for chunks in split]
+        new = list(dict.fromkeys(c for chunks, numbers in zip(split, found, strict=True) if None in numbers for c, n in zip(chunks, numbers, strict=True) if n is None))
+        self.learn(new)
+        starts = np.asarray(self.starts)
+        out = []
+        for chunks, numbers in zip(split, found, strict=True):
+            if None in numbers:
+                numbers = list(map(self.__getitem__, chunks))
+            if not numbers or self.INVALID in numbers:
+                out.append(((0, 0, 0, 0), "", self.links[:0]))
+                continue
+            n_a, n_b = (sum(map(n.__getitem__, numbers)) for n in (self.n_a, self.n_b))
+            digest = hashlib.sha256(";".join(map(self.groups.__getitem__, numbers)).encode()).hexdigest()
+            at = np.asarray(numbers)
+            sizes = starts[at + 1] - starts[at]
+            links = self.links[np.repeat(starts[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+            # A group has one link more than it has inner ends.
+            out.append(((n_a, n_b, n_a + n_b - len(links), len(links)), digest, links))
+        for chunk in new:
+            if len(chunk) > CACHED_LENGTH:
+                del self[chunk]
         self.make_room()
-        numbers = list(map(self.__getitem__, self.SPLIT.split(" " + text))) if text else [self.invalid]
-        if self.invalid in numbers:
-            return (0, 0, 0, 0), "", self.links[self.invalid]
-        links = np.concatenate(list(map(self.links.__getitem__, numbers)))
-        n_a, n_b = (sum(map(n.__getitem__, numbers)) for n in (self.n_a, self.n_b))
-        groups = ";".join(map(self.groups.__getitem__, numbers))
-        # A group has one link more than it has inner ends.
-        return (n_a, n_b, n_a + n_b - len(links), len(links)), hashlib.sha256(groups.encode()).hexdigest(), links
+        return out
+
+
+def _groups_of_texts(column: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of a column, some at a time."""
+    held, size = [], 0
+    for value in column:
+        text = value.as_py()
+        held.append(text)
+        size += len(text or "")
+        if size >= CHARACTERS_AT_ONCE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 ALIGNED_SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, same array<int>, same_times array<int>, pairs array<long>, times array<int>"
@@ -166,8 +208,7 @@ def aligned(documents: DataFrame, bpe_file: str, ranks_file: str, piece_file: st
         same = chunks.vocabularies.same
         for batch in batches:
             columns: list[list] = [[] for _ in range(9)]
-            for text in batch.column(1):
-                counts, digest, links = chunks.document(text.as_py())
+            for counts, digest, links in (row for texts in _groups_of_texts(batch.column(1)) for row in chunks.documents(texts)):
                 keys, times = np.unique(links, return_counts=True)
                 a = keys >> SHIFT
                 identical = same[a] == (keys & ((1 << SHIFT) - 1))

@@ -13,6 +13,7 @@ they live wherever Spark can write.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import scratch, stored
+from millrace.llm.texts import byte_alphabet, scratch, stored
 
 END_ID = 1
 # A file ends with the document that reaches one of these; a document is never cut.
@@ -31,6 +32,8 @@ FILE_IDS, FILE_DOCUMENTS = 1 << 23, 1 << 20
 CACHE_WORDS = 400_000
 # Longer words are encoded each time.
 CACHED_LENGTH = 64
+# Letters below this have no form but their own and one lower-case letter.
+LATIN_END = "\u0250"
 
 MAGIC = b"EFTOKENS"
 # Width of an id; task that wrote the file and ids the task wrote before it; documents, those of them
@@ -111,27 +114,56 @@ class WordIds(dict):
     """Ids of words (bytes), little-endian, at the width of the vocabulary.
 
     The vocabulary's tokenizer drops white space and never joins what it parts, so a text's ids are
-    those of its words.
+    those of its words. Words of a text that are not yet known are encoded together.
     """
 
     def __init__(self, tokenizer_file: str, bound: int = CACHE_WORDS):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a worker for each core
         from tokenizers import Tokenizer
 
         super().__init__()
         self.bound = bound
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.alphabet = byte_alphabet()
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = np.asarray(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype=f"<u{self.width}").tobytes()
-        if len(word) <= CACHED_LENGTH:
-            if len(self) >= self.bound:
-                self.clear()
-            self[word] = ids
-        return ids
+    def encoded(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Words with their ids. Latin letters alone are one entry of the model; others take all of its steps."""
+        others = []
+        for word in words:
+            letters = "".join(map(str.lower, word.decode("utf-8", "replace")))
+            if letters.isalpha() and (letters.isascii() or max(letters) < LATIN_END):
+                spelled = letters if letters.isascii() else "".join(map(self.alphabet.__getitem__, letters.encode()))
+                yield word, np.asarray([token.id for token in self.tokenizer.model.tokenize(spelled)], dtype=f"<u{self.width}").tobytes()
+            else:
+                others.append(word)
+        for start in range(0, len(others), 4096):
+            part = others[start : start + 4096]
+            found = self.tokenizer.encode([w.decode("utf-8", "replace") for w in part], is_pretokenized=True, add_special_tokens=False)
+            ids = np.asarray(found.ids, dtype=f"<u{self.width}").tobytes()
+            edges = np.searchsorted(np.asarray(found.word_ids, dtype=np.int64), np.arange(len(part) + 1)) * self.width
+            yield from zip(part, map(ids.__getitem__, map(slice, edges[:-1].tolist(), edges[1:].tolist())), strict=True)
+
+    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of new words. Marks after a letter or digit are entries of their own: no token spans that place."""
+        ends = {word: word.rstrip(b".,;:!?") for word in words}
+        ends = {word: core for word, core in ends.items() if core and core != word and core[-1:].isalnum()}
+        parts = dict.fromkeys(part for word in words for part in ((ends[word], word[len(ends[word]) :]) if word in ends else (word,)))
+        new = dict(self.encoded([part for part in parts if part not in self]))
+        known = {part: new.get(part) or self.get(part, b"") for part in parts}
+        return known | {word: known[core] + known[word[len(core) :]] for word, core in ends.items()}
 
     def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        # What may hold a special token, which is told by its case, is left as it is.
+        words = (text if b"<|" in text else text.lower()).split()
+        ids = list(map(self.get, words))
+        if None in ids:
+            new = self.learn(list(dict.fromkeys(w for w, i in zip(words, ids, strict=True) if i is None)))
+            ids = [new[w] if i is None else i for w, i in zip(words, ids, strict=True)]
+            if len(self) + len(new) > self.bound:
+                self.clear()
+            self.update((w, i) for w, i in new.items() if len(w) <= CACHED_LENGTH)
+        return b"".join(ids)
 
 
 def file_bytes(task: int, before: int, doc_ids: list[int | None], ids: list[bytes], width: int) -> bytes:

@@ -124,9 +124,10 @@ def test_a_forgetful_cache_changes_nothing(monkeypatch, plain):
     monkeypatch.setattr(token_alignment, "CACHE_CHUNKS", 3)
     monkeypatch.setattr(token_alignment, "CACHED_LENGTH", 4)
     chunks = token_alignment.Chunks(*FILES)
+    assert [r[1] for r in chunks.documents(TEXTS)] == [(plain.links(t) or [""])[-1] for t in TEXTS]
     for text in TEXTS * 2:
         wanted = plain.links(text)
-        counts, digest, links = chunks.document(text)
+        counts, digest, links = chunks.documents([text])[0]
         if wanted is None:
             assert (counts, digest, len(links)) == ((0, 0, 0, 0), "", 0)
         else:
