@@ -23,6 +23,30 @@ class InvalidMessage(Exception):
     """Raised by a handler for a message that no retry can fix."""
 
 
+class Rule(NamedTuple):
+    """A handler's rule as columns of the decoded body (variant) and the attempt.
+
+    Where ``broken`` holds the attempt ends with ``status`` (poison or transient) and the error. An
+    attempt is ok where no rule of the table is broken; the first broken one decides.
+    """
+
+    broken: Callable[[Column, Column], Column]
+    status: str
+    error: Callable[[Column, Column], Column]
+
+
+Rules = tuple[Rule, ...]
+
+
+def field(body: Column, name: str, data_type: str = "variant") -> Column:
+    """A field of a decoded body as ``data_type``; NULL where it is absent or cannot be that."""
+    return F.try_variant_get(body, f"$.{name}", data_type)
+
+
+def is_text(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
+
+
 # How the errors of a body begin.
 INVALID_JSON = "invalid JSON: "
 NOT_AN_OBJECT = "expected a JSON object, got "
@@ -68,18 +92,28 @@ def try_handler(handler: Handler, text, attempt: int) -> tuple[str, str | None]:
 
 
 def decode_kind(body: Column) -> Column:
-    """Struct (kind, error) of a body: ``object``, ``other`` or ``invalid``, judged strictly.
+    """Struct (kind, error, text) of a body: ``object``, ``other`` or ``invalid``, judged strictly.
 
-    Plain objects are recognised by a pattern; only the text of other bodies goes to Python.
+    Plain objects are recognised by a pattern; only the text of other bodies goes to Python. Of
+    these, objects come back as JSON that every parser reads: a repeated key has its last value,
+    and constants outside JSON (NaN) are text.
     """
 
-    @F.pandas_udf("struct<kind string, error string>")
+    def judged(text: str | None) -> tuple[str, str | None, str | None]:
+        kind, value, error = read_body(text)
+        if kind == "object":
+            text = json.dumps(json.loads(text, parse_constant=str), ensure_ascii=False)
+        return kind, error, text if kind == "object" else None
+
+    @F.pandas_udf("struct<kind string, error string, text string>")
     def judge(texts: pd.Series, plain: pd.Series) -> pd.DataFrame:
-        found = [("object", None) if known else read_body(text)[::2] for text, known in zip(texts, plain)]
-        return pd.DataFrame(found, columns=["kind", "error"])
+        found = [("object", None, None) if known else judged(text) for text, known in zip(texts, plain)]
+        return pd.DataFrame(found, columns=["kind", "error", "text"])
 
-    plain = F.coalesce(body.rlike(PLAIN_OBJECT), F.lit(False))
-    return judge(F.when(~plain, body), plain)
+    # The pattern lets repeated keys pass, which Spark's parser refuses.
+    plain = F.coalesce(body.rlike(PLAIN_OBJECT) & F.try_parse_json(body).isNotNull(), F.lit(False))
+    # Declared so, the judgement is made once, however often later steps refer to it.
+    return judge.asNondeterministic()(F.when(~plain, body), plain)
 
 
 def with_attempt(messages: DataFrame) -> DataFrame:
@@ -123,6 +157,43 @@ def _attempts(handler: Handler, max_retries: int, single: bool):
     return once(F.col("body"), F.col("attempt"), F.col("header_error"))
 
 
+def _step(attempt: Column, status: Column, error: Column) -> Column:
+    return F.struct(attempt.alias("attempt"), status.alias("status"), error.alias("error"))
+
+
+def _rule_attempts(rules: Rules, max_retries: int, single: bool) -> Column:
+    """The attempts of a message by a table of rules, all in Spark, from the columns of ``_tried``."""
+    body, start = F.col("parsed_body"), F.col("attempt")
+
+    def step(attempt: Column) -> Column:
+        status, error = F.lit("ok"), F.lit(None).cast("string")
+        for rule in reversed(rules):
+            broken = F.coalesce(rule.broken(body, attempt), F.lit(False))
+            status = F.when(broken, F.lit(rule.status)).otherwise(status)
+            error = F.when(broken, rule.error(body, attempt)).otherwise(error)
+        return _step(attempt, status, error)
+
+    numbers = F.array(start) if single else F.sequence(start, F.greatest(start, F.lit(max_retries).cast("long")))
+    steps = F.transform(numbers, step)
+    ended = F.array_position(F.transform(steps, lambda s: s["status"] != "transient"), True).cast("int")
+    tries = F.when(ended > 0, F.slice(steps, F.lit(1), ended)).otherwise(steps)
+    error = F.coalesce("header_error", "decoded_body.error")
+    return F.when(error.isNotNull(), F.array(_step(start, F.lit("poison"), error))).otherwise(tries)
+
+
+def _tried(messages: DataFrame, handler: Handler | Rules, max_retries: int, single: bool) -> DataFrame:
+    """Messages with ``tried``, the attempts of each: by a function in Python, or by a table of rules in Spark."""
+    started = with_attempt(messages)
+    if callable(handler):
+        return started.withColumn("tried", _attempts(handler, max_retries, single)).drop("attempt", "header_error")
+    decoded = started.withColumn("decoded_body", decode_kind(F.col("body")))
+    # A body is parsed behind a generator: once, and not again for each rule and attempt.
+    text = F.coalesce("decoded_body.text", "body")
+    parsed = decoded.select("*", F.explode(F.array(F.try_parse_json(text))).alias("parsed_body"))
+    tried = parsed.withColumn("tried", _rule_attempts(handler, max_retries, single))
+    return tried.drop("attempt", "header_error", "decoded_body", "parsed_body")
+
+
 def route_target(status: Column, attempt: Column, max_retries: int = MAX_RETRIES) -> Column:
     """Where a message goes after an attempt: ``done``, ``retry`` or ``dead``."""
     return (
@@ -132,12 +203,12 @@ def route_target(status: Column, attempt: Column, max_retries: int = MAX_RETRIES
     )
 
 
-def deliver_once(messages: DataFrame, handler: Handler, max_retries: int = MAX_RETRIES) -> DataFrame:
+def deliver_once(messages: DataFrame, handler: Handler | Rules, max_retries: int = MAX_RETRIES) -> DataFrame:
     """One delivery of each message: its target, next retry count and last error.
 
     Row by row without a shuffle, so batch and stream input work alike.
     """
-    tried = with_attempt(messages).withColumn("tried", F.element_at(_attempts(handler, max_retries, True), 1))
+    tried = _tried(messages, handler, max_retries, True).withColumn("tried", F.element_at("tried", 1))
     target = route_target(F.col("tried.status"), F.col("tried.attempt"), max_retries)
     return (
         tried.withColumn("target", target)
@@ -146,21 +217,21 @@ def deliver_once(messages: DataFrame, handler: Handler, max_retries: int = MAX_R
             F.when(F.col("target") == "retry", F.col("tried.attempt") + 1).otherwise(F.col("tried.attempt")),
         )
         .withColumn("last_error", F.col("tried.error"))
-        .drop("tried", "attempt", "header_error")
+        .drop("tried")
     )
 
 
 def attempt_ledger(
     messages: DataFrame,
-    handler: Handler,
+    handler: Handler | Rules,
     max_retries: int = MAX_RETRIES,
 ) -> DataFrame:
     """Every attempt of every message until it is done or dead, one row each.
 
     A message yields at most ``max_retries + 1`` rows and never leaves its task.
     """
-    tried = with_attempt(messages).withColumn("tried", _attempts(handler, max_retries, False))
-    return tried.drop("attempt", "header_error").select("*", F.explode("tried").alias("step")).select(
+    tried = _tried(messages, handler, max_retries, False)
+    return tried.select("*", F.explode("tried").alias("step")).select(
         *messages.columns,
         "step.attempt",
         "step.status",
@@ -169,9 +240,9 @@ def attempt_ledger(
     )
 
 
-def final_outcomes(messages: DataFrame, handler: Handler, max_retries: int = MAX_RETRIES) -> DataFrame:
+def final_outcomes(messages: DataFrame, handler: Handler | Rules, max_retries: int = MAX_RETRIES) -> DataFrame:
     """How each message ends: ``done`` or ``dead``, with its attempts, retry count and last error."""
-    tried = with_attempt(messages).withColumn("tried", _attempts(handler, max_retries, False))
+    tried = _tried(messages, handler, max_retries, False)
     last = F.element_at("tried", -1)
     failures = F.filter("tried", lambda step: step["error"].isNotNull())
     return tried.select(
@@ -186,7 +257,9 @@ def final_outcomes(messages: DataFrame, handler: Handler, max_retries: int = MAX
 def attempts_per_message(ledger: DataFrame, key: str = "message_id") -> DataFrame:
     """Attempts and last error of each message in a stored ledger: its last failure, if it had one."""
     failure = F.when(F.col("error").isNotNull(), F.struct("attempt", "error"))
-    return ledger.groupBy(key).agg(F.count("*").alias("attempts"), F.max(failure)["error"].alias("last_error"))
+    # A message has few attempts. Their list is built by hash, a maximum of text would be sorted for.
+    last = F.try_element_at(F.sort_array(F.collect_list(failure)), F.lit(-1))
+    return ledger.groupBy(key).agg(F.count("*").alias("attempts"), last["error"].alias("last_error"))
 
 
 def queue_depths(routed: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.functions.keys import lookup_key, product_name, product_price
 from millrace.operators import decode, fence, logs, lookup, merge, replay, revenue, routing, ttl
 from millrace.plans import inputs
-from millrace.plans.handlers import order_handler
+from millrace.plans.handlers import ORDER_RULES
 from millrace.plans.replayed import replay as replay_slices
 from millrace.plans.replayed import time_slices
 from millrace.session import scratch, stored, tune
@@ -19,6 +20,7 @@ from millrace.sources import container_logs, keyed, messages, tables
 from millrace.streaming import lookup as lookup_stream
 from millrace.streaming import orders as orders_job
 from millrace.streaming import retry as retry_stream
+from millrace.streaming import waiting
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -301,13 +303,13 @@ def strict_decode(spark, sf_dir):
 
 @query
 def delivered_once(spark, sf_dir):
-    routed = routing.deliver_once(inputs.order_messages(spark, sf_dir), order_handler)
+    routed = routing.deliver_once(inputs.order_messages(spark, sf_dir), ORDER_RULES)
     return routed.select("message_id", "target", "retry_count", "last_error")
 
 
 @query
 def message_outcomes(spark, sf_dir):
-    outcomes = routing.final_outcomes(inputs.order_messages(spark, sf_dir), order_handler)
+    outcomes = routing.final_outcomes(inputs.order_messages(spark, sf_dir), ORDER_RULES)
     return outcomes.select(
         "message_id", "target", F.col("attempts").cast("long").alias("attempts"), "retry_count", "last_error"
     )
@@ -315,29 +317,29 @@ def message_outcomes(spark, sf_dir):
 
 @query
 def attempt_ledger(spark, sf_dir):
-    ledger = routing.attempt_ledger(inputs.order_messages(spark, sf_dir), order_handler)
+    ledger = routing.attempt_ledger(inputs.order_messages(spark, sf_dir), ORDER_RULES)
     return ledger.select("message_id", "attempt", "status", "error", "target")
 
 
 @query
 def attempts_per_message(spark, sf_dir):
-    return routing.attempts_per_message(routing.attempt_ledger(inputs.order_messages(spark, sf_dir), order_handler))
+    return routing.attempts_per_message(routing.attempt_ledger(inputs.order_messages(spark, sf_dir), ORDER_RULES))
 
 
 @query
 def queue_depths(spark, sf_dir):
-    return routing.queue_depths(routing.deliver_once(inputs.order_messages(spark, sf_dir), order_handler))
+    return routing.queue_depths(routing.deliver_once(inputs.order_messages(spark, sf_dir), ORDER_RULES))
 
 
 @query
 def message_conservation(spark, sf_dir):
-    return routing.conservation(routing.deliver_once(inputs.order_messages(spark, sf_dir), order_handler))
+    return routing.conservation(routing.deliver_once(inputs.order_messages(spark, sf_dir), ORDER_RULES))
 
 
 @query
 def stored_outcomes(spark, sf_dir):
     path = scratch(spark, "outcomes")
-    write = retry_stream.outcome_writer(path, order_handler)
+    write = retry_stream.outcome_writer(path, ORDER_RULES)
     received = inputs.order_messages(spark, sf_dir)
     write(received, 0)
     write(received, 0)
@@ -346,7 +348,7 @@ def stored_outcomes(spark, sf_dir):
 
 def _failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failed attempts that go to the retry queue, with the time of the first delivery."""
-    ledger = routing.attempt_ledger(inputs.order_messages(spark, sf_dir), order_handler)
+    ledger = routing.attempt_ledger(inputs.order_messages(spark, sf_dir), ORDER_RULES)
     return ledger.filter("target = 'retry'")
 
 
@@ -579,7 +581,7 @@ def stream_job(spark, sf_dir):
 def stream_retry(spark, sf_dir):
     """Messages whose first delivery failed, handed back by the delay state."""
     base = scratch(spark, "stream-retry")
-    failed = routing.deliver_once(inputs.order_messages(spark, sf_dir), order_handler).filter("target = 'retry'")
+    failed = routing.deliver_once(inputs.order_messages(spark, sf_dir), ORDER_RULES).filter("target = 'retry'")
     rows = failed.select(
         "message_id", "body", "retry_count", "last_error", F.col("delivered_at").cast("timestamp").alias("failed_at")
     )
@@ -601,6 +603,24 @@ def stream_retry(spark, sf_dir):
     return _zoneless(due.drop("batch_id"), "due_at")
 
 
+@query
+def stream_retry_loop(spark, sf_dir):
+    """How each message ends when failed ones wait in a table and return, over several micro-batches."""
+    base = scratch(spark, "retry-loop")
+    arrivals = inputs.order_messages(spark, sf_dir).withColumn("delivered_at", F.col("delivered_at").cast("timestamp"))
+    arrivals = stored(arrivals, "arrivals")
+    room = waiting.WaitingRoom(spark, f"{base}/tables", precision_ms=6 * 3_600_000)
+
+    def start():
+        stream = messages.file_stream(spark, f"{base}/in", schema=waiting.ARRIVAL_SCHEMA)
+        return waiting.start_loop(stream, room, f"{base}/checkpoint", ORDER_RULES, once=True)
+
+    # After the messages, rows without one move the clock: each lets every waiting message try once more.
+    ticks = [spark.createDataFrame([(None, None, None, inputs.STREAM_END + timedelta(days=n))], waiting.ARRIVAL_SCHEMA) for n in range(routing.MAX_RETRIES)]
+    replay_slices([*time_slices(arrivals, "delivered_at"), *ticks], f"{base}/in", start)
+    return room.ended().select("message_id", "target", F.col("deliveries").alias("attempts"), "retry_count", "last_error")
+
+
 @query
 def stream_ttl_status(spark, sf_dir):
     base = scratch(spark, "stream-ttl")

@@ -1,30 +1,38 @@
-"""The handler of the sample messages: the rules an order message has to pass, one by one."""
+"""The rules of the sample order messages, as a table that Spark evaluates."""
 
 from __future__ import annotations
 
-from millrace.operators.routing import InvalidMessage
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
-# The texts of the two failures.
-NO_ORDER_ID = "order_id is required"
-PLANNED_FAILURE = "simulated transient failure {number}/{planned}"
-
-
-def needs_order_id(message: dict, attempt: int) -> None:
-    """Without a text as its id an order is poison."""
-    if type(message.get("order_id")) is not str or message["order_id"] == "":
-        raise InvalidMessage(NO_ORDER_ID)
-
-
-def fails_as_planned(message: dict, attempt: int) -> None:
-    """A message can ask for its first attempts to fail; a wish that is no number fails every time."""
-    planned = int(message.get("simulate_failures", 0))
-    if attempt in range(planned):
-        raise RuntimeError(PLANNED_FAILURE.format(number=attempt + 1, planned=planned))
+from millrace.operators.routing import Rule, field, is_text
 
-
-ORDER_RULES = (needs_order_id, fails_as_planned)
-
-
-def order_handler(message: dict, attempt: int) -> None:
-    for rule in ORDER_RULES:
-        rule(message, attempt)
+# Fields of a sample message, and the texts of its failures.
+ORDER_ID = "order_id"
+WISHED_FAILURES = "simulate_failures"
+NO_ORDER_ID = "order_id is required"
+NO_NUMBER = "invalid literal for int() with base 10: '%s'"
+PLANNED_FAILURE = "simulated transient failure %d/%d"
+
+
+def _wished(body: Column) -> Column:
+    return field(body, WISHED_FAILURES, "bigint")
+
+
+ORDER_RULES = (
+    Rule(
+        lambda body, attempt: ~is_text(field(body, ORDER_ID)) | (field(body, ORDER_ID, "string") == ""),
+        "poison",
+        lambda body, attempt: F.lit(NO_ORDER_ID),
+    ),
+    Rule(
+        lambda body, attempt: field(body, WISHED_FAILURES).isNotNull() & _wished(body).isNull(),
+        "transient",
+        lambda body, attempt: F.format_string(NO_NUMBER, field(body, WISHED_FAILURES, "string")),
+    ),
+    Rule(
+        lambda body, attempt: attempt < _wished(body),
+        "transient",
+        lambda body, attempt: F.format_string(PLANNED_FAILURE, attempt + 1, _wished(body)),
+    ),
+)

@@ -137,6 +137,13 @@ ledger AS (
   WHERE a = 0 OR (poison IS NULL AND a <= failures)
 )"""
 
+OUTCOMES = f"""
+WITH {MESSAGES}
+SELECT message_id, arg_max(target, attempt) AS target, count(*) AS attempts, max(attempt) AS retry_count,
+       arg_max(error, attempt) FILTER (error IS NOT NULL) AS last_error
+FROM ledger GROUP BY message_id
+"""
+
 REQUESTS = """
 requests AS (
   SELECT user_id AS key, ts, event_id AS seq, event_type <> 'error' AS is_read FROM events
@@ -281,10 +288,8 @@ ORACLE: dict[str, str] = {
         SELECT message_id, target, CASE WHEN target = 'retry' THEN attempt + 1 ELSE attempt END AS retry_count,
                error AS last_error
         FROM ledger WHERE attempt = 0""",
-    "message_outcomes": f"""WITH {MESSAGES}
-        SELECT message_id, arg_max(target, attempt) AS target, count(*) AS attempts, max(attempt) AS retry_count,
-               arg_max(error, attempt) FILTER (error IS NOT NULL) AS last_error
-        FROM ledger GROUP BY message_id""",
+    "message_outcomes": OUTCOMES,
+    "stream_retry_loop": OUTCOMES,
     "attempt_ledger": f"WITH {MESSAGES} SELECT message_id, attempt, status, error, target FROM ledger",
     "attempts_per_message": f"""WITH {MESSAGES}
         SELECT message_id, count(*) AS attempts, arg_max(error, attempt) FILTER (error IS NOT NULL) AS last_error

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import routing
-from millrace.plans.handlers import order_handler
+from millrace.plans.handlers import ORDER_RULES
 from millrace.streaming.retry import outcome_writer
 
 MESSAGES = "message_id bigint, body string, headers map<string,string>"
@@ -23,7 +23,48 @@ def order(failures=0, order_id="o1"):
 
 
 def outcome(spark, body, headers=None, **options):
-    return routing.final_outcomes(queue(spark, (body, headers or {})), **{"handler": order_handler, **options}).first()
+    return routing.final_outcomes(queue(spark, (body, headers or {})), **{"handler": ORDER_RULES, **options}).first()
+
+
+@pytest.fixture
+def shelf_handler():
+    """A handler in Python: shelves 1 to 9, of which the ninth opens at the third attempt."""
+    invalid = routing.InvalidMessage
+
+    def open_shelf(message, attempt):
+        if not 1 <= message["shelf"] <= 9:
+            raise invalid(f"no shelf {message['shelf']}")
+        if message["shelf"] == 9 and attempt < 2:
+            raise TimeoutError("shelf 9 is stuck")
+
+    return open_shelf
+
+
+@pytest.mark.parametrize(
+    "body, wanted",
+    [
+        ('{"shelf": 4}', ("done", 1, 0, None)),
+        ('{"shelf": 9}', ("done", 3, 2, "shelf 9 is stuck")),
+        ('{"shelf": 12}', ("dead", 1, 0, "no shelf 12")),
+        ("{}", ("dead", 4, 3, "'shelf'")),
+        ("[]", ("dead", 1, 0, "expected a JSON object, got list")),
+    ],
+)
+def test_a_python_function_can_be_the_handler(spark, shelf_handler, body, wanted):
+    row = outcome(spark, body, handler=shelf_handler)
+    assert (row["target"], row["attempts"], row["retry_count"], row["last_error"]) == wanted
+
+
+@pytest.mark.parametrize("wish, attempts", [("2", 3), ('"2"', 3), ("1.9", 2), ("true", 2), ("null", 4), ("[]", 4), ("-1", 1), ('"1.5"', 4), ("NaN", 4)])
+def test_wishes_are_read_as_whole_numbers(spark, wish, attempts):
+    assert outcome(spark, f'{{"order_id": "a", "simulate_failures": {wish}}}')["attempts"] == attempts
+
+
+def test_last_error_is_found_without_a_sort(spark):
+    ledger = routing.attempt_ledger(queue(spark, (order(2), {}), (order(), {})), ORDER_RULES)
+    found = routing.attempts_per_message(ledger)
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r["message_id"]: (r["attempts"], r["last_error"]) for r in found.collect()} == {0: (3, "simulated transient failure 2/2"), 1: (1, None)}
 
 
 def test_good_message_is_done(spark):
@@ -32,7 +73,7 @@ def test_good_message_is_done(spark):
 
 
 def test_message_that_recovers_is_not_dead(spark):
-    ledger = routing.attempt_ledger(queue(spark, (order(2), {})), order_handler).orderBy("attempt").collect()
+    ledger = routing.attempt_ledger(queue(spark, (order(2), {})), ORDER_RULES).orderBy("attempt").collect()
     assert [row["attempt"] for row in ledger] == [0, 1, 2]
     assert [row["target"] for row in ledger] == ["retry", "retry", "done"]
 
@@ -86,7 +127,7 @@ def test_bad_retry_header_is_dead_with_count_zero(spark, header):
 
 
 def test_bad_header_does_not_stop_the_next_message(spark):
-    rows = routing.final_outcomes(queue(spark, (order(), {routing.RETRY_HEADER: '"bad"'}), (order(), {})), order_handler)
+    rows = routing.final_outcomes(queue(spark, (order(), {routing.RETRY_HEADER: '"bad"'}), (order(), {})), ORDER_RULES)
     assert [row["target"] for row in rows.orderBy("message_id").collect()] == ["dead", "done"]
     # Negative control: trusting the header fails the whole job.
     trusting = queue(spark, (order(), {routing.RETRY_HEADER: '"bad"'})).select(F.col("headers")[routing.RETRY_HEADER].cast("int"))
@@ -102,25 +143,25 @@ def test_retry_count_in_the_header_is_where_attempts_start(spark):
 
 
 def test_one_delivery_raises_the_count(spark):
-    row = routing.deliver_once(queue(spark, (order(9), {routing.RETRY_HEADER: "1"})), order_handler).first()
+    row = routing.deliver_once(queue(spark, (order(9), {routing.RETRY_HEADER: "1"})), ORDER_RULES).first()
     assert (row["target"], row["retry_count"]) == ("retry", 2)
     assert row["last_error"] == "simulated transient failure 2/9"
 
 
 def test_empty_queues_show_zero(spark):
-    depths = routing.queue_depths(routing.deliver_once(queue(spark, (order(), {})), order_handler))
+    depths = routing.queue_depths(routing.deliver_once(queue(spark, (order(), {})), ORDER_RULES))
     assert {row["queue"]: row["depth"] for row in depths.collect()} == {"main": 0, "retry": 0, "dead": 0}
 
 
 def test_every_message_is_accounted_for(spark):
     messages = queue(spark, (order(), {}), (order(1), {}), ("x", {}), (order(9), {routing.RETRY_HEADER: "3"}))
-    row = routing.conservation(routing.deliver_once(messages, order_handler)).first()
+    row = routing.conservation(routing.deliver_once(messages, ORDER_RULES)).first()
     assert (row["received"], row["done"], row["dead"], row["waiting"]) == (4, 1, 2, 1)
 
 
 def test_repeated_batch_is_stored_once(spark, folder):
     path = folder("outcomes")
-    write = outcome_writer(path, order_handler)
+    write = outcome_writer(path, ORDER_RULES)
     messages = queue(spark, (order(), {}), ("x", {}))
     write(messages, 0)
     write(messages, 0)

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 
-from millrace.plans.handlers import order_handler
+from millrace.plans.handlers import ORDER_RULES
 from millrace.operators.ttl import CachePolicy
 from millrace.plans.replayed import replay
 from millrace.sources import keyed, messages
@@ -177,7 +177,7 @@ def test_retry_loop_ends_every_message(spark, folder):
     messages.land_files(spark.createDataFrame(rows, retry.MESSAGE_SCHEMA), f"{base}/in")
     arrivals = messages.file_stream(spark, f"{base}/in", schema=retry.MESSAGE_SCHEMA)
     queries = [
-        retry.start_router(arrivals, f"{base}/tables", f"{base}/c1", order_handler, trigger="1 second"),
+        retry.start_router(arrivals, f"{base}/tables", f"{base}/c1", ORDER_RULES, trigger="1 second"),
         retry.start_returns(spark, f"{base}/tables", f"{base}/c2", delay_ms=1000),
     ]
 
