@@ -520,6 +520,16 @@ def shipped_logs(spark, sf_dir):
     return _zoneless(collected, "ts")
 
 
+@query
+def joined_logs(spark, sf_dir):
+    """Lines cut into parts and rotated over many files, joined again."""
+    root = scratch(spark, "parts")
+    rows = inputs.split_lines(spark, sf_dir).repartition("container_id").sortWithinPartitions("event_id", "number")
+    rows.select("value").write.option("maxRecordsPerFile", 1000).text(f"{root}/node")
+    found = container_logs.scan_joined(spark, root, "*/*.txt")
+    return _zoneless(found.filter("ended").drop("ended"), "ts")
+
+
 @query
 def phrase_counts(spark, sf_dir):
     documents = inputs.spread_table(spark, sf_dir, "documents").select("text")

@@ -209,6 +209,27 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines as a runtime writes them when it cuts each into one to five parts.
+
+    ``value`` is the text of a part's row; rows go by (container_id, event_id, number).
+    """
+    event_id = F.col("event_id")
+    message = F.concat(F.col("event_type"), F.lit(" log line "), event_id.cast("string"))
+    lines = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("container_id"), "event_id", message.alias("message"), "ts", (1 + event_id % 5).alias("parts"))
+    parts = lines.withColumn("number", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    start = lambda n: F.call_function("div", F.length("message") * n, F.col("parts"))
+    piece = F.substring("message", (start(F.col("number")) + 1).cast("int"), (start(F.col("number") + 1) - start(F.col("number"))).cast("int"))
+    last = F.col("number") == F.col("parts") - 1
+    row = F.struct(
+        F.concat(piece, F.when(last, F.lit("\n")).otherwise(F.lit(""))).alias("log"),
+        F.when(event_id % 2 == 0, F.lit("stdout")).otherwise(F.lit("stderr")).alias("stream"),
+        F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("time"),
+        "container_id",
+    )
+    return parts.select("container_id", "event_id", "number", F.to_json(row).alias("value"))
+
+
 def containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """container metadata, one row per container that ever logged.
 

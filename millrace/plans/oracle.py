@@ -351,6 +351,8 @@ ORACLE: dict[str, str] = {
           FROM events) WHERE fence < highest""",
     "collected_logs": f"WITH {LOGS} SELECT container_id, message, ts FROM named WHERE enabled = 'true'",
     "shipped_logs": f"WITH {LOGS} SELECT container_id, message, CASE WHEN ts IS NOT NULL THEN 'stdout' END AS stream, ts FROM named WHERE enabled = 'true'",
+    "joined_logs": """SELECT CAST(user_id AS VARCHAR) AS container_id, CASE event_id % 2 WHEN 0 THEN 'stdout' ELSE 'stderr' END AS stream,
+               event_type || ' log line ' || event_id AS message, ts, 1 + event_id % 5 AS parts FROM events""",
     "log_metadata": f"WITH {LOGS} SELECT message, container_name, enabled FROM named",
     "project_logs": f"WITH {LOGS} SELECT message, container_name FROM named WHERE regexp_matches(container_name, '^project-.+-[0-9]+$')",
     "labelled_logs": f"WITH {LOGS} SELECT container_id, message FROM named WHERE enabled = 'false'",
