@@ -58,11 +58,55 @@ def load_once(requests: DataFrame, loader: Loader, key: str = "key") -> DataFram
     return requests.join(loader(requests.select(key).distinct()), key, "left")
 
 
-def load_counts(loads: DataFrame, key: str = "key") -> DataFrame:
-    """Loads per key, and whether all callers of a key saw one value."""
-    return loads.groupBy(key).agg(
-        F.count("*").alias("loads"),
-        F.min("value").eqNullSafe(F.max("value")).alias("one_value"),
+Load = Callable[[object, Callable[[object], object]], object]
+
+
+def counted_loads(keys: DataFrame, load: Load, read: Callable[[object], object], value_type: str, key: str = "key") -> DataFrame:
+    """A ledger of what the tasks did for each row of ``keys``: its answer and every read of the source.
+
+    ``load(key, read)`` is the loader; it is handed a ``read`` that counts its calls as they happen, so
+    ``reads`` is an array with the key of each. Store the ledger before it is used twice: it is the
+    record of one run. A load that fails has a NULL value and its error, and its reads all the same.
+    """
+    value = T._parse_datatype_string(value_type)
+    schema = T.StructType([keys.schema[key], T.StructField("value", value), T.StructField("error", T.StringType()), T.StructField("reads", T.ArrayType(keys.schema[key].dataType))])
+
+    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for one in batch[key]:
+                reads: list = []
+
+                def counted(asked: object, reads: list = reads) -> object:
+                    reads.append(asked)
+                    return read(asked)
+
+                try:
+                    rows.append((one, load(one, counted), None, reads))
+                except Exception as error:  # a loader may raise anything
+                    rows.append((one, None, str(error), reads))
+            yield pd.DataFrame(rows, columns=[key, "value", "error", "reads"])
+
+    return keys.select(key).mapInPandas(call, schema)
+
+
+def load_counts(requests: DataFrame, ledger: DataFrame, key: str = "key") -> DataFrame:
+    """Per requested key: reads of the source, and whether all its callers were answered with one value.
+
+    Reads are counted from the ledger, for the key that was read, whoever asked for it; answers are
+    what each request gets by joining the ledger back. NULL is a key like any other.
+    """
+    reads = ledger.select(F.explode("reads").alias("read_key")).groupBy("read_key").agg(F.count("*").alias("reads"))
+    answers = ledger.select(F.col(key).alias("answered_key"), "value")
+    served = requests.select(key).join(answers, F.col(key).eqNullSafe(F.col("answered_key")), "left")
+    seen = served.groupBy(key).agg(
+        F.count("*").alias("answers"),
+        F.count_distinct("value").alias("values"),
+        F.count("value").alias("known"),
+    )
+    one_value = (F.col("values") <= 1) & ((F.col("known") == 0) | (F.col("known") == F.col("answers")))
+    return seen.join(reads, F.col(key).eqNullSafe(F.col("read_key")), "left").select(
+        key, F.coalesce("reads", F.lit(0)).alias("loads"), "answers", one_value.alias("one_value")
     )
 
 

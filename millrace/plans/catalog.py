@@ -377,6 +377,19 @@ def cache_keys(spark, sf_dir):
     return events.select("event_id", lookup_key(events, "shop:", "product", ["kind", "id"]).alias("cache_key"))
 
 
+@query
+def cache_keys_nested(spark, sf_dir):
+    """Keys of structs, lists, maps, times and floats."""
+    events = inputs.table(spark, sf_dir, "events").select(
+        "event_id",
+        F.struct(F.col("event_type").alias("kind"), F.col("value").alias("amount")).alias("filter"),
+        F.array("user_id", F.when(F.col("event_id") % 7 != 0, F.col("event_id"))).alias("ids"),
+        F.create_map(F.col("event_type"), F.col("event_id") % 3 == 0, F.lit("all"), F.lit(None).cast("boolean")).alias("flags"),
+        F.col("ts").alias("since"),
+    )
+    return events.select("event_id", lookup_key(events, "shop:", "search", ["since", "ids", "flags", "filter"]).alias("cache_key"))
+
+
 @query
 def product_attributes(spark, sf_dir):
     parts = inputs.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
@@ -399,11 +412,22 @@ def lookup_by_function(spark, sf_dir):
     return lookup.load_once(_reads(spark, sf_dir), loader).select("seq", "key", "value")
 
 
+def _product_load(key, read):
+    """The loader under test: one read of the source, whose answer is dressed."""
+    return f"product-{read(key)}"
+
+
+def load_counts_of(spark: SparkSession, sf_dir: str, load: lookup.Load) -> DataFrame:
+    requests = _reads(spark, sf_dir)
+    ledger = stored(lookup.counted_loads(requests.select("key").distinct(), load, lambda key: key, "string"), "load-ledger")
+    counts = lookup.load_counts(requests, ledger)
+    return counts.select("key", "loads", "answers", F.col("one_value").cast("int").alias("one_value"))
+
+
 @query
 def lookup_load_counts(spark, sf_dir):
-    loads = lookup.table_loader(inputs.customer_source(spark, sf_dir))(_reads(spark, sf_dir).select("key").distinct())
-    counts = lookup.load_counts(loads)
-    return counts.select("key", "loads", F.col("one_value").cast("int").alias("one_value"))
+    """Reads of the source as its loader's tasks counted them, beside what all callers of a key got."""
+    return load_counts_of(spark, sf_dir, _product_load)
 
 
 def _fail_open(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -321,6 +321,13 @@ ORACLE: dict[str, str] = {
                delivered_at + INTERVAL 3 SECOND AS due_at
         FROM ledger JOIN body ON event_id = message_id
         WHERE attempt = 0 AND target = 'retry'""",
+    "cache_keys_nested": """SELECT event_id, 'shop:search:' || left(sha256(
+            '{"filter":{"amount":' || CAST(value AS VARCHAR) || ',"kind":"' || event_type || '"},"flags":{'
+            || CASE WHEN event_type < 'all' THEN '"' || event_type || '":' || (event_id % 3 = 0) || ',"all":null'
+                    ELSE '"all":null,"' || event_type || '":' || (event_id % 3 = 0) END
+            || '},"ids":[' || user_id || ',' || CASE WHEN event_id % 7 <> 0 THEN CAST(event_id AS VARCHAR) ELSE 'null' END
+            || '],"since":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || CASE WHEN microsecond(ts) % 1000000 = 0 THEN '' ELSE strftime(ts, '.%f') END
+            || '"}'), 16) AS cache_key FROM events""",
     "cache_keys": """SELECT event_id, 'shop:product:' ||
                left(sha256('{"id":' || user_id || ',"kind":"' || event_type || '"}'), 16) AS cache_key FROM events""",
     "product_attributes": """SELECT p_partkey AS id, 'product-' || p_partkey AS name,
@@ -329,8 +336,8 @@ ORACLE: dict[str, str] = {
         FROM events LEFT JOIN customer ON c_custkey = user_id WHERE event_type <> 'error'""",
     "lookup_by_function": """SELECT event_id AS seq, user_id AS key, 'product-' || user_id AS value
         FROM events WHERE event_type <> 'error'""",
-    "lookup_load_counts": """SELECT DISTINCT user_id AS key, CAST(1 AS BIGINT) AS loads, CAST(1 AS INTEGER) AS one_value
-        FROM events WHERE event_type <> 'error'""",
+    "lookup_load_counts": """SELECT user_id AS key, CAST(1 AS BIGINT) AS loads, count(*) AS answers, CAST(1 AS INTEGER) AS one_value
+        FROM events WHERE event_type <> 'error' GROUP BY user_id""",
     "lookup_fail_open": f"""WITH {FAIL_OPEN}
         SELECT seq, key, CASE WHEN status = 'hit' THEN 'cached ' || c_name ELSE c_name END AS value, status FROM served""",
     "served_status_counts": f"WITH {FAIL_OPEN} SELECT status, count(*) AS requests FROM served GROUP BY status",

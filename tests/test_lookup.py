@@ -1,12 +1,20 @@
 """Lookup keys, loading once per key, failing open."""
 
+import json
+import random
+import struct
 from datetime import datetime
 
+import parity
 import pytest
+from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-from millrace.functions.keys import lookup_key, product_price
+from millrace.functions.keys import canonical_json, float_text, lookup_key, product_price
 from millrace.operators import lookup
+from millrace.plans.catalog import load_counts_of
+from millrace.plans.oracle import ORACLE
+from millrace.session import stored
 
 TEXTS = ["plain", 'quote " and \\ slash', "tab\tnewline\n\r\b\f", "\x01\x1f\x7f", "é ü 漢字", "😀 pair", "", "a'b/c"]
 
@@ -51,10 +59,37 @@ def test_null_and_boolean_parameters(spark):
     assert rows.select(lookup_key(rows, "", "x", ["a", "b"])).first()[0] == f"x:{NULL_DIGEST}"
 
 
-def test_floats_are_refused(spark):
-    rows = spark.sql("SELECT CAST(1.5 AS DOUBLE) AS x")
-    with pytest.raises(TypeError):
-        lookup_key(rows, "", "x", ["x"])
+def test_other_types_are_refused(spark):
+    rows = spark.sql("SELECT CAST(1.5 AS FLOAT) AS x, map(1.5D, 1) AS m")
+    for name in "xm":
+        with pytest.raises(TypeError):
+            lookup_key(rows, "", "x", [name])
+
+
+FLOATS = [0.0, -0.0, 1.0, -1.5, 0.1, 0.3, 1e15, 1e16, 123456789012345680.0, 0.0001, 0.00001, 1e22, 1e23, 2e-3, 8.41e21, 2.0**60, 5e-324, 1.7976931348623157e308, 1 / 3, 2 / 3, 100.0, 1e100]
+
+
+def test_floats_are_written_as_python_does(spark):
+    rng = random.Random(11)
+    numbers = FLOATS + [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(3000)] + [rng.uniform(-1e6, 1e6) for _ in range(2000)] + [round(rng.uniform(0, 1e4), 2) for _ in range(2000)]
+    numbers = [x for x in numbers if x == x] + [float("nan"), float("inf"), float("-inf")]
+    found = spark.createDataFrame([(x,) for x in numbers], "x double").select("x", float_text(F.col("x")).alias("text")).collect()
+    assert [(json.dumps(r["x"]), r["text"]) for r in found if json.dumps(r["x"]) != r["text"]] == []
+
+
+def test_nested_parameters_are_canonical(spark):
+    rows = spark.sql(
+        """SELECT named_struct('z', 1.5D, 'a', array(1, NULL), 'e', CAST(NULL AS STRUCT<q: INT>)) AS s,
+                  map('é', array(true), 'b', NULL) AS m, map(10, 'x', 9, 'y') AS n, array() AS e,
+                  TIMESTAMP_NTZ'2024-01-02 03:04:05.000600' AS t, TIMESTAMP'2024-01-02 03:04:05Z' AS u,
+                  array(named_struct('k', DATE'2024-02-29', 'd', 1.50BD)) AS l, CAST(NULL AS ARRAY<INT>) AS g"""
+    )
+    wanted = {
+        "s": {"z": 1.5, "a": [1, None], "e": None}, "m": {"é": [True], "b": None}, "n": {10: "x", 9: "y"}, "e": [],
+        "t": "2024-01-02 03:04:05.000600", "u": "2024-01-02 03:04:05+00:00", "l": [{"k": "2024-02-29", "d": "1.50"}], "g": None,
+    }
+    text = rows.select(canonical_json(rows, list(wanted))).first()[0]
+    assert text == json.dumps(wanted, sort_keys=True, separators=(",", ":"))
 
 
 def test_price_formula(spark):
@@ -91,10 +126,46 @@ def test_failing_load_leaves_other_keys_alone(spark):
     assert [row["error"] for row in rows if row["key"] == 1] == ["database is down"]
 
 
-def test_load_counts(spark):
-    loads = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (2, "b")], "key int, value string")
-    rows = {row["key"]: (row["loads"], row["one_value"]) for row in lookup.load_counts(loads).collect()}
-    assert rows == {1: (2, True), 2: (2, False)}
+@pytest.mark.parametrize("reads", [0, 1, 2])
+def test_reads_are_counted_where_they_happen(spark, reads):
+    def load(key, read):
+        for _ in range(reads):
+            read(key)
+        return f"v{key}"
+
+    requests = spark.createDataFrame([(1,), (1,), (2,), (None,)], "key long")
+    ledger = stored(lookup.counted_loads(requests.distinct().filter("key IS NOT NULL"), load, lambda key: key, "string"), "ledger")
+    rows = {r["key"]: (r["loads"], r["answers"], r["one_value"]) for r in lookup.load_counts(requests, ledger).collect()}
+    assert rows == {1: (reads, 2, True), 2: (reads, 1, True), None: (0, 1, True)}
+
+
+def test_callers_that_saw_two_values_are_told(spark):
+    """A load per request instead of per key: twice the reads, and answers that differ."""
+    def load(key, read):
+        return str(random.random()) if read(key) else None
+
+    requests = spark.createDataFrame([(1,), (1,), (2,)], "key long")
+    ledger = stored(lookup.counted_loads(requests, load, lambda key: True, "string"), "ledger")
+    rows = {r["key"]: (r["loads"], r["one_value"]) for r in lookup.load_counts(requests, ledger).collect()}
+    assert rows == {1: (2, False), 2: (1, True)}
+
+
+def test_a_failing_load_keeps_its_reads(spark):
+    def load(key, read):
+        read(key)
+        raise RuntimeError("too late")
+
+    row = lookup.counted_loads(spark.range(1).select(F.col("id").alias("key")), load, lambda key: key, "string").first()
+    assert (row["value"], row["error"], row["reads"]) == (None, "too late", [0])
+
+
+def test_a_loader_that_reads_twice_is_found_by_the_query(spark):
+    wanted = parity.sql_rows(parity.connect(SF_DIR), ORACLE["lookup_load_counts"])
+
+    def twice(key, read):
+        return f"product-{read(key)}" if read(key) is not None else None
+
+    assert parity.spark_rows(load_counts_of(spark, SF_DIR, twice)) != wanted
 
 
 def test_broken_cache_costs_no_answer(spark):
