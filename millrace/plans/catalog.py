@@ -20,7 +20,8 @@ from millrace.sources import container_logs, keyed, messages, tables
 from millrace.streaming import lookup as lookup_stream
 from millrace.streaming import orders as orders_job
 from millrace.streaming import retry as retry_stream
-from millrace.streaming import waiting
+from millrace.streaming import progress, waiting
+from millrace.streaming.drain import drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -585,6 +586,56 @@ def stream_revenue(spark, sf_dir):
     return _plain_windows(keyed.read_latest(spark, f"{base}/revenue"))
 
 
+@query
+def stream_unique_orders(spark, sf_dir):
+    """Revenue of orders of which every fifth is sent again, some in the same batch and some in a later one."""
+    base = scratch(spark, "stream-unique")
+    first, second = _message_slices(spark, sf_dir)
+    again = first.filter("offset % 5 = 0").withColumn("offset", F.col("offset") + 1_000_000_000)
+
+    def start():
+        stream = messages.message_stream(spark, "files", path=f"{base}/in")
+        return orders_job.start_revenue(stream, f"{base}/revenue", f"{base}/checkpoint", once=True, unique_orders=True, watermark="100 days")
+
+    replay_slices([first.unionByName(again.filter("partition = 0")), second.unionByName(again)], f"{base}/in", start)
+    return _plain_windows(keyed.read_latest(spark, f"{base}/revenue"))
+
+
+def _observed_replay(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Progress of the revenue stream over three batches, and the rows landed.
+
+    Every tenth message of the first half of the time arrives last, after the watermark has passed it.
+    """
+    base = scratch(spark, "stream-observed")
+    raw = inputs.raw_orders(spark, sf_dir)
+    late = F.col("offset") % 10 == 3
+    first, second = time_slices(raw)
+    rows = 0
+    for part in (first.filter(~late), second, first.filter(late)):
+        landed = part.drop("ts").coalesce(1)
+        messages.land_files(landed, f"{base}/in")
+        rows += landed.count()
+    table = progress.ProgressTable(spark, f"{base}/progress")
+    spark.streams.addListener(table)
+    try:
+        stream = messages.message_stream(spark, "files", path=f"{base}/in", files_per_trigger=1)
+        done = drain(orders_job.start_revenue(stream, f"{base}/revenue", f"{base}/checkpoint", once=True))
+        return table.caught_up(done), rows
+    finally:
+        spark.streams.removeListener(table)
+
+
+@query
+def late_row_counts(spark, sf_dir):
+    """Windows and products whose rows were dropped because they came too late, by micro-batch."""
+    return progress.late_rows(_observed_replay(spark, sf_dir)[0]).select("batch_id", "late_rows")
+
+
+@query
+def lag_by_batch(spark, sf_dir):
+    return progress.lag_by_batch(*_observed_replay(spark, sf_dir)).select("batch_id", "input_rows", "behind")
+
+
 @query
 def stream_dead_letters(spark, sf_dir):
     base = scratch(spark, "stream-dead")

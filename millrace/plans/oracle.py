@@ -222,6 +222,20 @@ WORDS = r"regexp_replace(lower({0}), '[^\p{{L}}\p{{M}}\p{{N}}_]+', ' ', 'g')"
 ORACLE: dict[str, str] = {
     "revenue_by_window": f"WITH {DECODED} {_windows('minute')}",
     "stream_revenue": f"WITH {DECODED} {_windows('minute')}",
+    "stream_unique_orders": f"WITH {DECODED} {_windows('minute')}",
+    # Late rows: held back to the third batch. A batch drops by the watermark that held before the batch
+    # before it ended, so here the first batch decides: its newest order, less a minute.
+    "late_row_counts": f"""WITH {DECODED}, half AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS cut FROM events),
+        placed AS (SELECT d.*, d.ts < cut AS early, kafka_offset % 10 = 3 AS tenth FROM decoded d, half)
+        SELECT CAST(2 AS BIGINT) AS batch_id, count(DISTINCT (date_trunc('minute', event_time), product)) AS late_rows
+        FROM placed WHERE is_valid AND early AND tenth AND date_trunc('minute', event_time) + INTERVAL 1 MINUTE
+          <= (SELECT date_trunc('millisecond', max(event_time)) FROM placed WHERE is_valid AND early AND NOT tenth) - INTERVAL 1 MINUTE
+        HAVING count(*) > 0""",
+    "lag_by_batch": """WITH half AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS cut FROM events),
+        placed AS (SELECT CASE WHEN ts >= cut THEN 1 WHEN event_id // 3 % 10 = 3 THEN 2 ELSE 0 END AS batch_id FROM events, half),
+        sized AS (SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS input_rows FROM placed GROUP BY 1)
+        SELECT batch_id, input_rows, CAST((SELECT count(*) FROM events) - sum(input_rows) OVER (ORDER BY batch_id) AS BIGINT) AS behind
+        FROM sized""",
     "latest_windows": f"WITH {DECODED}, w AS ({_windows('minute')}) SELECT * FROM w ORDER BY window_start DESC, product LIMIT 10",
     "orders_total": f"WITH {DECODED} SELECT count(*) AS orders FROM decoded WHERE is_valid",
     "windows_of_product": f"WITH {DECODED}, w AS ({_windows('hour')}) SELECT count(*) AS n FROM w WHERE product = 'purchase'",

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import threading
+import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -54,12 +56,16 @@ class ProgressTable(StreamingQueryListener):
     def __init__(self, spark: SparkSession, path: str, every: int = 20):
         self.spark, self.path, self.every = spark, path, every
         self.waiting: list[str] = []
+        self.heard: dict[str, int] = {}
+        self.writing = threading.Lock()
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        self.waiting.append(_row(json.loads(event.progress.json)))
+        progress = json.loads(event.progress.json)
+        self.waiting.append(_row(progress))
+        self.heard[progress["runId"]] = progress["batchId"]
         if len(self.waiting) >= self.every:
             self.flush()
 
@@ -70,9 +76,42 @@ class ProgressTable(StreamingQueryListener):
         self.flush()
 
     def flush(self) -> None:
-        rows, self.waiting = self.waiting, []
-        if rows:
-            _frame(self.spark, rows).coalesce(1).write.mode("append").parquet(self.path)
+        with self.writing:  # events come on a thread of their own
+            rows, self.waiting = self.waiting, []
+            if rows:
+                _frame(self.spark, rows).coalesce(1).write.mode("append").parquet(self.path)
+
+
+    def caught_up(self, query: StreamingQuery, seconds: float = 60) -> DataFrame:
+        """The table once it has all that an ended query reported; progress reaches listeners with a delay."""
+        last, deadline = json.loads(query.lastProgress.json), time.monotonic() + seconds
+        while self.heard.get(last["runId"], -1) < last["batchId"]:
+            if time.monotonic() > deadline:
+                raise TimeoutError(f"batch {last['batchId']} of {query.name or query.id} was not heard of in {seconds} s")
+            time.sleep(0.1)
+        self.flush()
+        return self.read()
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)
+
+
+def late_rows(progress: DataFrame) -> DataFrame:
+    """Rows dropped for being late per query and micro-batch, where there were any.
+
+    Spark counts what reaches the state: of a windowed sum, one row per window and key.
+    """
+    return progress.groupBy("query", "batch_id").agg(F.sum("late_rows").alias("late_rows")).filter("late_rows > 0")
+
+
+def lag_by_batch(progress: DataFrame, landed_rows: int) -> DataFrame:
+    """Per query and micro-batch with input: rows taken in, and how many of the log's rows were still ahead.
+
+    The running sum goes over one row per micro-batch.
+    """
+    so_far = Window.partitionBy("query").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    taken = progress.groupBy("query", "batch_id").agg(F.sum("input_rows").alias("input_rows")).filter("input_rows > 0")
+    return taken.withColumn("behind", F.lit(landed_rows) - F.sum("input_rows").over(so_far))
 
 
 def late_alerts(progress: DataFrame, limit: int = 0) -> DataFrame:
