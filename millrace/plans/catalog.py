@@ -280,8 +280,7 @@ def compacted_sales(spark, sf_dir):
     path = scratch(spark, "compacted")
     orders = inputs.sales_orders(spark, sf_dir)
     orders.write.partitionBy("category").parquet(path)
-    for category in tables.files.partition_values(spark, path, "category"):
-        tables.compact_partition(spark, path, "category", category)
+    tables.compact_table(spark, path, "category")
     stored = spark.read.schema(tables.SALES_SCHEMA).parquet(path)
     return stored.groupBy("category").agg(F.count("*").alias("n"), F.sum("quantity").alias("quantity"))
 

@@ -58,10 +58,13 @@ def enforce_contract(df: DataFrame, schema: str) -> DataFrame:
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Store one batch under its id, replacing an earlier attempt at the same batch.
 
-    The old folder goes first, so a batch that is empty now leaves nothing behind. A crash in
-    between is mended by the replay that follows it.
+    The new rows are written aside and then take the folder's place, so that readers find the one
+    or the other. Only a batch that has become empty drops its old folder instead.
     """
-    files.drop_partition(df.sparkSession, path, "batch_id", str(batch_id))
+    spark = df.sparkSession
+    if files.exists(spark, files.partition_path(spark, path, "batch_id", str(batch_id))) and df.isEmpty():
+        files.drop_partition(spark, path, "batch_id", str(batch_id))
+        return
     _write_folder(df, path, batch_id)
 
 
@@ -77,19 +80,31 @@ def _write_folder(df: DataFrame, path: str, batch_id: int) -> None:
     )
 
 
-def upsert_writer(path: str, schema: str = REVENUE_SCHEMA) -> Callable[[DataFrame, int], None]:
-    """A batch callback for ``foreachBatch``: insert or update by key, last write wins."""
+# So many batches are folded into one, so many of these again, and so on.
+FOLD_EVERY = 10
+
+
+def upsert_writer(path: str, schema: str = REVENUE_SCHEMA, key: list[str] = REVENUE_KEY, fold_every: int = FOLD_EVERY) -> Callable[[DataFrame, int], None]:
+    """A batch callback for ``foreachBatch``: insert or update by key, last write wins.
+
+    Earlier batches, whose commit is certain by now, are folded on the way (``fold_due``).
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        fold_due(batch.sparkSession, path, batch_id, schema, key, latest_by_key, fold_every)
         write_batch(enforce_contract(batch, schema), path, batch_id)
 
     return write
 
 
-def insert_writer(path: str, schema: str = DEAD_LETTER_SCHEMA) -> Callable[[DataFrame, int], None]:
-    """A batch callback for ``foreachBatch``: insert what is not there yet, stamped with its arrival."""
+def insert_writer(path: str, schema: str = DEAD_LETTER_SCHEMA, key: list[str] = DEAD_LETTER_KEY, fold_every: int = FOLD_EVERY) -> Callable[[DataFrame, int], None]:
+    """A batch callback for ``foreachBatch``: insert what is not there yet, stamped with its arrival.
+
+    Earlier batches are folded on the way, as by ``upsert_writer``.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        fold_due(batch.sparkSession, path, batch_id, schema, key, earliest_by_key, fold_every)
         stamped = batch.withColumn("received_at", F.current_timestamp())
         write_batch(enforce_contract(stamped, schema), path, batch_id)
 
@@ -127,17 +142,36 @@ def fold_batches(
     leaves rows that read the same. Returns the number of folders dropped.
     """
     ids = sorted(int(value) for value in files.partition_values(spark, path, "batch_id"))
-    old = ids[:-1]
-    if len(old) < 2:
+    return fold_range(spark, path, ids[0], ids[-1], schema, key, keep) if ids else 0
+
+
+def fold_range(spark: SparkSession, path: str, first: int, stop: int, schema: str, key: list[str], keep: Callable[[DataFrame, list[str], str], DataFrame]) -> int:
+    """Combine the batches from ``first`` to before ``stop`` into the last of them."""
+    ids = [i for i in sorted(int(value) for value in files.partition_values(spark, path, "batch_id")) if first <= i < stop]
+    if len(ids) < 2:
         return 0
     staged = scratch(spark, "fold")
-    stored = read_batches(spark, path, schema).filter(F.col("batch_id") <= old[-1])
+    stored = read_batches(spark, path, schema).filter(F.col("batch_id").between(ids[0], ids[-1]))
     keep(stored, key, "batch_id").write.parquet(staged)
-    _write_folder(spark.read.schema(schema).parquet(staged), path, old[-1])
-    for batch_id in old[:-1]:
+    _write_folder(spark.read.schema(schema).parquet(staged), path, ids[-1])
+    for batch_id in ids[:-1]:
         files.drop_partition(spark, path, "batch_id", str(batch_id))
     files.drop_folders(spark, staged)
-    return len(old) - 1
+    return len(ids) - 1
+
+
+def fold_due(spark: SparkSession, path: str, batch_id: int, schema: str, key: list[str], keep: Callable[[DataFrame, list[str], str], DataFrame], every: int = FOLD_EVERY) -> int:
+    """Fold what is due when batch ``batch_id`` begins: the last ``every`` batches, or a power of it.
+
+    All earlier batches are committed then. A row is rewritten once per power, and the folders left
+    are at most ``every`` for each power, however many batches a job has written.
+    """
+    if batch_id == 0 or batch_id % every or not files.exists(spark, path):
+        return 0
+    size = every
+    while batch_id % (size * every) == 0:
+        size *= every
+    return fold_range(spark, path, batch_id - size, batch_id, schema, key, keep)
 
 
 def fold_first(spark: SparkSession, path: str, schema: str = DEAD_LETTER_SCHEMA, key: list[str] = DEAD_LETTER_KEY) -> int:

@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.merge import merge_rows
-from millrace.session import scratch
+from millrace.session import scratch, stored
 from millrace.sources import files
 
 # Columns of the sales table, and its sample rows.
@@ -199,6 +199,47 @@ def compact_partition(spark: SparkSession, path: str, by: str, value: str, file_
     return wanted
 
 
+def file_groups(spark: SparkSession, path: str, by: str, file_bytes: int) -> DataFrame:
+    """Files of the partitions that have more than they need, each with its group (by, file, file_group).
+
+    The files of a partition are put in a row and cut after every ``file_bytes``, so a group holds
+    about that much. Partitions whose files are as few as their groups are left out.
+    """
+    rows = spark.read.parquet(path).select(by, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+    found = rows.distinct()
+    before = Window.partitionBy(by).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    group = F.floor(F.coalesce(F.sum("bytes").over(before), F.lit(0)) / F.lit(file_bytes))
+    grouped = found.withColumn("file_group", group)
+    whole = Window.partitionBy(by)
+    sized = grouped.withColumns({"n_files": F.count("*").over(whole), "n_groups": F.size(F.collect_set("file_group").over(whole))})
+    return sized.filter("n_files > n_groups").select(by, "file", "file_group")
+
+
+def compact_table(spark: SparkSession, path: str, by: str, file_bytes: int = 256 << 20) -> list[str | None]:
+    """Pack the small files of all partitions in one job; returns the partitions that were rewritten.
+
+    Rows of a group of files meet in one task and make one file. They are staged first, and then
+    replace their partitions, so a crash loses nothing and repeating the work ends the same.
+    """
+    groups = stored(file_groups(spark, path, by, file_bytes), "file-groups")
+    counts = groups.groupBy(by).agg(F.count_distinct("file_group").alias("n")).collect()  # at most one row per partition
+    if not counts:
+        return []
+    touched = [row[by] for row in counts]
+    inside = F.col(by).isin([value for value in touched if value is not None])
+    inside = (inside | F.col(by).isNull()) if None in touched else inside
+    rows = spark.read.parquet(path)
+    kept = rows.filter(inside).withColumn("file", F.col("_metadata.file_path")).join(groups.select("file", "file_group"), "file")
+    staged = scratch(spark, "compact")
+    packed = kept.repartition(sum(row["n"] for row in counts), by, "file_group").drop("file", "file_group")
+    packed.select(*rows.columns).write.partitionBy(by).parquet(staged)
+    again = spark.read.schema(rows.schema).parquet(staged)
+    # One file of the staging folder is one task, unless it is very large.
+    again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    files.drop_folders(spark, staged)
+    return sorted(touched, key=lambda value: (value is None, value))
+
+
 def write_csv(df: DataFrame, path: str, header: bool = False) -> None:
     """Write a result as CSV files."""
     df.write.mode("overwrite").option("header", header).csv(path)

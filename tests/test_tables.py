@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import revenue
 from millrace.operators.merge import merge_rows
-from millrace.sources import files, tables
+from millrace.sources import files, keyed, tables
 
 
 def test_golden_reports(spark):
@@ -161,3 +161,63 @@ def test_csv_report(spark, folder):
     tables.write_csv(revenue.sales_by_category(tables.sample_sales(spark)), path)
     lines = [row["value"] for row in spark.read.text(path).collect()]
     assert "audio,387.00,2" in lines
+
+
+def test_small_files_of_all_partitions_are_packed_in_one_job(spark, folder):
+    path = folder("compacted")
+    rows = spark.range(4000).selectExpr("id", "repeat(cast(id as string), 20) AS filler", "CASE id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'a b' WHEN 2 THEN 'b' ELSE 'c' END AS kind")
+    for part in range(6):
+        rows.filter(f"(kind IS NULL OR kind <> 'c') AND id % 6 = {part}").write.mode("append").partitionBy("kind").parquet(path)
+    rows.filter("kind = 'c'").coalesce(1).write.mode("append").partitionBy("kind").parquet(path)
+    before = {r["f"] for r in spark.read.parquet(path).filter("kind = 'c'").selectExpr("_metadata.file_path AS f").distinct().collect()}
+    assert tables.compact_table(spark, path, "kind") == ["a b", "b", None]
+    found = spark.read.schema("id long, filler string, kind string").parquet(path)
+    sizes = {r["kind"]: r["n"] for r in found.selectExpr("kind", "_metadata.file_path AS f").groupBy("kind").agg(F.count_distinct("f").alias("n")).collect()}
+    assert sizes == {None: 1, "a b": 1, "b": 1, "c": 1}
+    assert before == {r["f"] for r in found.filter("kind = 'c'").selectExpr("_metadata.file_path AS f").distinct().collect()}
+    assert sorted(map(str, found.collect())) == sorted(map(str, rows.collect()))
+    assert tables.compact_table(spark, path, "kind") == []
+
+
+def test_files_are_packed_up_to_the_size_asked_for(spark, folder):
+    path = folder("grouped")
+    spark.range(8000).selectExpr("id", "uuid() AS filler", "'x' AS kind").repartition(8).write.partitionBy("kind").parquet(path)
+    size = tables.files.folder_bytes(spark, path)
+    tables.compact_table(spark, path, "kind", file_bytes=size // 3)
+    found = spark.read.parquet(path)
+    assert found.count() == 8000
+    assert found.selectExpr("_metadata.file_path AS f").distinct().count() in (1, 2, 3, 4)
+
+
+def test_fifty_batches_leave_few_folders_and_the_same_rows(spark, folder):
+    path, plain = folder("folded"), folder("plain")
+    schema, key = "k int NOT NULL, v string NOT NULL", ["k"]
+    writers = [keyed.upsert_writer(path, schema, key, fold_every=4), keyed.upsert_writer(plain, schema, key, fold_every=1000)]
+    for batch_id in range(18):
+        batch = spark.createDataFrame([(k, f"{batch_id}") for k in range(12) if (k + batch_id) % 5 == 0], "k int, v string")
+        for write in writers:
+            write(batch, batch_id)
+        writers[0](batch, batch_id)  # a repeat, as after a crash
+    found, wanted = (sorted(map(tuple, keyed.read_latest(spark, p, schema, key).collect())) for p in (path, plain))
+    assert found == wanted and len(found) == 12
+    assert len(keyed.files.partition_values(spark, plain, "batch_id")) == 18
+    assert keyed.files.partition_values(spark, path, "batch_id") == ["15", "16", "17"]
+
+
+def test_the_first_copy_stays_through_folds(spark, folder):
+    path = folder("first")
+    schema, key = "k int NOT NULL, v string NOT NULL, received_at timestamp NOT NULL", ["k"]
+    write = keyed.insert_writer(path, schema, key, fold_every=2)
+    for batch_id in range(7):
+        write(spark.createDataFrame([(0, f"{batch_id}"), (batch_id, "own")][: 1 + (batch_id > 0)], "k int, v string"), batch_id)
+    rows = {r["k"]: r["v"] for r in keyed.read_first(spark, path, schema, key).collect()}
+    assert rows == {0: "0", **{n: "own" for n in range(1, 7)}}
+
+
+def test_a_batch_that_became_empty_leaves_nothing(spark, folder):
+    path = folder("emptied")
+    rows = spark.createDataFrame([(1, "a")], "k int, v string")
+    keyed.write_batch(rows, path, 0)
+    keyed.write_batch(rows, path, 1)
+    keyed.write_batch(rows.filter("k > 1"), path, 1)
+    assert keyed.files.partition_values(spark, path, "batch_id") == ["0"]
