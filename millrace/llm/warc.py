@@ -2,8 +2,9 @@
 
 Archives are written and read by Spark's text source, so they live wherever Spark can read, and
 files are split among tasks at records. A reader finds records by their version line. Payloads may
-hold anything, that line too: the writer ends a chunk inside each occurrence, so that it never
-stands in an archive other than at the start of a record.
+hold anything, the version's text too: the writer ends a chunk inside each occurrence and encodes it in
+addresses, so that it never stands in an archive other than at the start of a record, whatever
+follows it there.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm.texts import scratch, stored
 
-VERSION = "WARC/1.1\r\n"
+VERSION_TEXT = "WARC/1.1"
+VERSION = f"{VERSION_TEXT}\r\n"
 # Blocks above this are split into segments, bodies into chunks of at most that.
 SEGMENT_BYTES = 16_384
 CHUNK_BYTES = 4_096
@@ -40,11 +42,11 @@ NUMBERS = ("segment", "total", "page_id", "refers_to")
 
 
 def chunked(payload: bytes, size: int = CHUNK_BYTES) -> bytes:
-    """The payload in chunked transfer coding; no chunk holds a whole version line."""
-    line, parts, at = VERSION.encode(), [], 0
+    """The payload in chunked transfer coding; no chunk holds the whole version text."""
+    version, parts, at = VERSION_TEXT.encode(), [], 0
     while at < len(payload):
         stop = min(at + size, len(payload))
-        found = payload.find(line, at, stop)
+        found = payload.find(version, at, stop)
         if found >= 0:
             stop = found + 4
         parts += [b"%x\r\n" % (stop - at), payload[at:stop], b"\r\n"]
@@ -74,8 +76,11 @@ def _record(headers: list[tuple[str, object]], block: bytes) -> bytes:
 
 
 def _uri(url: str | None) -> str | None:
-    """The address without characters that would end a header line."""
-    return None if url is None else re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m.group()):02X}", url)
+    """The address without characters that would end a header line, and without the version's text."""
+    if url is None:
+        return None
+    encoded = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m.group()):02X}", url)
+    return encoded.replace(VERSION_TEXT, VERSION_TEXT.replace("/", "%2F"))
 
 
 def page_records(page_id: int | None, url: str | None, html: str | None, refers_to: int | None, revisit: bool, date: str, segment_bytes: int) -> list[bytes]:
@@ -205,6 +210,8 @@ def payloads(responses: DataFrame) -> DataFrame:
 def archived_pages(spark: SparkSession, path: str) -> DataFrame:
     """One row per archived page, from the archive alone: what it held and where its payload is stored.
 
+    Equal rows are archived and returned each. An archive without records has no rows.
+
     A revisit takes size and digest from the response that it refers to.
     """
     records = read_warc(spark, path)
@@ -221,7 +228,12 @@ def archived_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def archive_and_read(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
-    """Write the pages to a new archive in the shared folder and read it back."""
+    """Write the pages to a new archive in the shared folder and read it back.
+
+    NULL html is an empty payload, NULL addresses are left out, and a row without page_id keeps none.
+    Any text can be payload or address. Of equal payloads the row with the largest page_id is stored;
+    repeated rows with that id are stored each. No pages, no rows.
+    """
     spark = pages.sparkSession
     path = scratch(spark, "warc")
     write_warc(pages, path, segment_bytes)

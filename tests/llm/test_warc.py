@@ -69,3 +69,30 @@ def test_whole_payloads_come_back(spark):
 
 def test_empty_table(spark):
     assert archive_and_read(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_the_version_text_may_end_anything(spark):
+    text = VERSION.strip()
+    payloads_ = [text, "x" * 4088 + text, "x" * 4090 + text, "x" * 4088 + text + "y" * 5000, text * 3, "x" * 16_200 + text * 40, "WARC/1." * 9 + text, text[:5] + text]
+    rows = [(i, url, t) for i, t in enumerate(payloads_) for url in (f"http://x/{text}", text)]
+    rows = [(n, url, t) for n, (_, url, t) in enumerate(rows)]
+    for segment_bytes in (61, 16_384):
+        got = [tuple(r) for r in archive_and_read(spark.createDataFrame(rows, SCHEMA), segment_bytes).collect()]
+        assert sorted(got, key=str) == wanted(rows)
+
+
+def test_no_archive_holds_the_version_text_but_at_records():
+    rng = random.Random(7)
+    pieces = [b"WARC/1.1", b"WARC/1.", b"WARC", b"/1.1", b"1\r\n", b"\r\n", b"x" * 50]
+    for size in (3, 8, 9, 64, 4096):
+        for _ in range(50):
+            data = b"".join(rng.choice(pieces) for _ in range(120))
+            coded = chunked(data, size)
+            assert dechunked(coded) == data and b"WARC/1.1" not in coded
+
+
+def test_clashing_columns_and_awkward_rows(spark):
+    rows = [(1, None, None, 3, "a"), (1, None, None, 3, "a"), (None, "u", "z" * 2000, 4, "b"), (2, "u", "z" * 2000, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, segment int, payload_digest string")
+    got = [tuple(r) for r in archive_and_read(pages).collect()]
+    assert sorted(got, key=str) == wanted([r[:3] for r in rows])
