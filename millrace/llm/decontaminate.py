@@ -19,6 +19,8 @@ from millrace.llm.texts import let, stored, words
 
 WINDOW = 5
 COVERAGE = 0.8
+# What tells a row from others: rows can share an id or have none.
+DOCUMENT = ("doc_id", "text_hash")
 # A window's template says something only if this many of its words are no placeholders; any other
 # window, and an item shorter than a window, is compared word by word.
 MIN_LITERALS = 3
@@ -128,15 +130,15 @@ def benchmark_windows(items: DataFrame, width: int = WINDOW) -> tuple[DataFrame,
     return stored(every, "benchmark-windows"), lengths
 
 
-def contaminated(documents: DataFrame, items: DataFrame, coverage: float = COVERAGE, width: int = WINDOW) -> DataFrame:
-    """Pairs (doc_id, item_id) where the document holds at least ``coverage`` of the item's windows
+def contaminated_texts(documents: DataFrame, items: DataFrame, coverage: float = COVERAGE, width: int = WINDOW) -> DataFrame:
+    """Pairs (doc_id, text_hash, item_id) where the document holds at least ``coverage`` of the item's windows
     along alignments with consistent slots; ``coverage`` and whether the passage is ``verbatim``.
 
     Windows that are rich in slots are left out of this; an item is also found if the document holds
     ``coverage`` of all its windows, these included, with the item's own values.
 
-    Rows that share a doc_id count as one document, also those without an id. NULL and empty texts
-    are clean; so is everything where the benchmark is empty.
+    A row is judged by its own text, also where it shares its doc_id or has none; rows with the same
+    id and text are one. NULL and empty texts are clean; so is everything where the benchmark is empty.
     """
     bench, short = benchmark_windows(items, width)
     n_windows = bench.count()
@@ -145,38 +147,49 @@ def contaminated(documents: DataFrame, items: DataFrame, coverage: float = COVER
     totals = bench.groupBy("item_id", "item_at").agg(F.every("rich").alias("rich")).groupBy("item_id").agg(
         F.count("*").alias("total_all"), F.count_if(~F.col("rich")).alias("total")
     )
-    windows = documents.select("doc_id", F.explode(template_windows(F.col("text"), width, short)).alias("w"))
-    windows = windows.select("doc_id", F.col("w.at").alias("at"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("slots"))
+    windows = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(template_windows(F.col("text"), width, short)).alias("w"))
+    windows = windows.select(*DOCUMENT, F.col("w.at").alias("at"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("slots"))
     slots = F.coalesce("slots", F.array().cast("array<string>"))
     hits = windows.join(bench, "hash").select(
-        "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), F.struct("item_at", "rich").alias("item_at"),
+        *DOCUMENT, "item_id", (F.col("at") - F.col("item_at")).alias("shift"), F.struct("item_at", "rich").alias("item_at"),
         F.zip_with("item_slots", slots, lambda theirs, ours: F.struct(theirs.alias("theirs"), ours.alias("ours"))).alias("pairs"),
     )
     # One alignment is one occurrence of the passage; it has at most as many hits as the item windows.
-    aligned = hits.groupBy("doc_id", "item_id", "shift").agg(
+    aligned = hits.groupBy(*DOCUMENT, "item_id", "shift").agg(
         F.collect_set("item_at").alias("covered"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )
     theirs, ours = F.array_distinct(F.col("pairs.theirs")), F.array_distinct(F.col("pairs.ours"))
     consistent = aligned.filter((F.size("pairs") == F.size(theirs)) & (F.size("pairs") == F.size(ours)))
     same = F.forall("pairs", lambda p: p["theirs"] == p["ours"])
     covered = (
-        consistent.select("doc_id", "item_id", same.alias("same"), F.explode("covered").alias("c"))
-        .groupBy("doc_id", "item_id", F.col("c.item_at").alias("item_at"))
+        consistent.select(*DOCUMENT, "item_id", same.alias("same"), F.explode("covered").alias("c"))
+        .groupBy(*DOCUMENT, "item_id", F.col("c.item_at").alias("item_at"))
         .agg(F.max("same").alias("same"), F.max(~F.col("c.rich")).alias("plain"), F.max(F.col("same") & ~F.col("c.rich")).alias("plain_same"))
-        .groupBy("doc_id", "item_id")
+        .groupBy(*DOCUMENT, "item_id")
         .agg(F.count_if("plain").alias("n"), F.count_if("plain_same").alias("n_same"), F.count_if("same").alias("n_all"))
     )
     as_template = (F.col("total") > 0) & (F.col("n") >= coverage * F.col("total"))
     as_it_is = F.col("n_all") >= coverage * F.col("total_all")
     found = covered.join(totals, "item_id").filter(as_template | as_it_is)
     return found.select(
-        "doc_id", "item_id", F.when(as_template, F.col("n")).otherwise(F.col("n_all")).alias("n_windows"),
+        *DOCUMENT, "item_id", F.when(as_template, F.col("n")).otherwise(F.col("n_all")).alias("n_windows"),
         F.when(as_template, F.try_divide("n", "total")).otherwise(F.col("n_all") / F.col("total_all")).alias("coverage"),
         (as_it_is | (as_template & (F.col("n_same") >= coverage * F.col("total")))).alias("verbatim"),
     )
 
 
+def contaminated(documents: DataFrame, items: DataFrame, coverage: float = COVERAGE, width: int = WINDOW) -> DataFrame:
+    """The pairs of ``contaminated_texts`` by doc_id; ids that stand for several texts can have an item more than once."""
+    return contaminated_texts(documents, items, coverage, width).drop("text_hash")
+
+
 def without_contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark passage, all columns as they were."""
-    dirty = contaminated(documents, items).select(F.col("doc_id").alias("dirty_id")).distinct()
-    return documents.join(dirty, documents["doc_id"].eqNullSafe(dirty["dirty_id"]), "left_anti")
+    """The documents that hold no benchmark passage, all columns as they were.
+
+    Each row is judged by its own text. What is dropped is stored first, ids and hashes only, so that
+    Spark knows its size and need not move the texts where it is small.
+    """
+    found = contaminated_texts(documents, items).select(F.col("doc_id").alias("dirty_id"), F.col("text_hash").alias("dirty_hash"))
+    dirty = stored(found.distinct(), "contaminated")
+    own = documents["doc_id"].eqNullSafe(dirty["dirty_id"]) & (F.xxhash64(documents["text"]) == dirty["dirty_hash"])
+    return documents.join(dirty, own, "left_anti")

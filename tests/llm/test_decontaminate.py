@@ -74,3 +74,13 @@ def test_short_items_are_found_whole(spark):
 def test_first_word_may_follow_another(spark):
     for item in ("Compute the area of circles", "Compute the area of circles that touch here"):
         assert set(found(spark, ["then " + item + " again", item, "then " + item.lower(), "nothing like that in here"], item)) == {0, 1, 2}
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    """Rows that share an id, or have none, keep their own verdict, and halves of a passage do not add up."""
+    half = len(ITEM) // 2
+    rows = [(None, ITEM), (None, "a clean row without an id"), (None, None), (5, ITEM[:half]), (5, ITEM[half:]), (6, "so " + ITEM), (6, "clean"), (6, "so " + ITEM)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(9, ITEM)], "item_id long, text string")
+    assert sorted(map(str, (tuple(r) for r in without_contaminated(docs, items).collect()))) == sorted(str(r) for r in rows if r[1] is None or ITEM not in r[1])
+    assert sorted(map(str, (r["doc_id"] for r in contaminated(docs, items).collect()))) == ["6", "None"]
