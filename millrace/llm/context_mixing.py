@@ -380,17 +380,21 @@ class Model:
         self.code, self.token, self.gates, self.byte, self.byte_gates = code, token, gates, byte, byte_gates
         self.total, self.distinct = total, distinct
 
-    def spelled(self, words: list[bytes], cache: dict[bytes, float]) -> None:
-        """Put the log-probabilities of spelling the words into ``cache``."""
-        words = [w for w in dict.fromkeys(words) if w not in cache]
-        if len(cache) + len(words) > SPELLED_CACHE:
-            cache.clear()
+    def spelled(self, words: list[bytes], cache: dict[bytes, float]) -> dict[bytes, float]:
+        """The log-probabilities of spelling the words; ``cache`` holds those of earlier ones."""
+        wanted = dict.fromkeys(words)
+        known = {w: cache[w] for w in wanted if w in cache}
+        words = [w for w in wanted if w not in known]
         for start in range(0, len(words), 2048):
             part = words[start : start + 2048]
             slots, bits, sizes = _byte_steps(part)
             logits, gates = self.byte.look(slots)
             losses, _ = _outcome(_weighed(self.byte_gates, gates, logits), bits)
-            cache.update(zip(part, np.add.reduceat(-losses.astype(np.float64), np.cumsum(sizes) - sizes).tolist(), strict=True))
+            known.update(zip(part, np.add.reduceat(-losses.astype(np.float64), np.cumsum(sizes) - sizes).tolist(), strict=True))
+        if len(cache) + len(words) > SPELLED_CACHE:
+            cache.clear()
+        cache.update((w, known[w]) for w in words)
+        return known
 
     def scores(self, ids: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """Log-probabilities of the documents' codes, block by block, all documents side by side."""
@@ -457,13 +461,11 @@ def mixed_scores(documents: DataFrame) -> DataFrame:
                 found = [tokens(t) for t in texts]
                 ids = [_encoded(code, words) for words in found]
                 rare = [Counter(words[i] for i in np.flatnonzero(own == code.index.escape)) for words, own in zip(found, ids, strict=True)]
-                model.spelled([w for c in rare for w in c], cache)
-                if any(w not in cache for c in rare for w in c):  # the cache was cleared in between
-                    model.spelled([w for c in rare for w in c], cache)
+                losses = model.spelled([w for c in rare for w in c], cache)
                 sizes = np.asarray([len(i) for i in ids])
                 flat, begins = np.concatenate(ids), np.cumsum(sizes) - sizes
                 coded = model.scores(flat, begins)
-                spelled = np.asarray([sum(cache[w] * n for w, n in c.items()) for c in rare])
+                spelled = np.asarray([sum(losses[w] * n for w, n in c.items()) for c in rare])
                 known = flat != code.index.escape
                 part = slice(start, start + DOCUMENTS_AT_ONCE)
                 n_bytes = [len((t or "").encode("utf-8", "surrogatepass")) for t in texts]

@@ -122,3 +122,16 @@ def test_weights_are_fitted_on_all_documents_and_words(spark, monkeypatch):
     model = cm.train(documents, cm.word_counts(learned))
     assert fitted == [learned.count()] and fitted[0] > 4_000
     assert not np.allclose(model.byte_gates, cm.start_weights())
+
+
+def test_a_cache_that_overflows_changes_nothing(monkeypatch):
+    """Words that are held, wanted and new together exceed the cache; each keeps its own probability."""
+    monkeypatch.setattr(cm, "SPELLED_CACHE", 10)
+    tables = np.random.default_rng(2).integers(0, 9, (cm.ORDERS, cm.SLOTS, 2)).astype(np.float32)
+    model = cm.Model(None, None, None, cm.Predictors(tables), cm.start_weights(), 1, 1)
+    words = [b"w%d" % n for n in range(40)]
+    alone = {w: model.spelled([w], {})[w] for w in words}
+    cache: dict = {}
+    for start in range(0, 40, 3):
+        wanted = words[max(0, start - 8) : start + 3] * 2
+        assert model.spelled(wanted, cache) == pytest.approx({w: alone[w] for w in wanted}, rel=1e-5)
