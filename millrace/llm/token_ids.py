@@ -129,12 +129,13 @@ class WordIds(dict):
 
     def encoded(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """Words with their ids. Latin letters alone are one entry of the model; others take all of its steps."""
-        others = []
+        tokenize, pack, code, others = self.tokenizer.model.tokenize, struct.pack, "H" if self.width == 2 else "I", []
         for word in words:
-            letters = "".join(map(str.lower, word.decode("utf-8", "replace")))
-            if letters.isalpha() and (letters.isascii() or max(letters) < LATIN_END):
+            letters = word.decode("utf-8", "replace")
+            if letters.isalpha() and (letters.isascii() or max(letters) < LATIN_END) and (letters := letters.lower()).isalpha():
                 spelled = letters if letters.isascii() else "".join(map(self.alphabet.__getitem__, letters.encode()))
-                yield word, np.asarray([token.id for token in self.tokenizer.model.tokenize(spelled)], dtype=f"<u{self.width}").tobytes()
+                ids = [token.id for token in tokenize(spelled)]
+                yield word, pack(f"<{len(ids)}{code}", *ids)
             else:
                 others.append(word)
         for start in range(0, len(others), 4096):
@@ -146,12 +147,18 @@ class WordIds(dict):
 
     def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of new words. Marks after a letter or digit are entries of their own: no token spans that place."""
-        ends = {word: word.rstrip(b".,;:!?") for word in words}
-        ends = {word: core for word, core in ends.items() if core and core != word and core[-1:].isalnum()}
-        parts = dict.fromkeys(part for word in words for part in ((ends[word], word[len(ends[word]) :]) if word in ends else (word,)))
-        new = dict(self.encoded([part for part in parts if part not in self]))
-        known = {part: new.get(part) or self.get(part, b"") for part in parts}
-        return known | {word: known[core] + known[word[len(core) :]] for word, core in ends.items()}
+        parts, ended = [], []
+        for word in words:
+            core = word.rstrip(b".,;:!?")
+            if len(core) < len(word) and core[-1:].isalnum():
+                ended.append((word, core, word[len(core) :]))
+                parts += ended[-1][1:]
+            else:
+                parts.append(word)
+        new = dict(self.encoded([part for part in dict.fromkeys(parts) if part not in self]))
+        for word, *pieces in ended:
+            new[word] = b"".join([new[p] if p in new else self[p] for p in pieces])
+        return new
 
     def encode(self, text: bytes) -> bytes:
         # What may hold a special token, which is told by its case, is left as it is.
