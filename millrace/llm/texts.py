@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable
 
 import numpy as np
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.session import scratch, shared_dir, stored
 
-__all__ = ["WORD", "WordHashes", "byte_alphabet", "let", "running", "scratch", "shared_dir", "stored", "table", "word_hashes", "words"]
+__all__ = ["WORD", "WordHashes", "byte_alphabet", "let", "of_worker", "running", "scratch", "shared_dir", "stored", "table", "word_hashes", "words"]
 
 # A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -36,6 +38,18 @@ def byte_alphabet() -> list[str]:
     return [chr(b if b in plain else next(others)) for b in range(256)]
 
 
+def of_worker(key: object, make: Callable[[], object]) -> object:
+    """A value that is made once per Python worker: Spark reuses workers, so later tasks find it there.
+
+    It lives in the interpreter and not in this module, which travels with each task anew. It may
+    hold what a task has learned, but no result may depend on that.
+    """
+    held = sys.modules.setdefault("_of_this_worker", types.ModuleType("_of_this_worker")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, also where ``body`` uses it inside lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.texts import byte_alphabet, stored
+from millrace.llm.texts import byte_alphabet, of_worker, stored
 
 # Chunks a worker remembers, none longer than this, with so many links in all.
 CACHE_CHUNKS, CACHED_LENGTH, CACHE_LINKS = 400_000, 64, 8_000_000
@@ -204,7 +204,7 @@ def aligned(documents: DataFrame, bpe_file: str, ranks_file: str, piece_file: st
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = Chunks(bpe_file, ranks_file, piece_file)
+        chunks = of_worker(("chunks", bpe_file, ranks_file, piece_file), lambda: Chunks(bpe_file, ranks_file, piece_file))
         same = chunks.vocabularies.same
         for batch in batches:
             columns: list[list] = [[] for _ in range(9)]

@@ -17,6 +17,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import byte_alphabet, scratch, stored
+from millrace.llm.texts import byte_alphabet, of_worker, scratch, stored
 
 END_ID = 1
 # A file ends with the document that reaches one of these; a document is never cut.
@@ -129,35 +130,47 @@ class WordIds(dict):
 
     def encoded(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """Words with their ids. Latin letters alone are one entry of the model; others take all of its steps."""
-        tokenize, pack, code, others = self.tokenizer.model.tokenize, struct.pack, "H" if self.width == 2 else "I", []
+        tokenize, byte = self.tokenizer.model.tokenize, self.alphabet.__getitem__
+        plain, others, ids, edges = [], [], [], [0]
         for word in words:
-            letters = word.decode("utf-8", "replace")
-            if letters.isalpha() and (letters.isascii() or max(letters) < LATIN_END) and (letters := letters.lower()).isalpha():
-                spelled = letters if letters.isascii() else "".join(map(self.alphabet.__getitem__, letters.encode()))
-                ids = [token.id for token in tokenize(spelled)]
-                yield word, pack(f"<{len(ids)}{code}", *ids)
+            if word.isalpha():  # of bytes: ASCII letters
+                spelled = word.lower().decode()
             else:
-                others.append(word)
+                letters = word.decode("utf-8", "replace")
+                lower = letters.lower()
+                if not (letters.isalpha() and max(letters) < LATIN_END and lower.isalpha()):
+                    others.append(word)
+                    continue
+                spelled = "".join(map(byte, lower.encode()))
+            plain.append(word)
+            ids += [token.id for token in tokenize(spelled)]
+            edges.append(len(ids))
+        yield from self._parted(plain, ids, np.asarray(edges))
         for start in range(0, len(others), 4096):
             part = others[start : start + 4096]
             found = self.tokenizer.encode([w.decode("utf-8", "replace") for w in part], is_pretokenized=True, add_special_tokens=False)
-            ids = np.asarray(found.ids, dtype=f"<u{self.width}").tobytes()
-            edges = np.searchsorted(np.asarray(found.word_ids, dtype=np.int64), np.arange(len(part) + 1)) * self.width
-            yield from zip(part, map(ids.__getitem__, map(slice, edges[:-1].tolist(), edges[1:].tolist())), strict=True)
+            yield from self._parted(part, found.ids, np.searchsorted(np.asarray(found.word_ids, dtype=np.int64), np.arange(len(part) + 1)))
+
+    def _parted(self, words: list[bytes], ids: list[int], edges: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+        """Words with their share of the ids, which ends at the next edge."""
+        data = np.asarray(ids, dtype=f"<u{self.width}").tobytes()
+        at = (edges * self.width).tolist()
+        return zip(words, map(data.__getitem__, map(slice, at[:-1], at[1:])), strict=True)
 
     def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of new words. Marks after a letter or digit are entries of their own: no token spans that place."""
         parts, ended = [], []
         for word in words:
-            core = word.rstrip(b".,;:!?")
+            core = word if word.isalpha() else word.rstrip(b".,;:!?")
             if len(core) < len(word) and core[-1:].isalnum():
-                ended.append((word, core, word[len(core) :]))
-                parts += ended[-1][1:]
+                marks = word[len(core) :]
+                ended.append((word, core, marks))
+                parts += (core, marks)
             else:
                 parts.append(word)
         new = dict(self.encoded([part for part in dict.fromkeys(parts) if part not in self]))
-        for word, *pieces in ended:
-            new[word] = b"".join([new[p] if p in new else self[p] for p in pieces])
+        for word, core, marks in ended:
+            new[word] = (new[core] if core in new else self[core]) + (new[marks] if marks in new else self[marks])
         return new
 
     def encode(self, text: bytes) -> bytes:
@@ -165,11 +178,12 @@ class WordIds(dict):
         words = (text if b"<|" in text else text.lower()).split()
         ids = list(map(self.get, words))
         if None in ids:
-            new = self.learn(list(dict.fromkeys(w for w, i in zip(words, ids, strict=True) if i is None)))
+            new = self.learn(list(dict.fromkeys([w for w, i in zip(words, ids, strict=True) if i is None])))
             ids = [new[w] if i is None else i for w, i in zip(words, ids, strict=True)]
-            if len(self) + len(new) > self.bound:
-                self.clear()
-            self.update((w, i) for w, i in new.items() if len(w) <= CACHED_LENGTH)
+            if len(self) + len(new) > self.bound:  # forget the older half
+                for word in list(islice(self, len(self) // 2 if len(new) < self.bound // 2 else None)):
+                    del self[word]
+            self.update(new if len(max(new, key=len)) <= CACHED_LENGTH else {w: i for w, i in new.items() if len(w) <= CACHED_LENGTH})
         return b"".join(ids)
 
 
@@ -223,7 +237,7 @@ def write_ids(documents: DataFrame, path: str, tokenizer_file: str, end_id: int
     """
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_file)
+        words = of_worker(("word ids", tokenizer_file), lambda: WordIds(tokenizer_file))
         end = np.asarray([end_id], dtype=f"<u{words.width}").tobytes()
         task, before, held, names, ids = TaskContext.get().partitionId(), 0, 0, [], []
         for batch in batches:

@@ -104,3 +104,10 @@ def test_a_damaged_file_raises():
 def test_descending_numbers_raise():
     with pytest.raises(ValueError, match="ascend"):
         token_ids.EliasFano.of(np.asarray([2, 1]))
+
+
+def test_a_small_cache_changes_nothing(tokenizer):
+    small = token_ids.WordIds(FILE, bound=6)
+    for text in ["one two, three four five", "six one two seven eight nine ten eleven", "one, two! x" + "y" * 100, "two two two"] * 2:
+        assert np.frombuffer(small.encode(text.encode()), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(small) <= 16
