@@ -35,6 +35,8 @@ DIVISOR, HELD_OUT = 5, 1
 VOCABULARY = 1 << 18
 SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
+# Counts of a task travel in pieces of so many numbers, each as one row.
+PIECE = 1 << 10
 # Contexts of words: none, the last token, the last two. Of bytes: the last one, two, three.
 ORDERS = 3
 # Count levels of the last two contexts select one of LEVELS ** 2 sets of weights.
@@ -151,7 +153,10 @@ class Code:
         times = np.repeat(np.asarray(list(symbols.values()), dtype=np.float64), self.lengths)
         taken = np.bincount(nodes * 2 + self.bits, weights=times, minlength=2 * (len(symbols) - 1)).reshape(-1, 2)
         self.logits = np.log((taken[nodes, 1] + 0.4) / (taken[nodes, 0] + 0.4)).astype(np.float32)
-        self.places = nodes.astype(np.uint32) * _MIX_3
+        places = nodes.astype(np.uint32) * _MIX_3
+        places ^= places >> np.uint32(15)
+        # The lowest bit of a place is the bit taken there, so that one look gives both.
+        self.places = ((places * _MIX) & ~np.uint32(1)) | self.bits
 
     def share(self, spark: SparkSession) -> None:
         """Broadcast the code once; from now on functions that use it carry a reference to that."""
@@ -162,22 +167,36 @@ class Code:
 
 
 def _contexts(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Hashes of the last token and of the last two, per token; ``first`` are the first of documents."""
+    """Hashes of the last token and of the last two, per token, ready to be added to those of places.
+
+    ``first`` are the first tokens of documents.
+    """
     last = np.concatenate([[0], ids[:-1] + 1]).astype(np.uint32)
     last[first] = 0
     before = np.concatenate([[0], last[:-1]]).astype(np.uint32)
     before[first] = 0
     one = last * _MIX + np.uint32(1)
-    return np.stack([one, ((one ^ (one >> np.uint32(13))) ^ (before * _MIX_2)) * _MIX + np.uint32(2)])
+    two = ((one ^ (one >> np.uint32(13))) ^ (before * _MIX_2)) * _MIX + np.uint32(2)
+    both = np.stack([one, two])
+    both ^= both >> np.uint32(15)
+    both *= _MIX_2
+    return both
 
 
 def _steps(code: Code, ids: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Logits without context, slots (per higher order), bits, and code lengths of some tokens."""
     lengths = code.lengths[ids]
     at = np.repeat(code.starts[ids] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
-    places = code.places[at]
-    slots = np.stack([_slot((np.repeat(context, lengths) ^ places) * _MIX) for context in contexts])
-    return code.logits[at], slots, code.bits[at], lengths
+    places = code.places.take(at)
+    slots = np.empty((len(contexts), len(at)), dtype=np.intp)
+    for own, context in zip(slots, contexts, strict=True):
+        # Both are mixed already: the high bits of their sum are a hash of the pair.
+        mixed = np.repeat(context, lengths)
+        mixed += places
+        mixed >>= np.uint32(32 - SLOT_BITS)
+        own[:] = mixed
+    places &= np.uint32(1)
+    return code.logits.take(at), slots, places.astype(np.uint8), lengths
 
 
 def _byte_steps(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -199,26 +218,71 @@ def _byte_steps(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 def _encoded(code: Code, found: list[bytes]) -> np.ndarray:
     """Symbols of a text's words, and the end."""
     found.append(END)
-    return np.fromiter(map(code.index.__getitem__, found), dtype=np.int64, count=len(found))
+    return np.fromiter(map(code.index.__getitem__, found), dtype=np.int32, count=len(found))
+
+
+ENCODED_SCHEMA = "doc_id long, held_out boolean, chunk long, nth long, ids binary, n_bytes long, rare array<binary>, times array<long>"
+
+
+def encoded(documents: DataFrame, code: Code) -> DataFrame:
+    """Per document its symbols (32-bit integers as bytes) and its words outside the vocabulary with their counts.
+
+    Texts are read and cut into words here only; the result is stored. ``chunk`` and ``nth`` together
+    name a row, also where ids repeat or are NULL.
+    """
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chunk = secrets.randbits(62)
+            for start in range(0, batch.num_rows, DOCUMENTS_AT_ONCE):
+                part = slice(start, start + DOCUMENTS_AT_ONCE)
+                ids, rare, sizes = [], [], []
+                for text in _texts(batch.column(2)[part]):
+                    found = tokens(text)
+                    own = _encoded(code, found)
+                    ids.append(own.tobytes())
+                    rare.append(Counter(found[i] for i in np.flatnonzero(own == code.index.escape)))
+                    sizes.append(len((text or "").encode("utf-8", "surrogatepass")))
+                columns = [
+                    batch.column(0)[part], batch.column(1)[part], pa.array(np.full(len(ids), chunk)), pa.array(np.arange(start, start + len(ids))),
+                    pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()),
+                    pa.array([list(c.keys()) for c in rare], pa.list_(pa.binary())), pa.array([list(c.values()) for c in rare], pa.list_(pa.int64())),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = ["doc_id", "held_out", "chunk", "nth", "ids", "n_bytes", "rare", "times"]
+    held_out = remainder(F.col("doc_id"), DIVISOR) == HELD_OUT
+    rows = documents.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), "text")
+    return stored(rows.mapInArrow(encode, ENCODED_SCHEMA), "encoded")
+
 
+def _symbols(column: pa.Array) -> Iterator[np.ndarray]:
+    """The symbols of documents one by one, without a copy."""
+    return (np.frombuffer(value.as_buffer(), dtype=np.int32) for value in column)
 
-def _coded(code: Code, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Logits without context, slots and bits of all tokens of the texts, about TOKENS_AT_ONCE at a time."""
+
+def _coded(code: Code, documents: Iterable[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Logits without context, slots and bits of all tokens of the documents, about TOKENS_AT_ONCE at a time."""
 
     def steps() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return _steps(code, np.concatenate(ids), np.concatenate(contexts, axis=1))[:3]
-
-    ids, contexts, held = [], [], 0
-    for text in texts:
-        whole = _encoded(code, tokens(text))
-        around = _contexts(whole, np.zeros(1, dtype=np.int64))
-        for start in range(0, len(whole), TOKENS_AT_ONCE):
-            ids.append(whole[start : start + TOKENS_AT_ONCE])
-            contexts.append(around[:, start : start + TOKENS_AT_ONCE])
-            held += len(ids[-1])
-            if held >= TOKENS_AT_ONCE:
-                yield steps()
-                ids, contexts, held = [], [], 0
+        whole = np.concatenate(ids)
+        sizes = np.asarray([len(own) for own in ids])
+        contexts = _contexts(whole, np.cumsum(sizes) - sizes)
+        return _steps(code, whole, contexts)[:3]
+
+    ids, held = [], 0
+    for whole in documents:
+        if len(whole) > TOKENS_AT_ONCE:
+            contexts = _contexts(whole, np.zeros(1, dtype=np.int64))
+            for start in range(0, len(whole), TOKENS_AT_ONCE):
+                part = slice(start, start + TOKENS_AT_ONCE)
+                yield _steps(code, whole[part], contexts[:, part])[:3]
+            continue
+        ids.append(whole)
+        held += len(whole)
+        if held >= TOKENS_AT_ONCE:
+            yield steps()
+            ids, held = [], 0
     if held:
         yield steps()
 
@@ -228,34 +292,48 @@ def _add(tables: np.ndarray, slots: np.ndarray, bits: np.ndarray) -> None:
         table += np.bincount(own * 2 + bits, minlength=2 * SLOTS)
 
 
-def _table_rows(tables: np.ndarray) -> pa.RecordBatch:
-    flat = tables.reshape(-1, 2)
-    used = np.flatnonzero(flat.any(axis=1))
-    return pa.RecordBatch.from_arrays([pa.array(used), pa.array(flat[used, 0]), pa.array(flat[used, 1])], ["slot", "zeros", "ones"])
+TABLE_SCHEMA = "piece long, counts binary"
 
 
-def _summed(rows: DataFrame, orders: int) -> np.ndarray:
-    """Counts (order, slot, bit) of all tasks; orders * SLOTS rows reach the driver at most."""
-    got = rows.groupBy("slot").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")).toArrow()
-    tables = np.zeros((orders * SLOTS, 2), dtype=np.float32)
-    tables[got.column("slot").to_numpy()] = np.stack([got.column(c).to_numpy() for c in ("zeros", "ones")], axis=1)
-    return tables.reshape(orders, SLOTS, 2)
+def _table_rows(pieces: Iterable[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    numbers, counts = zip(*pieces, strict=True) if (pieces := list(pieces)) else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array([c.tobytes() for c in counts], pa.binary())], ["piece", "counts"])
+
+
+def _pieces(tables: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The pieces of a task's tables that hold any count, with their numbers."""
+    return ((i, piece) for i, piece in enumerate(tables.reshape(-1, PIECE)) if piece.any())
 
 
-TABLE_SCHEMA = "slot long, zeros long, ones long"
+def _summed(rows: DataFrame, orders: int) -> np.ndarray:
+    """Counts (order, slot, bit) of all tasks; the tables' fixed size reaches the driver at most."""
 
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for number, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = held.setdefault(number, np.zeros(PIECE, dtype=np.int64))
+                own += np.frombuffer(counts.as_buffer(), dtype=np.int64)
+        yield _table_rows(held.items())
+
+    got = rows.repartition("piece").mapInArrow(add, TABLE_SCHEMA).toArrow()
+    tables = np.zeros((orders * SLOTS * 2 // PIECE, PIECE), dtype=np.float32)
+    for number, counts in zip(got.column("piece").to_pylist(), got.column("counts").to_pylist(), strict=True):
+        tables[number] = np.frombuffer(counts, dtype=np.int64)
+    return tables.reshape(orders, SLOTS, 2)
 
-def token_tables(documents: DataFrame, code: Code) -> np.ndarray:
-    """Counts of the two higher orders; those without context follow from the code."""
+
+def token_tables(learned: DataFrame, code: Code) -> np.ndarray:
+    """Counts of the two higher orders over encoded documents; those without context follow from the code."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = np.zeros((ORDERS - 1, 2 * SLOTS), dtype=np.int64)
         for batch in batches:
-            for _, slots, bits in _coded(code, _texts(batch.column(0))):
+            for _, slots, bits in _coded(code, _symbols(batch.column(0))):
                 _add(tables, slots, bits)
-        yield _table_rows(tables)
+        yield _table_rows(_pieces(tables))
 
-    return _summed(documents.select("text").mapInArrow(count, TABLE_SCHEMA), ORDERS - 1)
+    return _summed(learned.select("ids").mapInArrow(count, TABLE_SCHEMA), ORDERS - 1)
 
 
 def byte_tables(counts: DataFrame) -> np.ndarray:
@@ -267,7 +345,7 @@ def byte_tables(counts: DataFrame) -> np.ndarray:
             words = batch.column(0).to_pylist()
             for start in range(0, len(words), 8192):
                 _add(tables, *_byte_steps(words[start : start + 8192])[:2])
-        yield _table_rows(tables)
+        yield _table_rows(_pieces(tables))
 
     return _summed(counts.filter(F.col("word") != END).select("word").mapInArrow(count, TABLE_SCHEMA), ORDERS)
 
@@ -280,11 +358,13 @@ class Predictors:
         self.logits = np.log((ones + 0.4) / (zeros + 0.4)).astype(np.float32)
         # The last two orders choose the gate: their levels are kept as digits of its number.
         digits = np.searchsorted(LEVEL_STARTS, zeros + ones, side="right")[-2:]
-        self.gates = (digits * np.array([[LEVELS], [1]])).astype(np.int16)
+        self.gates = (digits * np.array([[LEVELS], [1]])).astype(np.int8)
 
     def look(self, slots: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         logits = [table.take(own) for table, own in zip(self.logits, slots, strict=True)]
-        return logits, self.gates[0].take(slots[-2]) + self.gates[1].take(slots[-1])
+        gates = self.gates[0].take(slots[-2])
+        gates += self.gates[1].take(slots[-1])
+        return logits, gates.astype(np.intp)
 
 
 def _without_own(tables: np.ndarray) -> Predictors:
@@ -299,9 +379,13 @@ def start_weights() -> np.ndarray:
 
 def _weighed(weights: np.ndarray, gates: np.ndarray, logits: list[np.ndarray]) -> np.ndarray:
     """The mixture of the logits by the weights of the gates."""
-    total = weights[:, 0].take(gates) * logits[0]
-    for k, x in enumerate(logits[1:], start=1):
-        total += weights[:, k].take(gates) * x
+    columns = np.ascontiguousarray(weights.T)
+    total = columns[0].take(gates)
+    total *= logits[0]
+    for column, x in zip(columns[1:], logits[1:], strict=True):
+        own = column.take(gates)
+        own *= x
+        total += own
     return total
 
 
@@ -310,18 +394,23 @@ def _outcome(mixed: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarra
     sign = bits.astype(np.float32)
     sign *= 2
     sign -= 1
-    odds = np.exp(-np.clip(mixed * sign, -20.0, 20.0))
+    odds = mixed * sign
+    np.clip(odds, -20.0, 20.0, out=odds)
+    np.negative(odds, out=odds)
+    np.exp(odds, out=odds)
     whole = 1 + odds
-    sign *= odds / whole
-    return np.log(whole), sign
+    odds /= whole
+    sign *= odds
+    return np.log(whole, out=whole), sign
 
 
-def _fit(weights: np.ndarray, logits: list[np.ndarray], gates: np.ndarray, bits: np.ndarray) -> None:
-    """One step of all sets along their mean gradient."""
+def _fit(weights: np.ndarray, logits: list[np.ndarray], gates: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """One step of all sets along their mean gradient; returns how often each set was used."""
     _, error = _outcome(_weighed(weights, gates, logits), bits)
-    n = np.bincount(gates, minlength=GATES) + 200.0
+    seen = np.bincount(gates, minlength=GATES)
     for k, x in enumerate(logits):
-        weights[:, k] += RATE * np.bincount(gates, weights=error * x, minlength=GATES) / n
+        weights[:, k] += RATE * np.bincount(gates, weights=error * x, minlength=GATES) / (seen + 200.0)
+    return seen
 
 
 WEIGHT_SCHEMA = "weights array<double>, seen array<double>"
@@ -341,19 +430,20 @@ def _averaged(fits: DataFrame) -> np.ndarray:
     return np.where(total > 0, mean, start_weights()).astype(np.float32)
 
 
-def gate_weights(documents: DataFrame, code: Code, tables: np.ndarray) -> np.ndarray:
-    """Weights that documents start with: each task fits the documents it has, the driver averages."""
+def gate_weights(learned: DataFrame, code: Code, tables: np.ndarray) -> np.ndarray:
+    """Weights that documents start with: each task fits the encoded documents it has, the driver averages."""
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, seen, left = start_weights(), np.zeros(GATES), _without_own(tables)
         for batch in batches:
-            for plain, slots, bits in _coded(code, _texts(batch.column(0))):
-                logits, gates = left.look(slots * 2 + bits)
-                _fit(weights, [plain, *logits], gates, bits)
-                seen += np.bincount(gates, minlength=GATES)
+            for plain, slots, bits in _coded(code, _symbols(batch.column(0))):
+                slots *= 2
+                slots += bits
+                logits, gates = left.look(slots)
+                seen += _fit(weights, [plain, *logits], gates, bits)
         yield _weight_rows(weights, seen)
 
-    return _averaged(documents.select("text").mapInArrow(fit, WEIGHT_SCHEMA))
+    return _averaged(learned.select("ids").mapInArrow(fit, WEIGHT_SCHEMA))
 
 
 def byte_weights(counts: DataFrame, tables: np.ndarray) -> np.ndarray:
@@ -366,8 +456,7 @@ def byte_weights(counts: DataFrame, tables: np.ndarray) -> np.ndarray:
             for start in range(0, len(words), 500):
                 slots, bits, _ = _byte_steps(words[start : start + 500])
                 logits, gates = left.look(slots * 2 + bits)
-                _fit(weights, logits, gates, bits)
-                seen += np.bincount(gates, minlength=GATES)
+                seen += _fit(weights, logits, gates, bits)
         yield _weight_rows(weights, seen)
 
     return _averaged(counts.filter(F.col("word") != END).select("word").mapInArrow(fit, WEIGHT_SCHEMA))
@@ -427,17 +516,27 @@ class Model:
         return out
 
 
-def train(documents: DataFrame, counts: DataFrame) -> Model:
-    """A model of all training documents; ``counts`` are their word counts."""
-    learned = documents.filter(remainder(F.col("doc_id"), DIVISOR) != HELD_OUT)
+def word_code(counts: DataFrame) -> tuple[Code, int, int]:
+    """The shared code of a corpus with these word counts, the number of its tokens and of its words."""
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
     frequent = frequent_words(counts)
     code = Code(frequent, totals["total"] - sum(frequent.values()))
-    code.share(documents.sparkSession)
+    code.share(counts.sparkSession)
+    return code, totals["total"], totals["distinct"]
+
+
+def train(documents: DataFrame, counts: DataFrame) -> Model:
+    """A model of all training documents; ``counts`` are their word counts."""
+    code, total, distinct = word_code(counts)
+    return _trained(encoded(documents, code), counts, code, total, distinct)
+
+
+def _trained(rows: DataFrame, counts: DataFrame, code: Code, total: int, distinct: int) -> Model:
+    learned = rows.filter(~F.col("held_out"))
     tables = token_tables(learned, code)
     gates = gate_weights(learned, code, tables)
     spelling = byte_tables(counts)
-    return Model(code, Predictors(tables), gates, Predictors(spelling), byte_weights(counts, spelling), totals["total"], totals["distinct"])
+    return Model(code, Predictors(tables), gates, Predictors(spelling), byte_weights(counts, spelling), total, distinct)
 
 
 def mixed_scores(documents: DataFrame) -> DataFrame:
@@ -448,48 +547,44 @@ def mixed_scores(documents: DataFrame) -> DataFrame:
     """
     learned = documents.filter(remainder(F.col("doc_id"), DIVISOR) != HELD_OUT)
     counts = stored(word_counts(learned), "word-counts")
-    model = train(documents, counts)
+    code, total, distinct = word_code(counts)
+    rows = encoded(documents, code)
+    model = _trained(rows, counts, code, total, distinct)
     unit = model.total + 0.5 * (model.distinct + 1)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, float] = {}
         code, base = model.code, np.log10((model.code.counts + 0.5) / unit)
         for batch in batches:
-            chunk = secrets.randbits(62)
             for start in range(0, batch.num_rows, DOCUMENTS_AT_ONCE):
-                texts = batch.column(2)[start : start + DOCUMENTS_AT_ONCE].to_pylist()
-                found = [tokens(t) for t in texts]
-                ids = [_encoded(code, words) for words in found]
-                rare = [Counter(words[i] for i in np.flatnonzero(own == code.index.escape)) for words, own in zip(found, ids, strict=True)]
+                part = batch.slice(start, DOCUMENTS_AT_ONCE)
+                ids = list(_symbols(part.column("ids")))
+                rare = [dict(zip(w, n, strict=True)) for w, n in zip(part.column("rare").to_pylist(), part.column("times").to_pylist(), strict=True)]
                 losses = model.spelled([w for c in rare for w in c], cache)
                 sizes = np.asarray([len(i) for i in ids])
                 flat, begins = np.concatenate(ids), np.cumsum(sizes) - sizes
                 coded = model.scores(flat, begins)
                 spelled = np.asarray([sum(losses[w] * n for w, n in c.items()) for c in rare])
                 known = flat != code.index.escape
-                part = slice(start, start + DOCUMENTS_AT_ONCE)
-                n_bytes = [len((t or "").encode("utf-8", "surrogatepass")) for t in texts]
                 columns = [
-                    batch.column(0)[part], batch.column(1)[part], pa.array(np.full(len(ids), chunk)), pa.array(np.arange(start, start + len(ids))),
+                    *(part.column(c) for c in names[:4]),
                     pa.array(sizes), pa.array(np.add.reduceat((known & (code.counts[flat] > 0)).astype(np.int64), begins)),
-                    pa.array(np.add.reduceat(np.where(known, base[flat], 0.0), begins)), pa.array((coded + spelled) / LOG10), pa.array(n_bytes, pa.int64()),
-                    pa.array([list(c.keys()) for c in rare], pa.list_(pa.binary())), pa.array([list(c.values()) for c in rare], pa.list_(pa.int64())),
+                    pa.array(np.add.reduceat(np.where(known, base[flat], 0.0), begins)), pa.array((coded + spelled) / LOG10), part.column("n_bytes"),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["doc_id", "held_out", "chunk", "nth", "n_tokens", "n_common", "base_common", "score", "n_bytes", "rare", "times"]
-    schema = "doc_id long, held_out boolean, chunk long, nth long, n_tokens long, n_common long, base_common double, score double, n_bytes long, rare array<binary>, times array<long>"
-    rows = documents.select(F.col("doc_id").cast("long"), (remainder(F.col("doc_id"), DIVISOR) == HELD_OUT).alias("held_out"), "text")
+    names = ["doc_id", "held_out", "chunk", "nth", "n_tokens", "n_common", "base_common", "score", "n_bytes"]
+    schema = "doc_id long, held_out boolean, chunk long, nth long, n_tokens long, n_common long, base_common double, score double, n_bytes long"
     scored = stored(rows.mapInArrow(score, schema), "scored")
 
     # Words outside the vocabulary get their exact counts from the table of all words.
-    rare = scored.select("chunk", "nth", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("chunk", "nth", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
+    rare = rows.select("chunk", "nth", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("chunk", "nth", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))
     counted = rare.join(counts, "word", "left")
     n = F.coalesce("n", F.lit(0))
     added = counted.groupBy("chunk", "nth").agg(
         F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("n_rare"), F.sum(F.col("times") * F.log10((n + 0.5) / F.lit(float(unit)))).alias("base_rare")
     )
-    full = scored.drop("rare", "times").join(stored(added, "rare-words"), ["chunk", "nth"], "left")
+    full = scored.join(stored(added, "rare-words"), ["chunk", "nth"], "left")
     bits = -F.col("score") * float(np.log2(10.0))
     return full.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_common") + F.coalesce("n_rare", F.lit(0))).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),
