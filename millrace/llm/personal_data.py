@@ -144,12 +144,16 @@ def found_spans(text: Column, min_score: float = MIN_SCORE) -> Column:
 
         def scored(s: Column) -> Column:
             before = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
-            near = F.lower(F.substring(t, (before + 1).cast("int"), (s["start"] - before).cast("int")))
+            around = F.substring(t, (before + 1).cast("int"), (s["end"] + CONTEXT_CHARS - before).cast("int"))
+            # What stands on the two sides is not one phrase.
+            left = F.substring(around, F.lit(1), (s["start"] - before).cast("int"))
+            right = F.substring(around, (s["end"] - before + 1).cast("int"), F.lit(CONTEXT_CHARS))
+            near = F.lower(F.concat(left, F.lit("|"), right))
             score = F.lit(0.0)
             for rank, kind in reversed(list(enumerate(KINDS))):
                 supported = PRIOR[kind] + F.when(near.rlike(CONTEXT[kind]), CONTEXT_GAIN).otherwise(0.0)
                 score = F.when(s["rank"] == rank, F.least(supported, F.lit(1.0))).otherwise(score)
-            value = F.substring(t, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
+            value = F.substring(around, (s["start"] - before + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
             return F.struct(s["start"], s["rank"], s["end"], value.alias("value"), score.alias("score"))
 
         every = F.array_sort(F.transform(proposals, scored))
@@ -169,17 +173,21 @@ def personal_data(documents: DataFrame, text: str = "text", min_score: float = M
 
 
 def span_digests(found: DataFrame) -> DataFrame:
-    """Counts of the base kinds, the SHA-256 of the base spans and the list of all spans."""
+    """Counts of the base kinds, the SHA-256 of the base spans, the list of all spans and their scores in its order."""
     base = F.filter("found", lambda s: s["rank"] < len(BASE))
     ranks = F.transform("found", lambda s: s["rank"])
     counts = [
         (F.size(ranks) - F.size(F.array_remove(ranks, rank))).cast("bigint").alias(f"n_{kind}") for rank, kind in enumerate(BASE)
     ]
-    return found.select("doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("found")).alias("spans"))
+    scores = F.transform("found", lambda s: F.round(s["score"], 2))
+    return found.select("doc_id", *counts, F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("found")).alias("spans"), scores.alias("scores"))
 
 
 def redacted(text: Column, min_score: float = MIN_SCORE) -> Column:
-    """The text with each span, or run of overlapping spans, replaced by the kind of its first in brackets."""
+    """The text with each span, or run of overlapping spans, replaced by the kind of its first in brackets.
+
+    NULL stays NULL, and a text without spans, as an empty one, stays as it is. Each row is judged by itself.
+    """
     marks = F.array(*[F.lit(f"[{kind.upper()}]") for kind in KINDS])
 
     def cut(t: Column, spans: Column) -> Column:

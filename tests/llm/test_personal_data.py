@@ -101,3 +101,26 @@ def test_awkward_rows(awkward, no_documents):
     assert len(out) == len(rows) and all(r["spans"] == "" for r in out)
     assert {r["base_sha256"] for r in out} == {hashlib.sha256(b"").hexdigest()}
     assert span_digests(personal_data(no_documents)).count() == 0
+
+
+def test_context_on_both_sides_and_scores(spark):
+    far = "x" * 41
+    rows = [
+        (0, "123-45-6789 (SSN)"),
+        (1, f"123-45-6789 {far} ssn"),
+        (2, "so 123-45-6789 cial security"),
+        (3, "😀 mail a@b.com"),
+        (4, "a@b.com"),
+        (5, None),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in span_digests(personal_data(df)).collect()}
+    assert got[0]["spans"] == "ssn:0:11" and got[0]["scores"][0] >= 0.5
+    assert got[1]["spans"] == got[2]["spans"] == got[5]["spans"] == "" and got[5]["scores"] == []
+    assert got[3]["spans"] == "email:7:14"
+    assert (got[3]["scores"], got[4]["scores"]) == ([1.0], [0.9])
+    assert redact(spark, "123-45-6789 (SSN)") == "[SSN] (SSN)"
+
+
+def redact(spark, text):
+    return spark.createDataFrame([(text,)], "t string").select(redacted(F.col("t"))).first()[0]
