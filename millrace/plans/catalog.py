@@ -525,6 +525,21 @@ def retained_days(spark, sf_dir):
     return kept.groupBy("day").agg(F.count("*").alias("n"))
 
 
+@query
+def retained_by_creation(spark, sf_dir):
+    """Lines shipped on two days; what an outage and slow containers delay comes on the second."""
+    path, registry = scratch(spark, "shipped"), scratch(spark, "created")
+    lines = _collected(spark, sf_dir)
+    outage = F.col("ts").between(*[F.lit(t).cast("timestamp_ntz") for t in inputs.OUTAGE])
+    slow = F.col("container_id").cast("long") % 2 == 0
+    at_once = F.coalesce((F.col("ts") < F.lit(inputs.FIRST_SHIPPED).cast("timestamp_ntz")) & ~outage & ~slow, F.lit(False))
+    container_logs.ship_daily(lines.filter(at_once), path, registry, inputs.FIRST_SHIPPED)
+    container_logs.ship_daily(lines.filter(~at_once), path, registry, inputs.SECOND_SHIPPED)
+    tables.drop_by_creation(spark, path, registry, "day", inputs.SECOND_SHIPPED)
+    kept = spark.read.schema("container_id string, message string, stream string, ts timestamp_ntz, day string").parquet(path)
+    return kept.groupBy("day").agg(F.count("*").alias("n"))
+
+
 @query
 def shipped_logs(spark, sf_dir):
     root = scratch(spark, "containers")

@@ -380,6 +380,11 @@ ORACLE: dict[str, str] = {
     "log_day_counts": f"WITH {LOGS} SELECT strftime(ts, '%Y.%m.%d') AS day, count(*) AS n FROM named WHERE enabled = 'true' GROUP BY 1",
     "retained_days": f"""WITH {LOGS} SELECT strftime(ts, '%Y.%m.%d') AS day, count(*) AS n FROM named
         WHERE enabled = 'true' AND (ts IS NULL OR CAST(ts AS DATE) > DATE '2024-01-31' - 7) GROUP BY 1""",
+    "retained_by_creation": f"""WITH {LOGS}, dated AS (
+          SELECT strftime(ts, '%Y.%m.%d') AS day, coalesce(ts < TIMESTAMP '2024-01-20' AND container_id::BIGINT % 2 <> 0
+            AND NOT ts BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-12', false) AS at_once
+          FROM named WHERE enabled = 'true')
+        SELECT day, count(*) AS n FROM dated WHERE day IS NULL OR day NOT IN (SELECT day FROM dated WHERE at_once) GROUP BY 1""",
     "phrase_search": """SELECT count(*) AS n FROM events
         WHERE regexp_matches(event_type || ' log line ' || event_id, '(?i)(^|[^a-z0-9_])click log line([^a-z0-9_]|$)')""",
     "phrase_counts": f"""

@@ -12,7 +12,7 @@ from millrace.operators.lines import LINE_SCHEMA, SOURCE, join_parts
 from millrace.operators.logs import log_day
 from millrace.sources import files
 from millrace.sources.keyed import write_batch
-from millrace.sources.tables import write_partitioned
+from millrace.sources.tables import note_partitions, write_partitioned
 
 # The fields of a container runtime's JSON log line.
 LINE_FIELDS = "log string, stream string, time string"
@@ -123,3 +123,12 @@ def read_joined(spark: SparkSession, path: str) -> DataFrame:
 def write_daily(lines: DataFrame, path: str, mode: str = "append") -> None:
     """Route lines to daily partitions named yyyy.MM.dd after their own time."""
     write_partitioned(lines.withColumn("day", log_day(F.col("ts"))), path, "day", mode)
+
+
+def ship_daily(lines: DataFrame, path: str, registry: str, as_of: str) -> list[str]:
+    """Add lines to their daily partitions on the day ``as_of``; returns the partitions this creates.
+
+    ``tables.drop_by_creation`` counts the age of a partition from that day.
+    """
+    write_daily(lines, path)
+    return note_partitions(lines.sparkSession, path, registry, "day", as_of)

@@ -183,6 +183,40 @@ def drop_expired_days(spark: SparkSession, path: str, as_of: str, days: int = 7)
     return old
 
 
+def note_partitions(spark: SparkSession, path: str, registry: str, by: str, as_of: str) -> list[str]:
+    """Enter the partitions that ``registry`` does not know yet, as created on the day ``as_of``; returns them.
+
+    Call it after each write. A partition that was entered keeps its day, whatever is added to it
+    later, and repeating the call changes nothing. One that was missed, as after a crash, is entered
+    by the next call.
+    """
+    files.make_folder(spark, registry)
+    known = set(files.partition_values(spark, registry, by))
+    new = [value for value in files.partition_values(spark, path, by) if value not in known]
+    if new:
+        rows = spark.createDataFrame([(None if value == files.NO_VALUE else value,) for value in new], f"{by} string")
+        entered = rows.withColumn("created", F.to_date(F.lit(as_of)))
+        entered.write.mode("append").partitionBy(by).parquet(registry)
+    return new
+
+
+def drop_by_creation(spark: SparkSession, path: str, registry: str, by: str, as_of: str, days: int = 7) -> list[str | None]:
+    """Drop partitions first written ``days`` ago or earlier at ``as_of``; returns them, that of no value as None.
+
+    Age counts from the first write, so names say nothing: an old day written today stays, and rows
+    without a day age like others. A dropped partition is forgotten first and has a new age when it is
+    written again; a crash in between leaves it in the table until it is entered and old once more.
+    """
+    created = spark.read.schema(f"created date, {by} string").parquet(registry)
+    first = created.groupBy(by).agg(F.min("created").alias("created"))
+    # At most one row per partition folder.
+    old = [row[by] for row in first.filter(F.col("created") <= F.date_sub(F.to_date(F.lit(as_of)), days)).collect()]
+    for value in old:
+        files.drop_partition(spark, registry, by, value)
+        files.drop_partition(spark, path, by, value)
+    return sorted(old, key=lambda value: (value is None, value))
+
+
 def compact_partition(spark: SparkSession, path: str, by: str, value: str, file_bytes: int = 256 << 20) -> int:
     """Rewrite one partition into files of about ``file_bytes``; returns the number of files asked for.
 

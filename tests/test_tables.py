@@ -221,3 +221,25 @@ def test_a_batch_that_became_empty_leaves_nothing(spark, folder):
     keyed.write_batch(rows, path, 1)
     keyed.write_batch(rows.filter("k > 1"), path, 1)
     assert keyed.files.partition_values(spark, path, "batch_id") == ["0"]
+
+
+def test_retention_by_creation_counts_from_the_first_write(spark, folder):
+    path, registry = folder("shipped"), folder("created")
+
+    def ship(days, as_of):
+        rows = spark.createDataFrame([(day, "x") for day in days], "day string, message string")
+        tables.write_partitioned(rows, path, "day", "append")
+        return tables.note_partitions(spark, path, registry, "day", as_of)
+
+    assert ship(["2024.01.01", "2024.01.20", None], "2024-01-20") == ["2024.01.01", "2024.01.20", files.NO_VALUE]
+    assert tables.note_partitions(spark, path, registry, "day", "2024-01-21") == []
+    # An old day written late is new; a day that gains rows keeps its age.
+    assert ship(["2024.01.02", "2024.01.20"], "2024-01-27") == ["2024.01.02"]
+    assert tables.drop_by_creation(spark, path, registry, "day", "2024-01-26") == []
+    assert tables.drop_by_creation(spark, path, registry, "day", "2024-01-27") == ["2024.01.01", "2024.01.20", None]
+    assert files.partition_values(spark, path, "day") == ["2024.01.02"] == files.partition_values(spark, registry, "day")
+    # A dropped day that is written again has a new age.
+    assert ship(["2024.01.20"], "2024-01-30") == ["2024.01.20"]
+    assert tables.drop_by_creation(spark, path, registry, "day", "2024-02-03") == ["2024.01.02"]
+    # Negative control: by its name that day would go too.
+    assert tables.drop_expired_days(spark, path, "2024-02-03") == ["2024.01.20"]
