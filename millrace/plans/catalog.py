@@ -5,12 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import lookup_key, product_name, product_price
-from millrace.operators import decode, fence, logs, lookup, merge, replay, revenue, routing, ttl
+from millrace.operators import decode, fence, logs, lookup, merge, phrases, replay, revenue, routing, ttl
 from millrace.plans import inputs
 from millrace.plans.handlers import ORDER_RULES
 from millrace.plans.replayed import replay as replay_slices
@@ -580,6 +581,21 @@ def phrase_search(spark, sf_dir):
     return logs.phrase_count(inputs.log_lines(spark, sf_dir), "CLICK log-line")
 
 
+@query
+def indexed_phrase_search(spark, sf_dir):
+    """The lines that hold each of three phrases, from an index of all lines that two batches build."""
+    path = scratch(spark, "phrase-index")
+    event_id = F.regexp_extract("message", "[0-9]+$", 0).cast("long")
+    lines = inputs.log_lines(spark, sf_dir).withColumn("event_id", event_id)
+    for batch_id in (0, 1):
+        phrases.add_to_index(lines.filter(F.col("event_id") % 2 == batch_id), path, batch_id, "event_id")
+    found = [
+        phrases.search_index(spark, path, phrase).select(F.lit(phrase).alias("phrase"), F.col("doc").cast("long").alias("event_id"))
+        for phrase in inputs.LOG_PHRASES
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 # --- streams --------------------------------------------------------------------------------
 
 

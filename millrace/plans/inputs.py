@@ -15,6 +15,7 @@ from millrace.functions.text import token_runs, tokens
 from millrace.sources.tables import read_spread
 
 RETENTION_AS_OF = "2024-01-31"
+LOG_PHRASES = ("CLICK log-line", "Line 77", "log click")
 FIRST_SHIPPED, SECOND_SHIPPED = "2024-01-20", "2024-01-28"
 OUTAGE = ("2024-01-10 00:00:00", "2024-01-12 00:00:00")
 CACHE_TTL = timedelta(days=1)

@@ -385,6 +385,9 @@ ORACLE: dict[str, str] = {
             AND NOT ts BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-12', false) AS at_once
           FROM named WHERE enabled = 'true')
         SELECT day, count(*) AS n FROM dated WHERE day IS NULL OR day NOT IN (SELECT day FROM dated WHERE at_once) GROUP BY 1""",
+    "indexed_phrase_search": """
+        SELECT phrase, event_id FROM events, (VALUES ('CLICK log-line', 'click log line'), ('Line 77', 'line 77'), ('log click', 'log click')) AS p(phrase, words)
+        WHERE regexp_matches(event_type || ' log line ' || event_id, '(?i)(^|[^a-z0-9_])' || words || '([^a-z0-9_]|$)')""",
     "phrase_search": """SELECT count(*) AS n FROM events
         WHERE regexp_matches(event_type || ' log line ' || event_id, '(?i)(^|[^a-z0-9_])click log line([^a-z0-9_]|$)')""",
     "phrase_counts": f"""
