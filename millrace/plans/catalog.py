@@ -128,6 +128,13 @@ def contract_check(spark, sf_dir):
     return keyed.contract_violations(windows, keyed.REVENUE_SCHEMA).agg(F.count("*").alias("violations"))
 
 
+@query
+def contract_violations(spark, sf_dir):
+    """Windows of orders that nobody has judged; those without a product or any price break the contract."""
+    unjudged = _decoded(spark, sf_dir).withColumn("line_total", F.col("price") * F.col("quantity"))
+    return _plain_windows(keyed.contract_violations(revenue.revenue_by_window(unjudged, "1 hour"), keyed.REVENUE_SCHEMA))
+
+
 def _upserted(spark: SparkSession, sf_dir: str) -> str:
     """Hourly windows of four arrival batches, upserted in turn; the second batch is replayed."""
     path = scratch(spark, "upsert")

@@ -259,6 +259,9 @@ ORACLE: dict[str, str] = {
     "contract_check": f"""WITH {DECODED}, w AS ({_windows('hour')})
         SELECT count(*) AS violations FROM w
         WHERE window_start IS NULL OR window_end IS NULL OR product IS NULL OR orders_count IS NULL OR revenue IS NULL""",
+    "contract_violations": f"""WITH {DECODED},
+        w AS ({_windows('hour', '(SELECT * REPLACE (true AS is_valid) FROM decoded WHERE event_time IS NOT NULL)')})
+        SELECT * FROM w WHERE product IS NULL OR revenue IS NULL""",
     "upsert_latest": UPSERTED,
     "folded_windows": UPSERTED,
     "replayable_orders": f"""WITH {RAW}
