@@ -1,8 +1,8 @@
 """Licence scans by sentence rules.
 
 A text's sentences are normalised and mapped to identifiers of known licence sentences; then the
-sequence of identifiers is matched against ordered licence rules. Full licence texts, their usual
-notices, one-line grants and SPDX tags are known.
+sequence of identifiers is matched against ordered licence rules. Known are the usual notices, one-line
+grants, SPDX tags, and full licence texts by their titles or opening sentences.
 
 Only rows with a word that some known sentence needs go to Python; the rest never leave the JVM.
 The words are taken from the sentences: of each the longest word that it cannot do without.
@@ -39,22 +39,38 @@ SENTENCES = (
     ("apache-use", r"you may not use this file except in compliance with the licen[cs]e"),
     ("apache-copy", r"you may obtain a copy of the licen[cs]e at"),
     ("apache-law", r"unless required by applicable law or agreed to in writing software distributed under the licen[cs]e is distributed on an as is basis"),
+    ("gnu-fixed={1}={2}+", r"you can redistribute it and/or modify it under the terms of the gnu ((?:lesser |library |affero )?general) public licen[cs]e v(?:ersion)? ?([0-9](?:\.[0-9])?)(?: of the licen[cs]e)? or (?:at your option )?(?:any )?later"),
+    ("gnu-fixed={1}={2}", r"you can redistribute it and/or modify it under the terms of the gnu ((?:lesser |library |affero )?general) public licen[cs]e v(?:ersion)? ?([0-9](?:\.[0-9])?)"),
+    ("gnu-fixed={2}={1}", r"you can redistribute it and/or modify it under the terms of version ([0-9](?:\.[0-9])?) of the gnu ((?:lesser |library |affero )?general) public licen[cs]e"),
     ("gnu-free={1}", r"you can redistribute it and/or modify it under the terms of the gnu ((?:lesser |library |affero )?general) public licen[cs]e"),
-    ("gnu-version={1}+", r"either version ([0-9.]+) of the licen[cs]e or (?:at your option )?any later version"),
+    ("gnu-version={1}+", r"(?:either )?version ([0-9.]+) of the licen[cs]e or (?:at your option )?any later version"),
+    ("gnu-version={1}+", r"either version ([0-9.]+) or (?:at your option )?any later version"),
+    ("gnu-only={1}", r"version ([0-9.]+) of the licen[cs]e"),
     ("gnu-hope", r"distributed in the hope that it will be useful but without any warranty"),
     ("gnu-see", r"see the gnu (?:lesser |library |affero )?general public licen[cs]e for more details"),
     ("gnu-copy", r"you should have received a copy of the gnu"),
     ("gnu-line={1}={2}+", r"(?:licen[cs]ed|released|distributed|available)(?: is)? under(?: the terms of)? the gnu ((?:lesser |library |affero )?general) public licen[cs]e v(?:ersion)? ?([0-9](?:\.[0-9])?) or (?:at your option )?(?:any )?later"),
     ("gnu-line={1}={2}", r"(?:licen[cs]ed|released|distributed|available)(?: is)? under(?: the terms of)? the gnu ((?:lesser |library |affero )?general) public licen[cs]e v(?:ersion)? ?([0-9](?:\.[0-9])?)"),
+    ("gnu-title={1}={2}", r"gnu ((?:lesser |library |affero )?general) public licen[cs]e version ([0-9](?:\.[0-9])?) (?:[0-9]{1,2} )?(?:february|june|november) [0-9]{4}"),
+    ("gnu-verbatim", r"everyone is permitted to copy and distribute verbatim copies of this licen[cs]e document"),
+    ("gpl-short={1}={2}+", r"(?:licen[cs]ed|released|distributed|available) under(?: the)?(?: terms of the)? ([al]?)gpl[- ]?v?(?:ersion)? ?([0-9](?:\.[0-9])?)(?:\+|[- ]or[- ](?:any )?later)"),
+    ("gpl-short={1}={2}", r"(?:licen[cs]ed|released|distributed|available) under(?: the)?(?: terms of the)? ([al]?)gpl[- ]?v?(?:ersion)? ?([0-9](?:\.[0-9])?)"),
+    ("apache-title", r"apache licen[cs]e version 2\.0 january 2004"),
+    ("apache-terms", r"terms and conditions for use reproduction and distribution"),
     ("mpl-notice={1}", r"subject to the terms of the mozilla public licen[cs]e v(?:ersion)?\.? ?([0-9.]+)"),
     ("mpl-copy", r"if a copy of the mpl was not distributed with this file you can obtain one at"),
     ("epl-notice={1}", r"made available under the terms of the eclipse public licen[cs]e (?:- )?v(?:ersion)? ?([0-9.]+)"),
+    ("mpl-name={1}", r"mozilla public licen[cs]e v(?:ersion)?\.? ?([0-9]\.[0-9])"),
+    ("epl-name={1}", r"eclipse public licen[cs]e (?:- )?v(?:ersion)?\.? ?([0-9]\.[0-9])"),
     ("boost-line", r"distributed under the boost software licen[cs]e version 1\.0"),
+    ("boost-title", r"boost software licen[cs]e (?:- )?v(?:ersion)? ?1\.0"),
     ("unlicense", r"this is free and unencumbered software released into the public domain"),
     ("public-domain", r"(?:released|placed|dedicated) (?:in)?to the public domain"),
     ("cc0-line", r"(?:licen[cs]ed|released|dedicated|available) under(?: the)? (?:cc0|creative commons zero)"),
     ("cc-line={1}={2}", r"(?:licen[cs]ed|released|available|distributed) under(?: the| a)? cc[- ](by(?:-nc)?(?:-sa|-nd)?)[- ]([0-9]\.[0-9])"),
     ("cc-long={1}={2}", r"(?:licen[cs]ed|released|available|distributed) under(?: the| a)? creative commons (attribution(?:-?\s?noncommercial)?(?:-?\s?(?:sharealike|noderivatives|noderivs))?) ([0-9]\.[0-9])"),
+    ("cc-title={1}={2}", r"creative commons (attribution(?:-?\s?noncommercial)?(?:-?\s?(?:sharealike|noderivatives|noderivs))?) ([0-9]\.[0-9])"),
+    ("cc0-title", r"cc0 1\.0 universal"),
     ("short-line={1}", r"(?:licen[cs]ed|released|distributed|available) under(?: the)?(?: terms of the)? (mit|isc|zlib|bsd|apache|artistic|wtfpl|unlicense|x11|boost software|eclipse public|mozilla public) licen[cs]e"),
     ("bsd-line={1}", r"(?:licen[cs]ed|released|distributed|available) under(?: the)? (?:bsd[ -])?([234])-clause(?: bsd)?"),
     ("all-rights", r"copyright .{0,200}all rights reserved"),
@@ -77,26 +93,44 @@ RULES = (
     ("Apache-2.0", ("apache-notice", "apache-use", "apache-copy", "apache-law")),
     ("Apache-2.0", ("apache-notice", "apache-use", "apache-copy")),
     ("Apache-2.0", ("apache-notice",)),
-    ("{1}GPL-{2}", (r"gnu-free=(.*)general", r"gnu-version=(.+)", "gnu-hope", "gnu-see", "gnu-copy")),
-    ("{1}GPL-{2}", (r"gnu-free=(.*)general", r"gnu-version=(.+)")),
+    ("Apache-2.0", ("apache-title", "apache-terms")),
+    ("Apache-2.0", ("apache-title",)),
+    ("{1}GPL-{2}-or-later", (r"gnu-free=(.*)general", r"gnu-version=(.+)\+", "gnu-hope", "gnu-see", "gnu-copy")),
+    ("{1}GPL-{2}-or-later", (r"gnu-free=(.*)general", r"gnu-version=(.+)\+")),
+    ("{1}GPL-{2}-only", (r"gnu-free=(.*)general", r"gnu-only=(.+)", "gnu-hope", "gnu-see", "gnu-copy")),
+    ("{1}GPL-{2}-only", (r"gnu-free=(.*)general", r"gnu-only=(.+)")),
+    ("{1}GPL-{2}-or-later", (r"gnu-fixed=(.*)general=(.+)\+", "gnu-hope", "gnu-see", "gnu-copy")),
+    ("{1}GPL-{2}-or-later", (r"gnu-fixed=(.*)general=(.+)\+",)),
+    ("{1}GPL-{2}-only", (r"gnu-fixed=(.*)general=(.+)", "gnu-hope", "gnu-see", "gnu-copy")),
+    ("{1}GPL-{2}-only", (r"gnu-fixed=(.*)general=(.+)",)),
     ("{1}GPL", (r"gnu-free=(.*)general",)),
-    ("{1}GPL-{2}", (r"gnu-line=(.*)general=(.+)",)),
+    ("{1}GPL-{2}-or-later", (r"gnu-line=(.*)general=(.+)\+",)),
+    ("{1}GPL-{2}-only", (r"gnu-line=(.*)general=(.+)",)),
+    ("{1}GPL-{2}-or-later", (r"gpl-short=([al]?)=(.+)\+",)),
+    ("{1}GPL-{2}-only", (r"gpl-short=([al]?)=(.+)",)),
+    ("{1}GPL-{2}", (r"gnu-title=(.*)general=(.+)", "gnu-verbatim")),
+    ("{1}GPL-{2}", (r"gnu-title=(.*)general=(.+)",)),
     ("MPL-{1}", (r"mpl-notice=(.+)", "mpl-copy")),
     ("MPL-{1}", (r"mpl-notice=(.+)",)),
+    ("MPL-{1}", (r"mpl-name=(.+)",)),
     ("EPL-{1}", (r"epl-notice=(.+)",)),
+    ("EPL-{1}", (r"epl-name=(.+)",)),
     ("BSL-1.0", ("boost-line",)),
+    ("BSL-1.0", ("boost-title",)),
     ("Unlicense", ("unlicense",)),
     ("CC0-1.0", ("cc0-line",)),
+    ("CC0-1.0", ("cc0-title",)),
     ("CC-{1}-{2}", (r"cc-line=([^=]+)=(.+)",)),
     ("CC-{1}-{2}", (r"cc-long=([^=]+)=(.+)",)),
+    ("CC-{1}-{2}", (r"cc-title=([^=]+)=(.+)",)),
     ("{1}", (r"short-line=(.+)",)),
     ("BSD-{1}-Clause", (r"bsd-line=(.+)",)),
     ("public-domain", ("public-domain",)),
 )
 # Names of what a group matched.
 NAMES = {
-    "lesser ": "L", "library ": "L", "affero ": "A", "mit": "MIT", "isc": "ISC", "zlib": "Zlib", "bsd": "BSD", "apache": "Apache", "artistic": "Artistic",
-    "wtfpl": "WTFPL", "unlicense": "Unlicense", "x11": "X11", "boost software": "BSL", "eclipse public": "EPL", "mozilla public": "MPL",
+    "lesser ": "L", "library ": "L", "affero ": "A", "l": "L", "a": "A", "mit": "MIT", "isc": "ISC", "zlib": "Zlib", "bsd": "BSD", "apache": "Apache", "artistic": "Artistic",
+    "wtfpl": "WTFPL", "unlicense": "Unlicense", "x11": "X11", "boost software": "BSL-1.0", "eclipse public": "EPL", "mozilla public": "MPL",
 }
 # Sentences of no licence that may stand between two of a rule.
 GAP = 3
@@ -137,8 +171,8 @@ def _name(template: str, groups: list[str]) -> str:
             value = re.sub(r"[-\s]+", "-", value).upper()
         if template == "{1}" and value not in NAMES:
             return value.upper() if len(value) < 5 else value
-        if re.fullmatch(r"[0-9]\+?", value) and "GPL" in template:
-            value = value[0] + ".0" + ("-or-later" if value.endswith("+") else "-only")
+        if re.fullmatch(r"[0-9]", value) and "GPL" in template:
+            value += ".0"
         return NAMES.get(value, value)
 
     return re.sub(r"\{(\d)\}", named, template)

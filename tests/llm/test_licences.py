@@ -28,6 +28,21 @@ or (at your option) any later version.
 This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without more.
 See the GNU General Public License for more details."""
 
+# The openings of public licence texts.
+GPL_3_TEXT = """                    GNU GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+ Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>
+ Everyone is permitted to copy and distribute verbatim copies
+ of this license document, but changing it is not allowed.
+"""
+APACHE_TEXT = """                                 Apache License
+                           Version 2.0, January 2004
+                        http://www.apache.org/licenses/
+
+   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION
+"""
+
 
 @pytest.mark.parametrize(
     ("text", "names"),
@@ -41,12 +56,28 @@ See the GNU General Public License for more details."""
         ("prose without an end Released under the MIT License. More.", ["MIT"]),
         ("Licensed under the Apache License, Version 2.0.", ["Apache-2.0"]),
         ("This work is licensed under the GNU General Public License, version 3.", ["GPL-3.0-only"]),
-        ("Licensed under the GNU Lesser General Public License v2.1 or later.", ["LGPL-2.1+"]),
+        ("Licensed under the GNU Lesser General Public License v2.1 or later.", ["LGPL-2.1-or-later"]),
         ("Licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0"]),
         ("Available under a Creative Commons Attribution-ShareAlike 3.0 licence", ["CC-BY-SA-3.0"]),
         ("// SPDX-License-Identifier: mit", ["MIT"]),
         ("Copyright 2020 A. All rights reserved.", []),
         ("a driving license and a copyright", []),
+        (GPL.replace("as published", "version 2 as published").replace("either version 2 of the License,\nor (at your option) any later version.", ""), ["GPL-2.0-only"]),
+        (GPL.replace("the GNU\nGeneral", "version 3 of the GNU\nGeneral").split(";\n")[0], ["GPL-3.0-only"]),
+        (GPL.replace("either version 2 of the License,\nor (at your option) any later version", "version 2 of the License"), ["GPL-2.0-only"]),
+        (GPL.replace("either version 2 of the License,", "either version 3,"), ["GPL-3.0-or-later"]),
+        ("You can redistribute it and/or modify it under the terms of the GNU Lesser General Public License version 2.1 or later.", ["LGPL-2.1-or-later"]),
+        ("Released under AGPL-3.0-or-later.", ["AGPL-3.0-or-later"]),
+        ("Licensed under the GPLv2.", ["GPL-2.0-only"]),
+        ("Licensed under the Mozilla Public License, version 2.0.", ["MPL-2.0"]),
+        ("Licensed under the Boost Software License.", ["BSL-1.0"]),
+        (GPL_3_TEXT, ["GPL-3.0"]),
+        (GPL_3_TEXT.replace("GENERAL", "LESSER GENERAL"), ["LGPL-3.0"]),
+        (APACHE_TEXT, ["Apache-2.0"]),
+        ("Mozilla Public License Version 2.0\n==================================\n\n1. Definitions\n--------------\n", ["MPL-2.0"]),
+        ("Eclipse Public License - v 2.0\n\nTHE ACCOMPANYING PROGRAM", ["EPL-2.0"]),
+        ("Creative Commons Attribution-ShareAlike 4.0 International Public License", ["CC-BY-SA-4.0"]),
+        ("Creative Commons Legal Code\n\nCC0 1.0 Universal\n", ["CC0-1.0"]),
     ],
 )
 def test_notices(text, names):
@@ -97,6 +128,21 @@ ALONE = {
     "apache-copy": "You may obtain a copy of the License at example.",
     "apache-law": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS basis.",
     "gnu-free={1}": "You can redistribute it and/or modify it under the terms of the GNU General Public License.",
+    "gnu-fixed={1}={2}+": "You can redistribute it and/or modify it under the terms of the GNU General Public License v2 or later.",
+    "gnu-fixed={1}={2}": "You can redistribute it and/or modify it under the terms of the GNU General Public License version 2.",
+    "gnu-fixed={2}={1}": "You can redistribute it and/or modify it under the terms of version 2 of the GNU General Public License.",
+    "gnu-only={1}": "Version 2 of the License.",
+    "gnu-title={1}={2}": "GNU General Public License Version 2, June 1991",
+    "gnu-verbatim": "Everyone is permitted to copy and distribute verbatim copies of this license document.",
+    "gpl-short={1}={2}+": "Released under the LGPL v2.1 or later.",
+    "gpl-short={1}={2}": "Available under GPLv3.",
+    "apache-title": "Apache License Version 2.0, January 2004",
+    "apache-terms": "Terms and conditions for use, reproduction, and distribution",
+    "mpl-name={1}": "Mozilla Public License Version 2.0",
+    "epl-name={1}": "Eclipse Public License - v 2.0",
+    "boost-title": "Boost Software License - Version 1.0 - August 17th, 2003",
+    "cc-title={1}={2}": "Creative Commons Attribution 4.0 International",
+    "cc0-title": "CC0 1.0 Universal",
     "gnu-version={1}+": "Either version 2 of the License, or (at your option) any later version.",
     "gnu-hope": "Distributed in the hope that it will be useful, but without any warranty.",
     "gnu-see": "See the GNU General Public License for more details.",
