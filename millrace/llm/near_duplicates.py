@@ -44,6 +44,11 @@ VALUES, SIDE = 3, 14
 # Of the 2 * SIDE small keys, two sets with similarity 0.8 have 14 in common on average, and fewer
 # than this in less than one of 10,000 cases.
 ALIKE = 5
+# Bits of the filter for documents whose sets are compared (16 MB): up to some 30 million of them it
+# keeps most other texts out of the shuffle.
+MARKS = 1 << 27
+# Sizes are joined by bands, each that much wider than the one before.
+BAND = 1.02
 # Members of a family, about, whose majority is its consensus.
 FAMILY_SAMPLE = 32
 
@@ -123,6 +128,23 @@ def table_keys(classes: DataFrame) -> DataFrame:
     )
 
 
+def possibly_in(rows: DataFrame, columns: list[str], wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``columns`` are not in ``wanted``, before texts are shuffled.
+
+    A bit per hash of the wanted rows is set in bitmaps of MARKS bits in all, so what is broadcast has a
+    fixed size. No wanted row is lost; of the others the more pass, the more bits are set.
+    """
+    mark = F.pmod(F.xxhash64(*columns), F.lit(MARKS))
+    width = 8 * 4096  # bits of one of Spark's bitmaps
+    marked = wanted.select(mark.alias("mark")).select(F.floor(F.col("mark") / width).alias("map"), F.pmod("mark", F.lit(width)).alias("bit"))
+    maps = marked.repartition("map").groupBy("map").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    maps = stored(maps.select(F.col("map").alias("own_map"), "bits"), "marks")
+    bit = F.pmod(mark, F.lit(width)).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = rows.join(F.broadcast(maps), F.floor(mark / width) == F.col("own_map"))
+    return found.filter(F.getbit(byte, bit % 8) == 1).select(*rows.columns)
+
+
 def shingle_sets(documents: DataFrame, wanted: DataFrame, text: str = "text", width: int = SHINGLE) -> DataFrame:
     """set_key, ``own`` (its hashes as bytes) and ``small`` of the wanted classes, from one document each.
 
@@ -142,6 +164,7 @@ def shingle_sets(documents: DataFrame, wanted: DataFrame, text: str = "text", wi
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["set_key", "own", "small"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("content"))
+    rows = possibly_in(rows, ["doc_id", "text_key"], wanted.select(F.col("rep_id").alias("doc_id"), F.col("rep_text").alias("text_key")))
     same = rows["doc_id"].eqNullSafe(wanted["rep_id"]) & (rows["text_key"] == wanted["rep_text"])
     sets = rows.join(wanted, same).select("content", "set_key").mapInArrow(rebuild, "set_key binary, own binary, small array<tinyint>")
     # Repeated rows give the same set again.
@@ -185,6 +208,10 @@ def _linked(percent: int) -> Column:
     return F.col("common") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("common")) * percent
 
 
+def _band(size: Column) -> Column:
+    return F.floor(F.log(size) / float(np.log(BAND))).cast("int")
+
+
 def consensus(members: DataFrame, open_pivots: DataFrame, sets: DataFrame) -> DataFrame:
     """set_key (of the pivot b) and ``own``: the hashes that half of a sample of its members or more have."""
 
@@ -225,10 +252,11 @@ def unsettled_pairs(compared: DataFrame, roots: DataFrame, sets: DataFrame, perc
     least_size = F.ceil(F.col("size_a") * percent / 100).cast("long")
     most_size = F.least(F.floor(F.col("common") * (100 + percent) / percent) - F.col("size_a"), F.floor(F.col("size_a") * 100 / percent)).cast("long")
     apart = enough.filter((F.col("root") != F.col("pivot_root")) & (most_size >= least_size))
-    x = apart.select("b", F.explode(F.sequence(least_size, most_size)).alias("size_y"), F.col("a").alias("key_x"), F.col("root").alias("root_x"), F.col("size_a").alias("size_x"), F.col("common").alias("common_x"), F.col("small").alias("small_x"))
-    y = enough.select("b", F.col("size_a").alias("size_y"), F.col("a").alias("key_y"), F.col("root").alias("root_y"), F.col("common").alias("common_y"), F.col("small").alias("small_y"))
+    x = apart.select("b", F.explode(F.sequence(_band(least_size), _band(most_size))).alias("band"), least_size.alias("least_y"), most_size.alias("most_y"), F.col("a").alias("key_x"), F.col("root").alias("root_x"), F.col("size_a").alias("size_x"), F.col("common").alias("common_x"), F.col("small").alias("small_x"))
+    y = enough.select("b", _band(F.col("size_a")).alias("band"), F.col("size_a").alias("size_y"), F.col("a").alias("key_y"), F.col("root").alias("root_y"), F.col("common").alias("common_y"), F.col("small").alias("small_y"))
     suffices = F.least("common_x", "common_y") * (100 + percent) >= (F.col("size_x") + F.col("size_y")) * percent
-    inside = x.join(y, ["b", "size_y"]).filter((F.col("root_x") != F.col("root_y")) & suffices & alike).select("key_x", "key_y")
+    fits = F.col("size_y").between(F.col("least_y"), F.col("most_y"))
+    inside = x.join(y, ["b", "band"]).filter((F.col("root_x") != F.col("root_y")) & fits & suffices & alike).select("key_x", "key_y")
     return outside.unionByName(inside).select(F.least("key_x", "key_y").alias("a"), F.greatest("key_x", "key_y").alias("b")).distinct()
 
 

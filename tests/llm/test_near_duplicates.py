@@ -6,10 +6,12 @@ import re
 import numpy as np
 import parity
 import pytest
+from pyspark.sql import functions as F
 
+import millrace.llm.near_duplicates as near_duplicates_module
 from llm_rows import awkward, no_documents  # noqa: F401
 from millrace.llm.components import connected_components
-from millrace.llm.near_duplicates import _FACTORS, near_duplicates, representatives, shingles, small_keys
+from millrace.llm.near_duplicates import _FACTORS, near_duplicates, possibly_in, representatives, shingles, small_keys
 from millrace.llm.oracle import LLM_ORACLE
 from millrace.llm.queries import LLM_QUERIES
 
@@ -100,3 +102,14 @@ def test_awkward_rows(spark, awkward, no_documents):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([1, 2, 3, None, 5, 6, 7, 8, 9], key=str)
     rows = [r["text"] for r in representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     assert sorted(rows) == ["a b c d e f", "alone it stands in here", "other words are in here"]
+
+
+def test_filter_before_the_shuffle_loses_no_wanted_row(spark, monkeypatch):
+    rows = spark.range(5_000).select(F.when(F.col("id") > 0, F.col("id")).alias("doc_id"), F.xxhash64("id").alias("text_key"))
+    wanted = rows.filter("doc_id IS NULL OR doc_id % 10 = 3")
+    for marks in (1 << 27, 1 << 15):
+        monkeypatch.setattr(near_duplicates_module, "MARKS", marks)
+        passed = possibly_in(rows, ["doc_id", "text_key"], wanted)
+        assert passed.columns == rows.columns and wanted.exceptAll(passed).isEmpty()
+        assert passed.count() <= (520 if marks > 1 << 20 else 1_000)
+    assert possibly_in(rows, ["doc_id", "text_key"], wanted.limit(0)).isEmpty()
