@@ -44,9 +44,9 @@ VALUES, SIDE = 3, 14
 # Of the 2 * SIDE small keys, two sets with similarity 0.8 have 14 in common on average, and fewer
 # than this in less than one of 10,000 cases.
 ALIKE = 5
-# Bits of the filter for documents whose sets are compared (16 MB): up to some 30 million of them it
+# Bits of the filter for documents whose sets are compared (4 MB): up to some 8 million of them it
 # keeps most other texts out of the shuffle.
-MARKS = 1 << 27
+MARKS = 1 << 25
 # Sizes are joined by bands, each that much wider than the one before.
 BAND = 1.02
 # Members of a family, about, whose majority is its consensus.
