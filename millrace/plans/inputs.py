@@ -21,15 +21,17 @@ OUTAGE = ("2024-01-10 00:00:00", "2024-01-12 00:00:00")
 CACHE_TTL = timedelta(days=1)
 CACHE_SNAPSHOT = ("2024-01-05 00:00:00", "2024-01-20 00:00:00")
 STREAM_END = datetime(2030, 1, 1)
+# A task of messages gets about so much of the events file, some 200,000 rows.
+EVENT_TASK_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread_table(spark: SparkSession, sf_dir: str, name: str, task_bytes: int | None = None) -> DataFrame:
     """A table whose rows are costly to work on, over all cores even when it is one small file."""
-    return read_spread(spark, f"{sf_dir}/{name}.parquet")
+    return read_spread(spark, f"{sf_dir}/{name}.parquet", task_bytes=task_bytes)
 
 
 def iso_utc(ts: Column) -> Column:
@@ -70,7 +72,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 7, F.lit(""))
         .otherwise(document(order_id, product, price, quantity, stamp))
     )
-    return spread_table(spark, sf_dir, "events").select(
+    return spread_table(spark, sf_dir, "events", EVENT_TASK_BYTES).select(
         F.lit("orders").alias("topic"),
         (event_id % 3).cast("int").alias("partition"),
         F.expr("event_id div 3").alias("offset"),
@@ -154,7 +156,7 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(event_id % 23 == 1, F.create_map(F.lit("x-retry-count"), F.lit("-1")))
         .otherwise(F.create_map().cast("map<string,string>"))
     )
-    return spread_table(spark, sf_dir, "events").select(
+    return spread_table(spark, sf_dir, "events", EVENT_TASK_BYTES).select(
         event_id.alias("message_id"), body.alias("body"), headers.alias("headers"), F.col("ts").alias("delivered_at")
     )
 

@@ -41,17 +41,26 @@ def sample_sales(spark: SparkSession) -> DataFrame:
     )
 
 
-def read_spread(spark: SparkSession, path: str, split_bytes: int = 256 << 10) -> DataFrame:
+def read_spread(spark: SparkSession, path: str, split_bytes: int = 256 << 10, task_bytes: int | None = None) -> DataFrame:
     """Parquet rows for work that is heavy per row, over enough tasks.
 
     A file that Spark cannot split would keep all but one core idle; its rows are dealt out, at
-    least ``split_bytes`` of file per task. A table with as many splits as cores is left alone.
+    least ``split_bytes`` of file per task. With ``task_bytes`` no task gets much more of the file than
+    that, however large the table is. A table whose splits spread its rows as well is left alone:
+    splits count by the rows in them, as a row group lies in one split and leaves others empty.
     """
     rows = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    wanted = min(cores, files.folder_bytes(spark, path) // split_bytes)
-    splits = rows._jdf.queryExecution().toRdd().getNumPartitions()
-    return rows.repartition(wanted) if splits < wanted else rows
+    cores, size = spark.sparkContext.defaultParallelism, files.folder_bytes(spark, path)
+    wanted = max(min(cores, size // split_bytes), size // task_bytes if task_bytes else 0)
+    if wanted <= 1:
+        return rows
+    if rows._jdf.queryExecution().toRdd().getNumPartitions() >= wanted:
+        # Reads no column, so the files' footers only.
+        split = rows.groupBy(F.spark_partition_id().alias("split")).count()
+        n, largest = split.agg(F.sum("count"), F.max("count")).first()
+        if n is None or largest * wanted <= 2 * n:
+            return rows
+    return rows.repartition(wanted)
 
 
 def create_table(spark: SparkSession, name: str, location: str, schema: str = SALES_SCHEMA, by: str = "category") -> None:

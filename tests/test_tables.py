@@ -243,3 +243,23 @@ def test_retention_by_creation_counts_from_the_first_write(spark, folder):
     assert tables.drop_by_creation(spark, path, registry, "day", "2024-02-03") == ["2024.01.02"]
     # Negative control: by its name that day would go too.
     assert tables.drop_expired_days(spark, path, "2024-02-03") == ["2024.01.20"]
+
+
+def test_splits_without_rows_do_not_count_as_tasks(spark, folder):
+    """A row group lies in one split; a table of one group is dealt out however many splits it has."""
+    path = folder("one-group")
+    spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text")).coalesce(1).write.parquet(path)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(name) for name in names]
+    try:
+        for name, value in zip(names, ("262144", "0")):
+            spark.conf.set(name, value)
+        whole = spark.read.parquet(path)
+        assert whole.rdd.getNumPartitions() > 8 and whole.groupBy(F.spark_partition_id()).count().count() == 1
+        for options, tasks in (({}, 4), ({"task_bytes": 1 << 20}, files.folder_bytes(spark, path) >> 20)):
+            found = tables.read_spread(spark, path, **options)
+            sizes = [row["count"] for row in found.groupBy(F.spark_partition_id()).count().collect()]
+            assert len(sizes) == tasks >= 4 and max(sizes) < 1.1 * 200_000 / tasks and sum(sizes) == 200_000
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
