@@ -157,28 +157,38 @@ def _attempts(handler: Handler, max_retries: int, single: bool):
     return once(F.col("body"), F.col("attempt"), F.col("header_error"))
 
 
-def _step(attempt: Column, status: Column, error: Column) -> Column:
-    return F.struct(attempt.alias("attempt"), status.alias("status"), error.alias("error"))
+def _step(attempt: Column, status: str, error: Column) -> Column:
+    return F.struct(attempt.alias("attempt"), F.lit(status).alias("status"), error.cast("string").alias("error"))
 
 
-def _rule_attempts(rules: Rules, max_retries: int, single: bool) -> Column:
-    """The attempts of a message by a table of rules, all in Spark, from the columns of ``_tried``."""
+def _made_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column made behind a generator: once a row, not again wherever it is referred to."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def _rule_steps(rules: Rules, max_retries: int, single: bool) -> Column:
+    """The attempts that a message may need by a table of rules, all in Spark; an error needs none of them."""
     body, start = F.col("parsed_body"), F.col("attempt")
 
     def step(attempt: Column) -> Column:
-        status, error = F.lit("ok"), F.lit(None).cast("string")
+        found = _step(attempt, "ok", F.lit(None))
         for rule in reversed(rules):
             broken = F.coalesce(rule.broken(body, attempt), F.lit(False))
-            status = F.when(broken, F.lit(rule.status)).otherwise(status)
-            error = F.when(broken, rule.error(body, attempt)).otherwise(error)
-        return _step(attempt, status, error)
+            found = F.when(broken, _step(attempt, rule.status, rule.error(body, attempt))).otherwise(found)
+        return found
+
+    numbers = F.sequence(start, F.greatest(start, F.lit(max_retries).cast("long")))
+    steps = F.array(step(start)) if single else F.transform(numbers, step)
+    return F.when(F.col("given_error").isNull(), steps)
+
 
-    numbers = F.array(start) if single else F.sequence(start, F.greatest(start, F.lit(max_retries).cast("long")))
-    steps = F.transform(numbers, step)
-    ended = F.array_position(F.transform(steps, lambda s: s["status"] != "transient"), True).cast("int")
-    tries = F.when(ended > 0, F.slice(steps, F.lit(1), ended)).otherwise(steps)
-    error = F.coalesce("header_error", "decoded_body.error")
-    return F.when(error.isNotNull(), F.array(_step(start, F.lit("poison"), error))).otherwise(tries)
+def _rule_attempts() -> Column:
+    """The attempts of a message, from the columns of ``_tried``: up to the first that no retry follows."""
+    steps = F.col("steps")
+    ended = F.array_position(steps["status"], "ok"), F.array_position(steps["status"], "poison")
+    first = F.least(*[F.when(place > 0, place) for place in ended]).cast("int")
+    tries = F.when(first.isNotNull(), F.slice(steps, F.lit(1), first)).otherwise(steps)
+    return F.when(F.col("given_error").isNotNull(), F.array(_step(F.col("attempt"), "poison", F.col("given_error")))).otherwise(tries)
 
 
 def _tried(messages: DataFrame, handler: Handler | Rules, max_retries: int, single: bool) -> DataFrame:
@@ -187,11 +197,12 @@ def _tried(messages: DataFrame, handler: Handler | Rules, max_retries: int, sing
     if callable(handler):
         return started.withColumn("tried", _attempts(handler, max_retries, single)).drop("attempt", "header_error")
     decoded = started.withColumn("decoded_body", decode_kind(F.col("body")))
-    # A body is parsed behind a generator: once, and not again for each rule and attempt.
-    text = F.coalesce("decoded_body.text", "body")
-    parsed = decoded.select("*", F.explode(F.array(F.try_parse_json(text))).alias("parsed_body"))
-    tried = parsed.withColumn("tried", _rule_attempts(handler, max_retries, single))
-    return tried.drop("attempt", "header_error", "decoded_body", "parsed_body")
+    # Each of these is made once a message, and not again for each rule, attempt and column that reads it.
+    parsed = _made_once(decoded, "parsed_body", F.try_parse_json(F.coalesce("decoded_body.text", "body")))
+    judged = parsed.withColumn("given_error", F.coalesce("header_error", "decoded_body.error"))
+    stepped = _made_once(judged, "steps", _rule_steps(handler, max_retries, single))
+    tried = _made_once(stepped, "tried", _rule_attempts())
+    return tried.drop("attempt", "header_error", "decoded_body", "parsed_body", "given_error", "steps")
 
 
 def route_target(status: Column, attempt: Column, max_retries: int = MAX_RETRIES) -> Column:

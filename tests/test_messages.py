@@ -190,3 +190,25 @@ def test_pattern_accepts_only_what_the_parser_accepts(spark):
         assert (row["d"]["kind"], row["d"]["error"]) == (wanted.kind, wanted.error)
         assert not row["plain"] or wanted.kind == "object"
     assert sum(row["plain"] for row in found) >= 5
+
+
+def test_a_rule_is_evaluated_once_for_each_attempt(spark):
+    messages = queue(spark, (order(2), {}), (order(9), {}), ("[]", {}))
+    for found in (routing.attempt_ledger(messages, ORDER_RULES), routing.final_outcomes(messages, ORDER_RULES), routing.deliver_once(messages, ORDER_RULES)):
+        assert found._jdf.queryExecution().executedPlan().toString().count("simulated transient failure") == 1
+
+
+def test_attempts_end_with_the_first_that_is_not_transient(spark):
+    rules = (
+        routing.Rule(lambda body, attempt: attempt == routing.field(body, "poisoned", "bigint"), "poison", lambda body, attempt: F.lit("spoilt")),
+        routing.Rule(lambda body, attempt: attempt < 2, "transient", lambda body, attempt: F.concat(F.lit("try "), attempt)),
+    )
+    messages = queue(spark, ('{"poisoned": 1}', {}), ("{}", {}), ('{"poisoned": 0}', {routing.RETRY_HEADER: "7"}), ("[]", {}), ("{}", {routing.RETRY_HEADER: '"x"'}))
+    ledger = routing.attempt_ledger(messages, rules).orderBy("message_id", "attempt").collect()
+    assert [(r["message_id"], r["attempt"], r["status"], r["error"]) for r in ledger] == [
+        (0, 0, "transient", "try 0"), (0, 1, "poison", "spoilt"),
+        (1, 0, "transient", "try 0"), (1, 1, "transient", "try 1"), (1, 2, "ok", None),
+        (2, 7, "ok", None),
+        (3, 0, "poison", "expected a JSON object, got list"),
+        (4, 0, "poison", 'invalid x-retry-count header: "x"'),
+    ]
