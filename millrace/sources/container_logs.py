@@ -1,5 +1,8 @@
 """Container log files: a folder per container (named after it, or container_id=name),
-one JSON object per line. A line may name its container itself, which goes before its folder."""
+one JSON object per line. A line of parts may name its container itself, which goes before its folder.
+
+A folder ``forwarded`` holds what a forwarder has collected from many containers: each line is an object of
+the container and its line, so the number of files goes by the bytes and not by the containers."""
 
 from __future__ import annotations
 
@@ -20,9 +23,27 @@ NAMED_FIELDS = f"{LINE_FIELDS}, container_id string"
 PART_SCHEMA = "container_id string, stream string, file string, block bigint, nth bigint, part string, ts timestamp, ended boolean, parts bigint"
 
 
+# The folder of a forwarder, and the fields of its lines.
+FORWARDED = "forwarded"
+FORWARDED_FIELDS = "container_id string, line string"
+
+
+def write_forwarded(lines: DataFrame, root: str) -> None:
+    """Write lines (container_id, value) as a forwarder does; a container of its own folder has each line as it is."""
+    line = F.struct("container_id", F.col("value").alias("line"))
+    lines.select(F.to_json(line).alias("value")).hint("rebalance").write.text(f"{root}/{FORWARDED}")
+
+
 def _lines(text: DataFrame) -> DataFrame:
-    container = F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]+)/[^/]+$", 1)
-    rows = text.select(container.alias("container_id"), "value")
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]+)/[^/]+$", 1)
+    read = text.select(folder.alias("folder"), F.col("value").alias("read"))
+    # Lines of other folders are not searched for a forwarder's fields, which may be their own.
+    forwarded = F.col("folder") == FORWARDED
+    sent = read.select("*", F.inline_outer(F.array(F.from_json(F.when(forwarded, F.col("read")), FORWARDED_FIELDS))))
+    rows = sent.select(
+        F.when(forwarded, F.col("container_id")).otherwise(F.col("folder")).alias("container_id"),
+        F.when(forwarded, F.coalesce("line", F.lit(""))).otherwise(F.col("read")).alias("value"),
+    )
     parsed = rows.select("*", F.inline_outer(F.array(F.from_json("value", LINE_FIELDS))))
     # A line that is not in the runtime's format is kept as it is.
     message = F.coalesce(F.regexp_replace("log", r"\r?\n$", ""), "value")

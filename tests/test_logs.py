@@ -118,3 +118,25 @@ def test_daily_partitions(spark, folder):
     assert files.partition_values(spark, path, "day") == ["2024.01.02", "2024.01.03"]
     expired = spark.sql("SELECT '2024.01.24' AS day UNION ALL SELECT '2024.01.25'").filter(logs.expired(F.col("day"), "2024-01-31"))
     assert [row["day"] for row in expired.collect()] == ["2024.01.24"]
+
+
+def test_forwarded_lines_are_read_as_those_of_container_folders(spark, folder):
+    line = '{"log": "demo line\\n", "stream": "stdout", "time": "2024-01-31T10:00:00.000001Z"}'
+    # A raw line may look like a forwarder's; a line may be empty.
+    rows = [("c1", line), ("c1", "no json"), ("c2", '{"container_id": "c9", "line": "x"}'), ("c2", ""), ("a=b/c", line)]
+    lines = spark.createDataFrame(rows, "container_id string, value string")
+    apart, together = folder("apart"), folder("together")
+    lines.filter("container_id <> 'a=b/c'").write.partitionBy("container_id").text(apart)
+    container_logs.write_forwarded(lines, together)
+    read = [sorted(map(str, container_logs.scan(spark, root, "*/*.txt").collect())) for root in (apart, together)]
+    assert len(read[0]) == 4 and len(read[1]) == 5 and set(read[0]) < set(read[1])
+    assert {r["message"] for r in container_logs.scan(spark, together, "*/*.txt").filter("container_id = 'c2'").collect()} == {"", rows[2][1]}
+
+
+def test_forwarded_files_do_not_grow_in_number_with_containers(spark, folder):
+    root = folder("many")
+    lines = spark.range(3000).selectExpr("cast(id as string) as container_id", "concat('line ', id) as value")
+    container_logs.write_forwarded(lines, root)
+    assert len(spark.read.text(f"{root}/*/*.txt").inputFiles()) < 20
+    found = container_logs.scan(spark, root, "*/*.txt")
+    assert found.filter("message = concat('line ', container_id)").count() == 3000
