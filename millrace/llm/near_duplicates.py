@@ -44,8 +44,8 @@ VALUES, SIDE = 3, 14
 # Of the 2 * SIDE small keys, two sets with similarity 0.8 have 14 in common on average, and fewer
 # than this in less than one of 10,000 cases.
 ALIKE = 5
-# Bits of the filter for documents whose sets are compared (4 MB): up to some 8 million of them it
-# keeps most other texts out of the shuffle.
+# Bits of the filters that keep rows no join can use out of a shuffle (4 MB each): texts and sets that
+# are not compared, small keys of one row. Up to some 8 million wanted values most others are kept out.
 MARKS = 1 << 25
 # Sizes are joined by bands, each that much wider than the one before.
 BAND = 1.02
@@ -113,14 +113,18 @@ def signatures(documents: DataFrame, text: str = "text", width: int = SHINGLE) -
     return rows.mapInArrow(sign, "doc_id long, text_key long, n_shingles long, set_key binary, small array<long>")
 
 
-def table_keys(classes: DataFrame) -> DataFrame:
+def table_keys(signed: DataFrame) -> DataFrame:
     """Rows (key, weight, set_key): the table keys a class forms from small keys it shares.
 
     ``weight`` is how many classes share its small keys; it makes the middle of a group its pivot.
+    Rows are counted first: a key that only one row has no classes can share. Most keys are such, and
+    are left out before set keys are shuffled.
     """
-    small = classes.select("set_key", F.posexplode("small").alias("pos", "h"))
-    shared = stored(small.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "shared-keys")
-    own = small.join(shared, "h").groupBy("set_key").agg(F.sum("n").alias("weight"), F.collect_list(F.struct("pos", "h")).alias("own"))
+    small = signed.select("set_key", F.posexplode("small").alias("pos", "h"))
+    repeated = stored(small.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "repeated-keys")
+    of_classes = stored(possibly_in(small, ["h"], repeated).distinct(), "class-keys")
+    shared = stored(of_classes.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1"), "shared-keys")
+    own = of_classes.join(shared, "h").groupBy("set_key").agg(F.sum("n").alias("weight"), F.collect_list(F.struct("pos", "h")).alias("own"))
     side = [F.transform(F.filter("own", keep), lambda k: k["h"]) for keep in (lambda k: k["pos"] < SIDE, lambda k: k["pos"] >= SIDE)]
     sides = own.select("set_key", "weight", side[0].alias("a"), side[1].alias("b"))
     return sides.select("set_key", "weight", F.explode("a").alias("a"), "b").select(
@@ -129,14 +133,14 @@ def table_keys(classes: DataFrame) -> DataFrame:
 
 
 def possibly_in(rows: DataFrame, columns: list[str], wanted: DataFrame) -> DataFrame:
-    """``rows`` without most of those whose ``columns`` are not in ``wanted``, before texts are shuffled.
+    """``rows`` without most of those whose ``columns`` are not in ``wanted``, before they are shuffled.
 
     A bit per hash of the wanted rows is set in bitmaps of MARKS bits in all, so what is broadcast has a
     fixed size. No wanted row is lost; of the others the more pass, the more bits are set.
     """
     mark = F.pmod(F.xxhash64(*columns), F.lit(MARKS))
     width = 8 * 4096  # bits of one of Spark's bitmaps
-    marked = wanted.select(mark.alias("mark")).select(F.floor(F.col("mark") / width).alias("map"), F.pmod("mark", F.lit(width)).alias("bit"))
+    marked = wanted.select(mark.alias("mark")).distinct().select(F.floor(F.col("mark") / width).alias("map"), F.pmod("mark", F.lit(width)).alias("bit"))
     maps = marked.repartition("map").groupBy("map").agg(F.bitmap_construct_agg("bit").alias("bits"))
     maps = stored(maps.select(F.col("map").alias("own_map"), "bits"), "marks")
     bit = F.pmod(mark, F.lit(width)).cast("int")
@@ -146,46 +150,57 @@ def possibly_in(rows: DataFrame, columns: list[str], wanted: DataFrame) -> DataF
 
 
 def shingle_sets(documents: DataFrame, wanted: DataFrame, text: str = "text", width: int = SHINGLE) -> DataFrame:
-    """set_key, ``own`` (its hashes as bytes) and ``small`` of the wanted classes, from one document each.
+    """set_key, ``pivots``, ``own`` (its hashes as bytes) and ``small`` of the wanted classes, from one document each.
 
-    ``small`` are the lowest eight bits of the small keys: enough to see that two keys differ.
+    ``small`` are the lowest eight bits of the small keys: enough to see that two keys differ. The
+    pivots that a class met come along from ``wanted``, so that its set goes straight to them.
     """
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
-            found = []
-            for content, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            rows, found = [], []
+            for row, (content, key) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
                 own = shingles(word_hashes(content, cache), width)
                 if _set_key(own) == key:
-                    found.append((key, own.tobytes(), small_keys(own).astype(np.int8)))
-            columns = list(zip(*found, strict=True)) or [[]] * 3
-            kinds = (pa.binary(), pa.binary(), pa.list_(pa.int8()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], ["set_key", "own", "small"])
+                    rows.append(row)
+                    found.append((own.tobytes(), small_keys(own).astype(np.int8)))
+            columns = list(zip(*found, strict=True)) or [[]] * 2
+            kinds = (pa.binary(), pa.list_(pa.int8()))
+            kept = [batch.column(c).take(pa.array(rows, pa.int32())) for c in (1, 2)]
+            arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*kept, *arrays], ["set_key", "pivots", "own", "small"])
+
+    def place(doc_id: Column, text_key: Column) -> list[Column]:
+        return [F.coalesce(doc_id, F.lit(0)).alias("id"), doc_id.isNull().alias("no_id"), text_key.alias("text_key")]
+
+    rows = documents.select(*place(F.col("doc_id").cast("long"), F.xxhash64(text)), F.col(text).alias("content"))
+    wanted = wanted.select(*place(F.col("rep_id"), F.col("rep_text")), "set_key", "pivots")
+    at = ["id", "no_id", "text_key"]
+    # The join brings repeated rows together, so they are dropped without another shuffle.
+    found = possibly_in(rows, at, wanted).join(wanted, at).select(*at, "content", "set_key", "pivots").distinct()
+    return found.select("content", "set_key", "pivots").mapInArrow(rebuild, "set_key binary, pivots array<binary>, own binary, small array<tinyint>")
+
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("content"))
-    rows = possibly_in(rows, ["doc_id", "text_key"], wanted.select(F.col("rep_id").alias("doc_id"), F.col("rep_text").alias("text_key")))
-    same = rows["doc_id"].eqNullSafe(wanted["rep_id"]) & (rows["text_key"] == wanted["rep_text"])
-    sets = rows.join(wanted, same).select("content", "set_key").mapInArrow(rebuild, "set_key binary, own binary, small array<tinyint>")
-    # Repeated rows give the same set again.
-    return sets.groupBy("set_key").agg(F.first("own").alias("own"), F.first("small").alias("small"))
+def sets_of(sets: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
+    """The sets of one side of ``pairs``, without most others."""
+    return possibly_in(sets, ["set_key"], pairs.select(F.col(side).alias("set_key"))).select(F.col("set_key").alias(side), "own", "small")
 
 
-def similarities(pairs: DataFrame, left: DataFrame, right: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Rows of ``pairs`` with the sizes of both sets (a of ``left``, b of ``right``) and of their
-    intersection, the small keys of a, and ``outside``: the hashes of a that b lacks, as many of the
-    lowest as a set linked with a must share one of.
+def similarities(pairs: DataFrame, right: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Rows of ``pairs`` (a, b, ``own`` and ``small`` of a) with the sizes of both sets (that of b is in
+    ``right``) and of their intersection in place of ``own``, and ``outside``: the hashes of a that b
+    lacks, as many of the lowest as a set linked with a must share one of.
 
     A set linked with a has ``percent`` percent of a's hashes. With c of them in b, at least
     percent of |a| less c are among the hashes outside, and of n hashes in a fixed order the lowest
     of k shared ones is among the first n - k + 1.
     """
-    carried = pairs.columns
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for one, other in zip(batch.column("own_a"), batch.column("own_b"), strict=True):
+            for one, other in zip(batch.column("own"), batch.column("own_b"), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (one, other))
                 outside = np.setdiff1d(x, y, assume_unique=True)
                 common = len(x) - len(outside)
@@ -194,14 +209,11 @@ def similarities(pairs: DataFrame, left: DataFrame, right: DataFrame, percent: i
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
             arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]
-            kept = [batch.column(c) for c in (*carried, "small")]
-            yield pa.RecordBatch.from_arrays([*kept, *arrays], [*carried, "small", "size_a", "size_b", "common", "outside"])
+            kept = [batch.column(c) for c in ("a", "b", "small")]
+            yield pa.RecordBatch.from_arrays([*kept, *arrays], ["a", "b", "small", "size_a", "size_b", "common", "outside"])
 
-    own_a = left.select(F.col("set_key").alias("a"), F.col("own").alias("own_a"), "small")
-    own_b = right.select(F.col("set_key").alias("b"), F.col("own").alias("own_b"))
-    both = pairs.join(own_a, "a").join(own_b, "b").select(*carried, "small", "own_a", "own_b")
-    schema = ", ".join(f"{c} {kind}" for c, kind in pairs.dtypes)
-    return both.mapInArrow(compare, f"{schema}, small array<tinyint>, size_a long, size_b long, common long, outside array<long>")
+    both = pairs.join(right.select("b", F.col("own").alias("own_b")), "b").select("a", "b", "small", "own", "own_b")
+    return both.mapInArrow(compare, "a binary, b binary, small array<tinyint>, size_a long, size_b long, common long, outside array<long>")
 
 
 def _linked(percent: int) -> Column:
@@ -212,30 +224,34 @@ def _band(size: Column) -> Column:
     return F.floor(F.log(size) / float(np.log(BAND))).cast("int")
 
 
-def consensus(members: DataFrame, open_pivots: DataFrame, sets: DataFrame) -> DataFrame:
-    """set_key (of the pivot b) and ``own``: the hashes that half of a sample of its members or more have."""
+def consensus(placed: DataFrame, members: DataFrame, open_pivots: DataFrame, sets: DataFrame) -> DataFrame:
+    """b (the pivot) and ``own``: the hashes that half of a sample of its members or more have."""
 
     def majority(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         own, n = np.unique(np.concatenate([np.frombuffer(o, dtype=np.uint64) for o in rows["own"]]), return_counts=True)
-        return pd.DataFrame({"set_key": [key[0]], "own": [own[2 * n >= len(rows)].tobytes()]})
+        return pd.DataFrame({"b": [key[0]], "own": [own[2 * n >= len(rows)].tobytes()]})
 
-    share = F.pmod(F.xxhash64("a", "b"), F.lit(1 << 20)) / (1 << 20)
-    drawn = members.filter(share * F.col("n") < FAMILY_SAMPLE).select("a", "b")
-    drawn = drawn.unionByName(open_pivots.select(F.col("open").alias("a"), F.col("open").alias("b")))
-    own = drawn.join(sets.select(F.col("set_key").alias("a"), "own"), "a").select("b", "own")
-    return own.groupBy("b").applyInPandas(majority, "set_key binary, own binary")
+    drawn = F.pmod(F.xxhash64("a", "b"), F.lit(1 << 20)) / (1 << 20) * F.col("n") < FAMILY_SAMPLE
+    some = possibly_in(placed.select("a", "b", "own"), ["a", "b"], members.filter(drawn))
+    pivots = sets_of(sets, open_pivots, "open").select(F.col("open").alias("a"), F.col("open").alias("b"), "own")
+    own = some.unionByName(pivots).join(open_pivots, F.col("b") == F.col("open")).filter((F.col("a") == F.col("b")) | drawn)
+    return own.select("b", "own").groupBy("b").applyInPandas(majority, "b binary, own binary")
 
 
-def unsettled_pairs(compared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs of different components that met the same pivot and may be linked (see step 4)."""
+def unsettled_pairs(compared: DataFrame, placed: DataFrame, roots: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs of different components that met the same pivot and may be linked (see step 4).
+
+    ``placed`` has the sets of the classes beside the pivots they met, as ``similarities`` takes them.
+    """
     of_pivot = roots.select(F.col("node").alias("b"), F.col("root").alias("pivot_root"))
     met = compared.select("a", "b").join(roots.select(F.col("node").alias("a"), "root"), "a", "left").join(of_pivot, "b", "left")
     met = stored(met.withColumns({"root": F.coalesce("root", "a"), "pivot_root": F.coalesce("pivot_root", "b")}), "met")
     several = met.groupBy("b").agg(F.min(F.least("root", "pivot_root")).alias("low"), F.max(F.greatest("root", "pivot_root")).alias("high"), F.count("*").alias("n"))
     several = stored(several.filter("low < high AND n > 1").select(F.col("b").alias("open"), "n"), "open-pivots")
     members = stored(met.join(several, F.col("b") == F.col("open")).drop("open"), "members")
-    middle = consensus(members, several, sets)
-    members = stored(similarities(members.drop("n"), sets, middle, percent), "placed-members")
+    middle = consensus(placed, members, several, sets)
+    compared = similarities(possibly_in(placed, ["b"], several.select(F.col("open").alias("b"))), middle, percent)
+    members = stored(compared.join(members.drop("n"), ["a", "b"]), "placed-members")
 
     # Common hashes outside the pivot's set.
     index = members.select("b", F.explode("outside").alias("h"), "a", "root", "size_a", "small")
@@ -263,24 +279,25 @@ def unsettled_pairs(compared: DataFrame, roots: DataFrame, sets: DataFrame, perc
 def grouped(documents: DataFrame, text: str = "text", percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """doc_id, text_key, n_shingles and root of every row; ``root`` names the group, NULL for texts without words."""
     signed = stored(signatures(documents, text, width), "signatures")
-    rep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("rep")
-    classes = signed.filter(F.col("set_key").isNotNull()).groupBy("set_key").agg(rep, F.first("small").alias("small"))
-    keys = stored(table_keys(classes), "table-keys")
+    keys = stored(table_keys(signed), "table-keys")
 
     best = keys.groupBy("key").agg(F.max(F.struct("weight", "set_key")).alias("pivot"), F.count("*").alias("n")).filter("n > 1")
     best = stored(best.select("key", F.col("pivot.set_key").alias("pivot")), "pivots")
     met = keys.join(best, "key").filter(F.col("set_key") != F.col("pivot"))
     pairs = stored(met.select(F.col("set_key").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
 
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("rep")
     reps = signed.filter(F.col("set_key").isNotNull()).groupBy("set_key").agg(rep)
-    wanted = pairs.select(F.col("a").alias("set_key")).unionByName(pairs.select(F.col("b").alias("set_key"))).distinct()
-    wanted = wanted.join(reps, "set_key").select("set_key", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_text"))
+    wanted = pairs.select(F.col("a").alias("set_key"), F.col("b").alias("pivot")).unionByName(pairs.select(F.col("b").alias("set_key"), F.lit(None).cast("binary").alias("pivot")).distinct())
+    wanted = wanted.groupBy("set_key").agg(F.collect_list("pivot").alias("pivots"))
+    wanted = wanted.join(reps, "set_key").select("set_key", "pivots", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_text"))
     sets = stored(shingle_sets(documents, wanted, text, width), "sets")
 
-    compared = stored(similarities(pairs, sets, sets, percent).drop("outside", "small"), "similarities")
+    placed = sets.select(F.col("set_key").alias("a"), F.explode("pivots").alias("b"), "own", "small")
+    compared = stored(similarities(placed, sets_of(sets, pairs, "b"), percent).drop("outside", "small"), "similarities")
     edges = compared.filter(_linked(percent)).select("a", "b")
-    rest = stored(unsettled_pairs(compared, connected_components(edges), sets, percent), "unsettled")
-    more = stored(similarities(rest, sets, sets, percent).drop("outside", "small"), "more-similarities").filter(_linked(percent)).select("a", "b")
+    rest = stored(unsettled_pairs(compared, placed, connected_components(edges), sets, percent), "unsettled")
+    more = stored(similarities(rest.join(sets_of(sets, rest, "a"), "a"), sets_of(sets, rest, "b"), percent).drop("outside", "small"), "more-similarities").filter(_linked(percent)).select("a", "b")
     roots = connected_components(edges.unionByName(more))
 
     labelled = signed.select("doc_id", "text_key", "n_shingles", "set_key").join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")

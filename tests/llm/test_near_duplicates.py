@@ -113,3 +113,27 @@ def test_filter_before_the_shuffle_loses_no_wanted_row(spark, monkeypatch):
         assert passed.columns == rows.columns and wanted.exceptAll(passed).isEmpty()
         assert passed.count() <= (520 if marks > 1 << 20 else 1_000)
     assert possibly_in(rows, ["doc_id", "text_key"], wanted.limit(0)).isEmpty()
+
+
+def test_sets_go_to_their_pivots_in_one_shuffle(spark, monkeypatch):
+    rng, plans, counts, stored = random.Random(3), {}, {}, near_duplicates_module.stored
+
+    def recorded(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        out = stored(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(near_duplicates_module, "stored", recorded)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(3000)], k=60)) for _ in range(300)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(i + 1000, texts[i] + " w1") for i in range(20)] + [(i, texts[i]) for i in range(5)] * 2
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows_of(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=4)) == brute(rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Sets are shuffled by their pivot, and neither by class before that nor when they have been made.
+    assert plans["similarities"].count("Exchange hashpartitioning(b#") == 2 and plans["similarities"].count("Exchange") == 3
+    assert "MapInArrow" in plans["sets"] and "Exchange" not in plans["sets"].split("MapInArrow")[0]
+    # Of some 9,000 small keys only those of rows that share them stay.
+    assert counts["class-keys"] <= 40 * 2 * near_duplicates_module.SIDE and counts["sets"] == 40
